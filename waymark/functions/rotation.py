@@ -107,10 +107,12 @@ def trace_angle_deg(trace: Column) -> Column:
 
 
 def relative_angle_deg(q1, q2) -> Column:
-    """Angle of inverse(q1)·q2 read from the matrix trace, 4·dot² − 1 for unit quaternions."""
+    """Angle of inverse(q1)·q2 in degrees, by the arc tangent, which stays exact for tiny turns."""
     a, b = _cols(q1), _cols(q2)
-    dot = sum((p * q for p, q in zip(a[1:], b[1:])), a[0] * b[0]) / (quat_norm(q1) * quat_norm(q2))
-    return trace_angle_deg(4.0 * dot * dot - 1.0)
+    dot = sum((p * q for p, q in zip(a[1:], b[1:])), a[0] * b[0])
+    turn = cross3(b[:3], a[:3])
+    vec = [a[3] * b[i] - b[3] * a[i] + turn[i] for i in range(3)]
+    return F.degrees(2.0 * F.atan2(norm3(*vec), F.abs(dot)))
 
 
 def quat_angle_rad(q1, q2) -> Column:
@@ -124,16 +126,24 @@ def lerp(a, b, t: Column) -> Column:
     return a * (1.0 - t) + b * t
 
 
-def slerp(q1, q2, t: Column) -> tuple[Column, ...]:
-    """Shortest-arc spherical interpolation; nearly equal rotations are blended and renormalised."""
+def with_slerp(df, q1, q2, t: str, names=QUAT):
+    """Add the shortest-arc interpolation of two unit quaternions as columns `names`.
+
+    Nearly equal rotations are blended and renormalised. Added in steps so that each angle is
+    computed once and generated code stays small.
+    """
     a, b = _cols(q1), _cols(q2)
     raw = sum((p * q for p, q in zip(a[1:], b[1:])), a[0] * b[0])
-    sign = F.when(raw < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-    cosine = F.least(F.lit(1.0), F.abs(raw))
-    angle = F.acos(cosine)
-    near = cosine > 0.9999999
-    wa = F.when(near, 1.0 - t).otherwise(F.sin((1.0 - t) * angle) / F.sin(angle))
-    wb = sign * F.when(near, t).otherwise(F.sin(t * angle) / F.sin(angle))
-    mixed = [wa * p + wb * q for p, q in zip(a, b)]
-    length = F.sqrt(sum((m * m for m in mixed[1:]), mixed[0] * mixed[0]))
-    return tuple(m / length for m in mixed)
+    df = df.withColumn("_dot", raw)
+    df = df.withColumn("_cos", F.least(F.lit(1.0), F.abs("_dot")))
+    df = df.withColumn("_ang", F.acos("_cos"))
+    f = F.col(t)
+    near = F.col("_cos") > 0.9999999
+    df = df.withColumn("_wa", F.when(near, 1.0 - f).otherwise(F.sin((1.0 - f) * F.col("_ang")) / F.sin("_ang")))
+    df = df.withColumn("_wb", F.when(F.col("_dot") < 0, -1.0).otherwise(1.0)
+                       * F.when(near, f).otherwise(F.sin(f * F.col("_ang")) / F.sin("_ang")))
+    mixed = [f"_m{i}" for i in range(4)]
+    df = df.withColumns({m: F.col("_wa") * p + F.col("_wb") * q for m, p, q in zip(mixed, a, b)})
+    df = df.withColumn("_len", quat_norm(mixed))
+    df = df.withColumns({n: F.col(m) / F.col("_len") for n, m in zip(names, mixed)})
+    return df.drop("_dot", "_cos", "_ang", "_wa", "_wb", "_len", *mixed)

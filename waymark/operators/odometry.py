@@ -16,7 +16,8 @@ def exact_percentile(df: DataFrame, value: str, p: float, by: list[str], name: s
 
     A mergeable quantile sketch brackets the wanted ranks within a known rank error; values under the
     bracket are only counted, values in it are counted per distinct value, and the ranks are read
-    from the running counts.
+    from the running counts. Groups too small for a bracket are counted whole. The group size is
+    returned as `<name>_n`.
     """
     rows = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
     slack = 3.0 / SKETCH
@@ -24,11 +25,10 @@ def exact_percentile(df: DataFrame, value: str, p: float, by: list[str], name: s
     marks = rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("_v", [low, high], SKETCH).alias("_q"),
-        F.min("_v").alias("_min"), F.max("_v").alias("_max"),
     ).select(
         *by, "_n",
-        (F.lit(None) if low == 0.0 else F.col("_q")[0]).cast("double").alias("_lo"),
-        (F.lit(None) if high == 1.0 else F.col("_q")[1]).cast("double").alias("_hi"),
+        F.when((F.col("_n") >= 2 * SKETCH) & F.lit(low > 0.0), F.col("_q")[0]).alias("_lo"),
+        F.when((F.col("_n") >= 2 * SKETCH) & F.lit(high < 1.0), F.col("_q")[1]).alias("_hi"),
     )
     joined = rows.join(marks, by) if by else rows.crossJoin(F.broadcast(marks))
     binned = joined.filter(F.col("_hi").isNull() | (F.col("_v") <= F.col("_hi"))).withColumn(
@@ -39,11 +39,12 @@ def exact_percentile(df: DataFrame, value: str, p: float, by: list[str], name: s
     k = F.floor(rank)
     run = counts.withColumn("_cum", F.sum("_c").over(w))
     found = run.groupBy(*by).agg(
+        F.first("_n").alias(f"{name}_n"),
         F.first(rank - k).alias("_f"),
         F.min(F.when(F.col("_cum") > k, F.col("_v"))).alias("_a"),
         F.min(F.when(F.col("_cum") > F.least(k + 1, F.col("_n") - 1), F.col("_v"))).alias("_b"),
     )
-    return found.select(*by, (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_f")).alias(name))
+    return found.select(*by, f"{name}_n", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_f")).alias(name))
 
 
 def odom_rates(odom: DataFrame, bucket_ns: int = BUCKET_NS) -> DataFrame:
@@ -67,11 +68,13 @@ def detect_odom_loss(odom: DataFrame, multiplier: float = 6.0, bucket_ns: int =
     baseline switches that test off, and fewer than three samples give no baseline.
     """
     rates = odom_rates(odom, bucket_ns)
-    speed = exact_percentile(rates, "speed", 0.95, ["bag_id"], "speed_p95")
-    rate = exact_percentile(rates, "rate", 0.95, ["bag_id"], "rate_p95")
-    base = speed.join(rate, "bag_id")
-    pairs = rates.groupBy("bag_id").agg(F.count(F.lit(1)).alias("_pairs"))
-    base = base.join(pairs, "bag_id")
+    long = rates.select("bag_id", F.explode(F.create_map(
+        F.lit("speed"), "speed", F.lit("rate"), "rate")).alias("kind", "v"))
+    p95 = exact_percentile(long, "v", 0.95, ["bag_id", "kind"], "p95")
+    base = p95.groupBy("bag_id").agg(
+        F.max(F.when(F.col("kind") == "speed", F.col("p95"))).alias("speed_p95"),
+        F.max(F.when(F.col("kind") == "rate", F.col("p95"))).alias("rate_p95"),
+        F.max("p95_n").alias("_pairs"))
     bad_speed = (F.col("speed_p95") > 0) & (F.col("speed") > F.col("speed_p95") * multiplier)
     bad_rate = (F.col("rate_p95") > 0) & (F.col("rate") > F.col("rate_p95") * multiplier)
     flagged = rates.join(base, "bag_id").filter((F.col("_pairs") >= 2) & (bad_speed | bad_rate))

@@ -115,8 +115,9 @@ def interpolate_pose(queries: DataFrame, odom: DataFrame, max_latency_ns: int, b
     )
     b = b.withColumn("_how", how).withColumn(
         "_f", F.when(n > p, before_gap.cast("double") / (n - p).cast("double")))
-    turned = rot.slerp([f"prev.{c}" for c in rot.QUAT], [f"next.{c}" for c in rot.QUAT], F.col("_f"))
-    mixed = dict(zip(rot.QUAT, turned))
+    turned = [f"_q{i}" for i in range(4)]
+    b = rot.with_slerp(b, [f"prev.{c}" for c in rot.QUAT], [f"next.{c}" for c in rot.QUAT], "_f", turned)
+    mixed = {c: F.col(q) for c, q in zip(rot.QUAT, turned)}
     for c in rot.POSITION:
         mixed[c] = rot.lerp(f"prev.{c}", f"next.{c}", F.col("_f"))
     pose = [
