@@ -127,7 +127,8 @@ def interpolate_pose(queries: DataFrame, odom: DataFrame, max_latency_ns: int, b
         for c in POSE
     ]
     out = b if keep_uncovered else b.filter(F.col("_how").isNotNull())
-    return out.select(*queries.columns, *pose)
+    # a generator keeps later filters from being rewritten over the whole rotation arithmetic
+    return out.select(*queries.columns, F.inline(F.array(F.struct(*pose))))
 
 
 def nearest_time(left: DataFrame, right: DataFrame, payload=(), by=BY, ts: str = "ts_ns", right_ts: str = "ts_ns",

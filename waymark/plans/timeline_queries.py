@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from waymark.functions import rotation as rot
 from waymark.operators import gating, odometry, reports, timejoin
 from waymark.plans import fixtures as fx
+from waymark.plans import messages_queries  # noqa: F401  (defines the sharpness view)
 from waymark.plans.fixtures import r, r6, sql_with
 from waymark.plans.registry import query
+from waymark.session import cut
 from waymark.sources import messages
 
 LAT = fx.LATENCY_NS
@@ -91,8 +93,9 @@ fx.add_view("registered", "SELECT p.* FROM cut_pose p JOIN kept USING (bag_id, t
 
 
 def frame_poses(spark, sf, keep_uncovered=True):
-    return timejoin.interpolate_pose(fx.frames(spark, sf), fx.odom(spark, sf), LAT, bucket_ns=BUCKET,
-                                     keep_uncovered=keep_uncovered)
+    """Poses are few next to points; written once, they are joined from there."""
+    return cut(timejoin.interpolate_pose(fx.frames(spark, sf), fx.odom(spark, sf), LAT, bucket_ns=BUCKET,
+                                         keep_uncovered=keep_uncovered))
 
 
 _POSE_OUT = f"""{r6('px')} AS px, {r6('py')} AS py, {r6('pz')} AS pz,
