@@ -78,7 +78,7 @@ def clean_points(points: DataFrame, voxel: float, downsample: bool = True, means
     cloud = cut(cloud)
     stages = (
         lambda c: radius_outlier(c, 12, voxel * 3.0),
-        lambda c: statistical_outlier(c, 20, 2.0, voxel, copies=False),
+        lambda c: statistical_outlier(c, 20, 2.0, voxel * 2.0, copies=False),
         lambda c: density_noise_filter(c, voxel * 4.0, 30),
     )
     for stage in stages:
@@ -103,7 +103,7 @@ def sensor_distance(points: DataFrame, trajectory: DataFrame, spacing: float) ->
 
 
 def range_adaptive_outliers(points: DataFrame, trajectory: DataFrame, spacing: float, radius: float = 0.0,
-                            count: int = 10, k: int = 20, ratio: float = 2.0, track_spacing: float = 1.0) -> DataFrame:
+                            count: int = 10, k: int = 20, ratio: float = 2.0, track_spacing: float = 8.0) -> DataFrame:
     """Outlier removal within range buckets (near, middle, far) with thresholds scaled per bucket."""
     ranged = cut(sensor_distance(points, trajectory, track_spacing).withColumn("_bucket", range_bucket("range_m")))
     kept = []

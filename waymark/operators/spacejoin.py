@@ -132,7 +132,7 @@ def nearest(queries: DataFrame, base: DataFrame, k: int, spacing: float, by=BY,
             copies: bool = True) -> DataFrame:
     """Attach `neighbours`: the k nearest base points as (d2, id, x, y, z), nearest first, ties by id.
 
-    `spacing` is the side of the finest cell, about the distance between points; coordinates must lie
+    `spacing` is the side of the finest cell, a few times the distance between points; coordinates must lie
     within ±`extent`. Space is tiled by leaves of bounded population. The finest cell around a query that
     holds k points bounds its k-th distance, so one pass over the leaves within that bound is exact.
     With `copies`, equal positions are answered once and at most k copies of a base position are used,

@@ -184,7 +184,7 @@ fx.add_view("mvox_knn", knn_view("mvox", "mvox", 20), ["mvox"])
 SELECT bag_id, point_idx, rk, other, {r6('sqrt(d2)')} AS d FROM mvox_knn"""))
 def _(spark, sf):
     v = mvox(spark, sf)
-    near = spacejoin.nearest(v, v, 20, 1.0, copies=False)
+    near = spacejoin.nearest(v, v, 20, 2.0, copies=False)
     flat = near.select("bag_id", "point_idx", F.posexplode("neighbours").alias("i", "n"))
     return flat.select("bag_id", "point_idx", (F.col("i") + 1).cast("long").alias("rk"), F.col("n.id").alias("other"),
                        r(F.sqrt("n.d2")).alias("d"))
@@ -199,13 +199,13 @@ fx.add_view("sor", """
 
 @query("statistical_outlier", "A11", sql_with(["sor"], f"SELECT bag_id, point_idx, {_XYZ9} FROM sor"))
 def _(spark, sf):
-    return xyz(outliers.statistical_outlier(mvox(spark, sf), 20, 1.0, 1.0, copies=False), "bag_id", "point_idx", digits=9)
+    return xyz(outliers.statistical_outlier(mvox(spark, sf), 20, 1.0, 2.0, copies=False), "bag_id", "point_idx", digits=9)
 
 
 @query("statistical_outlier_raw", "A11 J9")
 def _(spark, sf):
     """Every raw point of the sensor frame, many of them exact copies of a position."""
-    kept = outliers.statistical_outlier(cut(fx.points(spark, sf)), 20, 2.0, 0.2)
+    kept = outliers.statistical_outlier(cut(fx.points(spark, sf)), 20, 2.0, 0.4)
     return kept.groupBy("bag_id").agg(F.count(F.lit(1)).alias("kept"), r(F.avg("x")).alias("x"))
 
 
@@ -229,7 +229,7 @@ def _(spark, sf):
 @query("mean_spacing", "A8 L4", sql_with(["mvox_knn"], f"""
 SELECT bag_id, count(*) AS n, {r6('avg(CASE WHEN d2 > 0 THEN sqrt(d2) END)')} AS spacing FROM mvox_knn WHERE rk = 2 GROUP BY 1"""))
 def _(spark, sf):
-    return outliers.mean_spacing(mvox(spark, sf), 1.0).select("bag_id", "n", r("spacing").alias("spacing"))
+    return outliers.mean_spacing(mvox(spark, sf), 2.0).select("bag_id", "n", r("spacing").alias("spacing"))
 
 
 @query("even_sample", "L4", sql_with(["svox"], """
@@ -246,7 +246,7 @@ SELECT bag_id, {r6('spacing')} AS spacing, {r6('diag')} AS diag,
 FROM (SELECT bag_id, avg(CASE WHEN d2 > 0 THEN sqrt(d2) END) AS spacing FROM mvox_knn WHERE rk = 2 GROUP BY 1)
 JOIN (SELECT bag_id, sqrt(pow(max(x) - min(x), 2) + pow(max(y) - min(y), 2) + pow(max(z) - min(z), 2)) AS diag FROM mvox GROUP BY 1) USING (bag_id)"""))
 def _(spark, sf):
-    return outliers.suggest_depth(mvox(spark, sf), 1.0).select("bag_id", r("spacing").alias("spacing"), r("diag").alias("diag"), "depth")
+    return outliers.suggest_depth(mvox(spark, sf), 2.0).select("bag_id", r("spacing").alias("spacing"), r("diag").alias("diag"), "depth")
 
 
 fx.add_view("cam_d", """
@@ -257,13 +257,13 @@ fx.add_view("cam_d", """
 @query("sensor_distance", "A14 F19", sql_with(["cam_d"], f"""
 SELECT bag_id, point_idx, {r6('range_m')} AS range_m, CASE WHEN range_m >= 15 THEN 2 WHEN range_m >= 5 THEN 1 ELSE 0 END AS bucket FROM cam_d"""))
 def _(spark, sf):
-    d = outliers.sensor_distance(wvox(spark, sf), fx.odom(spark, sf), 1.0)
+    d = outliers.sensor_distance(wvox(spark, sf), cut(fx.odom(spark, sf)), 8.0)
     return d.select("bag_id", "point_idx", r("range_m").alias("range_m"), outliers.range_bucket("range_m").alias("bucket"))
 
 
 @query("range_adaptive_outliers", "A14")
 def _(spark, sf):
-    return xyz(outliers.range_adaptive_outliers(cut(world(spark, sf)), fx.odom(spark, sf), 0.5, radius=2.0, count=4),
+    return xyz(outliers.range_adaptive_outliers(cut(world(spark, sf)), cut(fx.odom(spark, sf)), 2.0, radius=2.0, count=4),
                "bag_id", "point_idx")
 
 

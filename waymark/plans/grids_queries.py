@@ -115,7 +115,7 @@ def _(spark, sf):
     return grid_of(spark, sf)[0]
 
 
-fx.add_view("occ_cells", "SELECT bag_id, gx, gy FROM world_cells WHERE n >= 3", ["world_cells"])
+fx.add_view("occ_cells", "SELECT bag_id, gx, gy FROM world_cells WHERE n >= 5", ["world_cells"])
 fx.add_view("world_cells", f"""
   SELECT bag_id, CAST(floor((x + 80) / {GRID}) AS BIGINT) AS gx, CAST(floor((y + 80) / {GRID}) AS BIGINT) AS gy, count(*) AS n FROM world
   WHERE abs(x) < 79 AND abs(y) < 79 GROUP BY 1, 2, 3""", ["world"])
@@ -137,11 +137,11 @@ def world_cells(spark, sf):
 
 
 def occ_cells(spark, sf):
-    return cut(world_cells(spark, sf).filter("n >= 3").select("bag_id", "gx", "gy"))
+    return cut(world_cells(spark, sf).filter("n >= 5").select("bag_id", "gx", "gy"))
 
 
 def _component_sql(cells: str, body: str, views: list[str]) -> str:
-    return sql_with(views, f"WITH {_FLOOD.format(cells=cells, passes=60)},\n  comp AS (SELECT bag_id, gx, gy, label FROM labels WHERE pass = 60)\n{body}", recursive=True)
+    return sql_with(views, f"WITH {_FLOOD.format(cells=cells, passes=110)},\n  comp AS (SELECT bag_id, gx, gy, label FROM labels WHERE pass = 110)\n{body}", recursive=True)
 
 
 @query("grid_components", "G1", _component_sql("occ_cells", """
@@ -160,12 +160,12 @@ _CLOSED = """
 
 
 @query("filter_small_clusters", "G2", sql_with(["occ_cells", "world_cells"], f"""
-WITH {_CLOSED},{_FLOOD.format(cells='closed', passes=60)},
-  comp AS (SELECT *, count(*) OVER (PARTITION BY bag_id, label) AS size FROM labels WHERE pass = 60)
-SELECT w.bag_id, w.gx, w.gy, CASE WHEN c.size < 20 THEN 127 WHEN c.size IS NOT NULL THEN 0 WHEN w.n >= 3 THEN 0 ELSE 254 END AS value
+WITH {_CLOSED},{_FLOOD.format(cells='closed', passes=110)},
+  comp AS (SELECT *, count(*) OVER (PARTITION BY bag_id, label) AS size FROM labels WHERE pass = 110)
+SELECT w.bag_id, w.gx, w.gy, CASE WHEN c.size < 20 THEN 127 WHEN c.size IS NOT NULL THEN 0 WHEN w.n >= 5 THEN 0 ELSE 254 END AS value
 FROM world_cells w LEFT JOIN comp c USING (bag_id, gx, gy)""", recursive=True))
 def _(spark, sf):
-    grid = world_cells(spark, sf).withColumn("value", F.when(F.col("n") >= 3, 0).otherwise(254)).drop("n")
+    grid = world_cells(spark, sf).withColumn("value", F.when(F.col("n") >= 5, 0).otherwise(254)).drop("n")
     ext = grid.groupBy("bag_id").agg(F.lit(160).alias("x_size"), F.lit(160).alias("y_size"))
     return occ.filter_small_clusters(grid, ext, 20, 1)
 
@@ -180,11 +180,11 @@ def _(spark, sf):
 
 @query("pgm_rows", "K6", sql_with(["world_cells"], """
 SELECT bag_id, 159 - gy AS row, string_agg(CAST(value AS VARCHAR), ' ' ORDER BY gx) AS line FROM (
-  SELECT b.bag_id, x.gx, y.gy, CASE WHEN w.n >= 3 THEN 0 WHEN w.n IS NOT NULL THEN 254 ELSE 127 END AS value
+  SELECT b.bag_id, x.gx, y.gy, CASE WHEN w.n >= 5 THEN 0 WHEN w.n IS NOT NULL THEN 254 ELSE 127 END AS value
   FROM (SELECT DISTINCT bag_id FROM world_cells) b, (SELECT unnest(generate_series(0, 159)) AS gx) x, (SELECT unnest(generate_series(0, 159)) AS gy) y
   LEFT JOIN world_cells w ON w.bag_id = b.bag_id AND w.gx = x.gx AND w.gy = y.gy) GROUP BY bag_id, gy"""))
 def _(spark, sf):
-    grid = cut(world_cells(spark, sf).withColumn("value", F.when(F.col("n") >= 3, 0).otherwise(254)).drop("n"))
+    grid = cut(world_cells(spark, sf).withColumn("value", F.when(F.col("n") >= 5, 0).otherwise(254)).drop("n"))
     ext = grid.groupBy("bag_id").agg(F.lit(160).alias("x_size"), F.lit(160).alias("y_size"))
     return occ.pgm_rows(grid, ext)
 
@@ -192,8 +192,8 @@ def _(spark, sf):
 @query("split_ground", "F13 F11 J9")
 def _(spark, sf):
     """Normals of the voxel cloud lent to every point, then the slope test."""
-    cloud = outliers.estimate_normals(wvox(spark, sf), 2.0 * VOX, 30, VOX, copies=False)
+    cloud = outliers.estimate_normals(wvox(spark, sf), 2.0 * VOX, 30, 2.0 * VOX, copies=False)
     cloud = cut(pts.orient_up(cloud))
     w = cut(pts.transform_points(fx.points(spark, sf), frame_poses(spark, sf, False).filter("px is not null")))
-    lent = outliers.borrow_normals(w, cloud, VOX)
+    lent = outliers.borrow_normals(w, cloud, 4.0 * VOX)
     return outliers.split_ground(lent, 15.0).groupBy("bag_id", "ground").agg(F.count(F.lit(1)).alias("n"), r(F.avg("z")).alias("z"))
