@@ -33,9 +33,9 @@ def min_frame_points(points: DataFrame, n: int) -> DataFrame:
 def transform_points(points: DataFrame, poses: DataFrame, rays: bool = False) -> DataFrame:
     """World coordinates of points whose scan has a pose; others drop out.
 
-    The matrix is made once per pose. With `rays`, (vx, vy, vz) points from each point to the sensor.
+    The matrix is made once per pose, or taken from r00.. columns. With `rays`, (vx, vy, vz) points from each point to the sensor.
     """
-    m = rot.quat_to_matrix()
+    m = {n: F.col(n) for n in rot.MATRIX} if "r00" in poses.columns else rot.quat_to_matrix()
     p = poses.select("bag_id", "ts_ns", *rot.POSITION, *[c.alias(n) for n, c in m.items()])
     joined = points.join(p, ["bag_id", "ts_ns"])
     moved = rot.rotate(list(rot.MATRIX), ("x", "y", "z"))

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from waymark.functions import rotation as rot
 from waymark.operators import gating, odometry, timejoin
 from waymark.session import cut
 
@@ -44,3 +48,147 @@ def register_frames(frames: DataFrame, odom: DataFrame, mode: str = "local", max
         poses = posed.filter("px is not null").join(kept, ["bag_id", "ts_ns"])
     stages["with_pose"] = poses.select("bag_id", "ts_ns")
     return Registration(poses, cutoffs, stages)
+
+
+def frame_pairs(poses: DataFrame, bucket_ns: int = timejoin.BUCKET_NS) -> DataFrame:
+    """Consecutive posed frames with the motion between them (matrix g00.. and shift gx, gy, gz).
+
+    The motion maps coordinates of the later frame into the earlier one.
+    """
+    pairs = timejoin.previous_sample(poses.select("bag_id", "ts_ns", *timejoin.POSE), timejoin.POSE, bucket_ns=bucket_ns)
+    return _motions(pairs.filter("prev is not null").select(
+        "bag_id", F.col("prev.ts").alias("to_ts"), F.col("ts_ns").alias("from_ts"),
+        *[F.col(f"prev.{c}").alias(f"a_{c}") for c in timejoin.POSE], *[F.col(c).alias(f"b_{c}") for c in timejoin.POSE]))
+
+
+def loop_candidates(poses: DataFrame, interval: int = 10, window: int = 100, radius: float = 3.0,
+                    bucket_ns: int = timejoin.BUCKET_NS) -> DataFrame:
+    """Pairs of search frames (every `interval`-th position, not the first) at most `window` positions and `radius` apart."""
+    cols = [*timejoin.POSE]
+    marked = timejoin.ordinal(poses.select("bag_id", "ts_ns", *cols), bucket_ns=bucket_ns, name="pos").withColumn("pos", F.col("pos") - 1)
+    marked = cut(marked.filter((F.col("pos") % interval == 0) & (F.col("pos") > 0)))
+    later = marked.select("bag_id", F.col("pos").alias("from_pos"), F.col("ts_ns").alias("from_ts"), *[F.col(c).alias(f"b_{c}") for c in cols])
+    earlier = marked.select("bag_id", F.col("pos").alias("to_pos"), F.col("ts_ns").alias("to_ts"), *[F.col(c).alias(f"a_{c}") for c in cols])
+    # every later frame lists the few search positions of its window, so the join is by equality
+    steps = max(1, window // interval)
+    later = later.withColumn("to_pos", F.explode(F.transform(F.sequence(F.lit(1), F.lit(steps)), lambda s: F.col("from_pos") - s * interval)))
+    near = later.join(earlier, ["bag_id", "to_pos"]).filter(
+        rot.distance3([f"a_{c}" for c in rot.POSITION], [f"b_{c}" for c in rot.POSITION]) <= radius)
+    return _motions(near, ["from_pos", "to_pos"])
+
+
+GUESS = [f"g{i}{j}" for i in range(3) for j in range(3)] + ["gx", "gy", "gz"]
+
+
+def _motions(pairs: DataFrame, keep=()) -> DataFrame:
+    for side in "ab":
+        m = rot.quat_to_matrix([f"{side}_{c}" for c in rot.QUAT])
+        pairs = pairs.withColumns({f"{side}_{n}": c for n, c in m.items()})
+    rel_m, rel_t = rot.relative_pose([f"a_{n}" for n in rot.MATRIX], [f"a_{c}" for c in rot.POSITION],
+                                     [f"b_{n}" for n in rot.MATRIX], [f"b_{c}" for c in rot.POSITION])
+    return pairs.select("bag_id", "to_ts", "from_ts", *keep, *[c.alias(g) for c, g in zip([*rel_m, *rel_t], GUESS)])
+
+
+def icp_refine(points: DataFrame, pairs: DataFrame, dist: float = 0.2, normal_radius: float = 0.1, max_nn: int = 30,
+               iterations: int = 50) -> DataFrame:
+    """Point-to-plane alignment of every pair, all pairs in parallel.
+
+    `points` holds voxelised scans in the sensor frame; a group is the two scans of one pair. Adds the
+    refined motion (m00.. mz), fitness (share of matched points) and rmse.
+    """
+    p = points.select("bag_id", "ts_ns", "x", "y", "z")
+    moving = p.join(pairs.select("bag_id", "to_ts", F.col("from_ts").alias("ts_ns")), ["bag_id", "ts_ns"]).select(
+        "bag_id", "to_ts", F.col("ts_ns").alias("from_ts"), F.lit(0).alias("role"), "x", "y", "z")
+    still = p.join(pairs.select("bag_id", "from_ts", F.col("to_ts").alias("ts_ns")), ["bag_id", "ts_ns"]).select(
+        "bag_id", F.col("ts_ns").alias("to_ts"), "from_ts", F.lit(1).alias("role"), "x", "y", "z")
+    key = ["bag_id", "to_ts", "from_ts"]
+    clouds = moving.unionByName(still)
+    out = [f"m{i}{j}" for i in range(3) for j in range(3)] + ["mx", "my", "mz"]
+    bag_type = pairs.schema["bag_id"].dataType.simpleString()
+    schema = f"bag_id {bag_type}, to_ts long, from_ts long, " + ", ".join(f"{c} double" for c in [*GUESS, *out]) + \
+        ", fitness double, rmse double"
+
+    def align(pair: pd.DataFrame, cloud: pd.DataFrame) -> pd.DataFrame:
+        if not len(pair):
+            return pd.DataFrame(columns=[*key, *GUESS, *out, "fitness", "rmse"])
+        row = pair.iloc[0]
+        motion = np.eye(4)
+        motion[:3, :3] = row[GUESS[:9]].to_numpy(float).reshape(3, 3)
+        motion[:3, 3] = row[GUESS[9:]].to_numpy(float)
+        xyz, role = cloud[["x", "y", "z"]].to_numpy(), cloud["role"].to_numpy()
+        motion, fitness, rmse = point_to_plane(xyz[role == 0], xyz[role == 1], motion, dist, normal_radius, max_nn, iterations)
+        done = {**{c: row[c] for c in [*key, *GUESS]}, **dict(zip(out, [*motion[:3, :3].ravel(), *motion[:3, 3]])),
+                "fitness": fitness, "rmse": rmse}
+        return pd.DataFrame([done])
+
+    return pairs.select(*key, *GUESS).groupBy(*key).cogroup(clouds.groupBy(*key)).applyInPandas(align, schema)
+
+
+def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return ((a[:, None, :] - b[None, :, :]) ** 2).sum(axis=2)
+
+
+def point_to_plane(moving: np.ndarray, still: np.ndarray, motion: np.ndarray, dist: float, normal_radius: float,
+                   max_nn: int, iterations: int) -> tuple[np.ndarray, float, float]:
+    """Align `moving` to `still` from an initial 4x4 motion; returns (motion, fitness, rmse)."""
+    if not len(moving) or not len(still):
+        return motion, 0.0, 0.0
+    normals = np.tile([0.0, 0.0, 1.0], (len(still), 1))
+    for i in range(len(still)):
+        d2 = ((still - still[i]) ** 2).sum(axis=1)
+        near = np.argsort(d2, kind="stable")[:max_nn]
+        near = near[d2[near] <= normal_radius * normal_radius]
+        if len(near) >= 3:
+            normals[i] = np.linalg.eigh(np.cov(still[near].T, bias=True))[1][:, 0]
+    last = (-1.0, -1.0)
+    fitness = rmse = 0.0
+    for turn in range(iterations + 1):
+        at = moving @ motion[:3, :3].T + motion[:3, 3]
+        best, best_d2 = np.zeros(len(at), int), np.full(len(at), np.inf)
+        block = max(1, 2_000_000 // len(still))
+        for s in range(0, len(at), block):
+            d2 = _squared(at[s:s + block], still)
+            best[s:s + block] = d2.argmin(axis=1)
+            best_d2[s:s + block] = d2.min(axis=1)
+        hit = best_d2 <= dist * dist
+        fitness = float(hit.mean())
+        rmse = float(np.sqrt(best_d2[hit].mean())) if hit.any() else 0.0
+        if turn == iterations or not hit.any() or (abs(fitness - last[0]) < 1e-6 and abs(rmse - last[1]) < 1e-6):
+            break
+        last = (fitness, rmse)
+        p, q, n = at[hit], still[best[hit]], normals[best[hit]]
+        lever = np.hstack([np.cross(p, n), n])
+        step, *_ = np.linalg.lstsq(lever.T @ lever, -lever.T @ ((p - q) * n).sum(axis=1), rcond=None)
+        a, b, c = step[:3]
+        ca, sa, cb, sb, cc, sc = np.cos(a), np.sin(a), np.cos(b), np.sin(b), np.cos(c), np.sin(c)
+        turn_m = np.array([[cc * cb, cc * sb * sa - sc * ca, cc * sb * ca + sc * sa],
+                           [sc * cb, sc * sb * sa + cc * ca, sc * sb * ca - cc * sa], [-sb, cb * sa, cb * ca]])
+        update = np.eye(4)
+        update[:3, :3], update[:3, 3] = turn_m, step[3:]
+        motion = update @ motion
+    return motion, fitness, rmse
+
+
+def gate_correction(refined: DataFrame, min_fitness: float = 0.7, max_shift: float = 0.3, max_turn_deg: float = 15.0) -> DataFrame:
+    """`accepted` where the fit is good and the correction inverse(guess)·refined is small."""
+    g, m = [c for c in GUESS[:9]], [f"m{i}{j}" for i in range(3) for j in range(3)]
+    rel_m, rel_t = rot.relative_pose(g, GUESS[9:], m, ("mx", "my", "mz"))
+    out = refined.withColumns({"shift": rot.norm3(*rel_t), "turn_deg": rot.trace_angle_deg(rel_m[0] + rel_m[4] + rel_m[8])})
+    ok = (F.col("fitness") >= min_fitness) & (F.col("shift") <= max_shift) & (F.col("turn_deg") <= max_turn_deg)
+    return out.withColumn("accepted", ok)
+
+
+def refined_poses(poses: DataFrame, gated: DataFrame) -> DataFrame:
+    """World pose per frame: earlier raw pose ∘ refined motion where accepted, else the raw pose.
+
+    Refinements are never chained, so pairs stay independent. Gives matrix columns r00.. and px, py, pz.
+    """
+    m = rot.quat_to_matrix()
+    raw = poses.select("bag_id", "ts_ns", *rot.POSITION, *[c.alias(n) for n, c in m.items()])
+    base = raw.select("bag_id", F.col("ts_ns").alias("to_ts"), *[F.col(c).alias(f"b_{c}") for c in (*rot.POSITION, *rot.MATRIX)])
+    good = gated.filter("accepted").join(base, ["bag_id", "to_ts"])
+    new_m, new_t = rot.compose_pose([f"b_{n}" for n in rot.MATRIX], [f"b_{c}" for c in rot.POSITION],
+                                    [f"m{i}{j}" for i in range(3) for j in range(3)], ("mx", "my", "mz"))
+    moved = good.select("bag_id", F.col("from_ts").alias("ts_ns"), *[c.alias(f"n_{n}") for c, n in zip([*new_t, *new_m], [*rot.POSITION, *rot.MATRIX])])
+    joined = raw.join(moved, ["bag_id", "ts_ns"], "left")
+    return joined.select("bag_id", "ts_ns", *[F.coalesce(f"n_{n}", n).alias(n) for n in (*rot.POSITION, *rot.MATRIX)])
