@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waymark.session import cut
+from waymark.session import cut_partitions
 
 # step(state, row) -> (new state, output tuple or None); state None starts a log.
 Step = Callable[[tuple | None, tuple], tuple[tuple | None, tuple | None]]
@@ -30,7 +30,7 @@ def ordered_fold(df: DataFrame, by: list[str], order: list[Column | str], inputs
     ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     ranged = ranged.sortWithinPartitions(*keys).select(
         F.spark_partition_id().alias("_part"), *by, *inputs)
-    ranged = cut(ranged)
+    ranged = cut_partitions(ranged)
     width = len(by)
 
     def run(batches: Iterator[pd.DataFrame], entry: dict):

@@ -121,7 +121,9 @@ def icp_refine(points: DataFrame, pairs: DataFrame, dist: float = 0.2, normal_ra
                 "fitness": fitness, "rmse": rmse}
         return pd.DataFrame([done])
 
-    return pairs.select(*key, *GUESS).groupBy(*key).cogroup(clouds.groupBy(*key)).applyInPandas(align, schema)
+    # fresh names, since both sides derive from the same pairs
+    guesses = pairs.select(*[F.col(c).alias(c) for c in [*key, *GUESS]])
+    return guesses.groupBy(*key).cogroup(clouds.groupBy(*key)).applyInPandas(align, schema)
 
 
 def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
