@@ -95,7 +95,7 @@ def ordered_fold(df: DataFrame, by: list[str], order: list[Column | str], inputs
         known.update(exits(entry, changed))
 
     by_types = [f for f in ranged.schema.fields if f.name in by]
-    schema = T.StructType(by_types + T._parse_datatype_string(outputs).fields)
+    schema = T.StructType(by_types + T.StructType.fromDDL(outputs).fields)
     names = schema.names
 
     def emit(batches):

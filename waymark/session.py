@@ -61,6 +61,6 @@ def cut_partitions(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     folder = shared_dir(spark)
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
+    if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
