@@ -11,8 +11,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SLICE_BYTES = 1 << 19
 WORD = r"[^\x20\x09-\x0D]+"
@@ -48,6 +49,14 @@ def batched(spark: SparkSession, rows: int = 1000, size: str = "16m") -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
+def widened(schema: StructType, **kinds: str) -> StructType:
+    """A copy of `schema` with further columns that are never null."""
+    out = StructType(list(schema.fields))
+    for name, kind in kinds.items():
+        out.add(name, kind, False)
+    return out
+
+
 def fold(doc_id: str, modulus: int) -> Column:
     """crc32 of the id's text, modulo; a null id is in no held-out fold."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus, F.lit(-1))

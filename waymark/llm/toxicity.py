@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.llm.registry import query
-from waymark.llm.textbytes import LOWER, SLICE_BYTES, batched, fold, mix, slices, words
+from waymark.llm.textbytes import LOWER, SLICE_BYTES, batched, fold, mix, slices, widened, words
 
 BUCKETS = 1 << 17
 WIDTH = 8
@@ -145,7 +145,7 @@ def score_toxicity(docs: DataFrame, model: tuple[np.ndarray, float], text: str =
     shared = spark.sparkContext.broadcast(model)
     docs = docs.drop(into) if into in docs.columns else docs
     at = docs.columns.index(text)
-    schema = docs.schema.add(into, "double", False)
+    schema = widened(docs.schema, **{into: "double"})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         margin, bias = shared.value
