@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("mixing", "toxicity")
+_MODULES = ("language_id", "mixing", "toxicity", "token_counts")
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
 
