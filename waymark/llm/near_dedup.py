@@ -6,10 +6,9 @@ hashed together, are its key: documents with an equal key in some band are candi
 probability 5e-6). Candidates pass if the Jaccard estimate from all registers, corrected for registers that agree by chance,
 is at least `GATE`, five standard errors below the threshold; then the full sets decide.
 
-Equal sets are one node. In a bucket every node is first paired with the smallest node only, one partner per node; what this
-links is contracted, and pairs are formed only between nodes of one bucket that lie in different components. Buckets of more
-than `SPLIT` nodes are dealt again by every other band's key first, so a passage that many documents share pairs only those
-that agree in a second band as well. Nothing is dropped: nodes of one component need no further link between them.
+Equal sets are one node, and nodes that share a band key are paired as `banding` says: first with one partner, then across the
+components found. A passage that many documents share pairs only those that agree in a second band as well. Nothing is dropped:
+nodes of one component need no further link between them.
 
 Defined results: null and empty texts and texts without words have an empty set, no link, and are kept; a document shorter than
 a shingle has its whole word sequence as the only one; rows that repeat a doc_id share its component and are kept together;
@@ -25,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm.components import components
+from waymark.llm.banding import band_members, linked
 from waymark.llm.registry import query
 from waymark.llm.textbytes import batched, mix, salts, slices, word_hashes, words
 from waymark.session import cut
@@ -33,7 +32,6 @@ from waymark.session import cut
 BANDS, ROWS = 40, 6
 MANTISSA = 10
 GATE = 0.65
-SPLIT = 64
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -184,34 +182,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     sketched = cut(sketches(docs, size))
     nodes = cut(sketched.filter("n_shingles > 0").groupBy("fp").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"), F.first("cells").alias("cells")))
-    bands = nodes.select(F.explode("keys").alias("key"), "fp")
-    shared = cut(bands.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low <> high").select("key", "low"))
-    members = cut(bands.join(shared, "key"))
-
-    # One partner per node: the smallest node of most of its buckets.
-    stars = members.filter("fp <> low").groupBy("fp", "low").agg(F.count(F.lit(1)).alias("n")).groupBy("fp").agg(
-        F.max(F.struct("n", "low")).alias("best")).select(F.col("fp").alias("a"), F.col("best.low").alias("b"))
-    likely = cut(_likely(cut(stars), nodes, gate))
-    links = cut(_verified(likely, nodes, docs, size, percent))
-
-    # What may still be linked: nodes of one bucket in different components.
-    labels = cut(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
-    placed = cut(members.select("key", "fp").join(labels, F.col("fp") == F.col("id"), "left").select(
-        "key", "fp", F.coalesce("label", "fp").alias("label")))
-    mixed = cut(placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")).filter(
-        "low <> high").select("key", "n"))
-    rest = cut(placed.join(mixed, "key"))
-    hot = rest.filter(F.col("n") > SPLIT).join(nodes.select("fp", "keys"), "fp").select(
-        "fp", "label", "key", F.explode("keys").alias("other")).filter("key <> other").select(
-        F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "fp", "label").distinct()
-    dealt = cut(rest.filter(F.col("n") <= SPLIT).select("key", "fp", "label").unionByName(hot))
-    left, right = (dealt.select("key", F.col("fp").alias(a), F.col("label").alias(f"l{a}")) for a in "ab")
-    pairs = left.join(right, "key").filter("a < b and la <> lb").select("a", "b").distinct()
-    more = cut(_likely(cut(pairs), nodes, gate))
-    if not more.isEmpty():
-        links = links.unionByName(_verified(more, nodes, docs, size, percent))
-        labels = cut(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+    members = band_members(nodes.select(F.explode("keys").alias("key"), F.col("fp").alias("node")))
 
+    def verify(pairs: DataFrame) -> DataFrame:
+        return _verified(cut(_likely(pairs, nodes, gate)), nodes, docs, size, percent)
+
+    labels = linked(members, verify)
     named = cut(nodes.select("fp", "doc_id").join(labels, F.col("fp") == F.col("id")).select("fp", "doc_id", "label"))
     lowest = cut(named.groupBy("label").agg(F.min("doc_id").alias("low")))
     told = cut(named.join(lowest, "label").select("fp", "low").unionByName(
