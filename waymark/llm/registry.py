@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("decontaminate", "language_id", "line_dedup", "mixing", "near_dedup", "pii", "suffix_tree", "toxicity", "token_counts")
+_MODULES = ("decontaminate", "embedding_graph", "language_id", "line_dedup", "mixing", "near_dedup", "pii", "suffix_tree", "toxicity", "token_counts")
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
 
