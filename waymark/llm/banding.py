@@ -1,9 +1,10 @@
 """From band members to component labels without pairing all members of a band.
 
-In a band each node is first paired with the smallest node only, one partner per node; the verified pairs are contracted. Then
-pairs are formed between nodes of one band that still lie in different components. Bands of more than `SPLIT` nodes are first
-dealt again by every other key of their nodes, so that there only nodes that share a second key meet. Nodes of one component
-need no further pair, so nothing is lost but what the keys themselves miss.
+In every round each node is paired with one partner at most, the leader of most of its bands; verified pairs are contracted, and
+bands whose nodes all lie in one component are done. The first leaders are the smallest nodes, later ones are drawn by hash.
+After `ROUNDS` rounds, or one without a link, nodes of one band that still lie in different components are compared: in bands
+of up to `SPLIT` nodes as pairs, in larger ones by the `crowd` function given. Nodes of one component need no further pair, so
+nothing is lost but what the keys themselves miss.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 from waymark.llm.components import components
 from waymark.session import cut
 
-SPLIT = 64
+SPLIT = 16
+ROUNDS = 4
 
 
 def band_members(bands: DataFrame) -> DataFrame:
@@ -25,26 +27,52 @@ def band_members(bands: DataFrame) -> DataFrame:
     return cut(bands.join(shared, "key").distinct())
 
 
-def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], split: int = SPLIT) -> DataFrame:
-    """(id, label) of all nodes that have a link: `verify` returns those of the distinct pairs (a, b) given to it that are links;
-    label is the smallest node of the component."""
-    stars = members.filter("node <> low").groupBy("node", "low").agg(F.count(F.lit(1)).alias("n")).groupBy("node").agg(
-        F.max(F.struct("n", "low")).alias("best")).select(F.col("node").alias("a"), F.col("best.low").alias("b"))
-    links = cut(verify(cut(stars)))
-    labels = cut(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
-
-    placed = cut(members.select("key", "node").join(labels, F.col("node") == F.col("id"), "left").select(
-        "key", "node", F.coalesce("label", "node").alias("label")))
-    mixed = cut(placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")).filter(
-        "low <> high").select("key", "n"))
-    rest = cut(placed.join(mixed, "key"))
-    crowded = rest.filter(F.col("n") > split)
-    again = crowded.select("node", "label", "key").join(rest.select("node", F.col("key").alias("other")), "node").filter("key < other").select(
-        F.xxhash64("key", "other").alias("key"), "node", "label")
-    dealt = cut(rest.filter(F.col("n") <= split).select("key", "node", "label").unionByName(again))
-    left, right = (dealt.select("key", F.col("node").alias(a), F.col("label").alias(f"l{a}")) for a in "ab")
+def _partners(led: DataFrame) -> DataFrame:
+    """(a, b): each node with the leader of most of its bands, from (key, node, lead) rows."""
+    return led.filter("node <> lead").groupBy("node", "lead").agg(F.count(F.lit(1)).alias("n")).groupBy("node").agg(
+        F.max(F.struct("n", "lead")).alias("best")).select(F.col("node").alias("a"), F.col("best.lead").alias("b"))
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    return cut(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+
+
+def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, node, label, n) of the bands that hold several components, n being their nodes."""
+    placed = cut(members.select("key", "node").join(labels, F.col("node") == F.col("id"), "left").select("key", "node", F.coalesce("label", "node").alias("label")))
+    mixed = cut(placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")).filter("low <> high").select("key", "n"))
+    return cut(placed.join(mixed, "key"))
+
+
+def dealt(crowded: DataFrame, block: int) -> DataFrame:
+    """(key, part, node, label): each band's nodes dealt to blocks of about `block` by hash, a part for every pair of blocks."""
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    own = crowded.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node", F.lit(6)), F.col("blocks")).cast("int"))
+    parts = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.least(o, F.col("own")) * F.col("blocks") + F.greatest(o, F.col("own")))
+    return own.select("key", F.explode(parts).alias("part"), "node", "label")
+
+
+def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], crowd: Callable[[DataFrame], DataFrame], split: int = SPLIT) -> DataFrame:
+    """(id, label) of all nodes that have a link; label is the smallest node of the component. `verify` returns those of the distinct
+    pairs (a, b) given to it that are links; `crowd` returns (a, b) rows that connect what is linked within the large bands
+    (key, node, label, n) given to it."""
+    links = cut(verify(cut(_partners(members.withColumnRenamed("low", "lead")))))
+    labels = _labels(links)
+    rest = _unsettled(members, labels)
+    for turn in range(1, ROUNDS):
+        lead = cut(rest.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "label")).alias("lead")).select(
+            "key", F.col("lead.node").alias("lead"), F.col("lead.label").alias("of")))
+        pairs = cut(_partners(rest.join(lead, "key").filter("label <> of")))
+        if pairs.isEmpty():
+            return labels
+        more = cut(verify(pairs))
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        labels = _labels(links)
+        rest = _unsettled(rest, labels)
+    few = rest.filter(F.col("n") <= split)
+    left, right = (few.select("key", F.col("node").alias(a), F.col("label").alias(f"l{a}")) for a in "ab")
     pairs = cut(left.join(right, "key").filter("a < b and la <> lb").select("a", "b").distinct())
-    if pairs.isEmpty():
-        return labels
-    more = cut(verify(pairs))
-    return cut(components(links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v"))))
+    links = cut(links.unionByName(verify(pairs)).unionByName(crowd(rest.filter(F.col("n") > split))))
+    return _labels(links)

@@ -6,9 +6,9 @@ hashed together, are its key: documents with an equal key in some band are candi
 probability 5e-6). Candidates pass if the Jaccard estimate from all registers, corrected for registers that agree by chance,
 is at least `GATE`, five standard errors below the threshold; then the full sets decide.
 
-Equal sets are one node, and nodes that share a band key are paired as `banding` says: first with one partner, then across the
-components found. A passage that many documents share pairs only those that agree in a second band as well. Nothing is dropped:
-nodes of one component need no further link between them.
+Equal sets are one node, and nodes that share a band key are paired as `banding` says: with one partner a round, then across the
+components left. In a band of many nodes, as a template with a different filling in each document makes, those are compared block
+by block with matrix products, and no pair becomes a row. Nothing is dropped: nodes of one component need no further link.
 
 Defined results: null and empty texts and texts without words have an empty set, no link, and are kept; a document shorter than
 a shingle has its whole word sequence as the only one; rows that repeat a doc_id share its component and are kept together;
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm.banding import band_members, linked
+from waymark.llm.banding import band_members, dealt, linked
 from waymark.llm.registry import query
 from waymark.llm.textbytes import batched, mix, salts, slices, word_hashes, words
 from waymark.session import cut
@@ -162,19 +162,70 @@ def _likely(pairs: DataFrame, nodes: DataFrame, gate: float) -> DataFrame:
     return fair.mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes with 100 * intersection >= percent * union of their full sets."""
-    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct())
-    ids = cut(nodes.join(wanted, "fp").select("doc_id").distinct())
+def _sets_of(members: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(node, members): the full sets of the nodes in `members`."""
+    wanted = cut(members.select("node").distinct())
+    ids = cut(nodes.join(wanted, F.col("fp") == F.col("node")).select("doc_id").distinct())
     # Texts go once through a shuffle by doc_id; the sets are made after it, for the wanted documents alone.
     texts = docs.select("doc_id", "text").join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
-    sets = cut(shingle_sets(texts, size).join(wanted, "fp", "left_semi").dropDuplicates(["fp"]))
-    both = pairs.join(sets.select(F.col("fp").alias("a"), F.col("members").alias("x")), "a").join(
-        sets.select(F.col("fp").alias("b"), F.col("members").alias("y")), "b")
+    return cut(shingle_sets(texts, size).withColumnRenamed("fp", "node").join(wanted, "node", "left_semi").dropDuplicates(["node"]))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes with 100 * intersection >= percent * union of their full sets."""
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("x")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("members").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
     return both.filter(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b")
 
 
+def crowd_links(node: np.ndarray, label: np.ndarray, sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect all nodes which pairs of similar sets under different labels connect, one per node at most."""
+    n = len(node)
+    size = np.array([len(s) for s in sets])
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(n), size)
+    _, column, times = np.unique(flat, return_inverse=True, return_counts=True)
+    # Members of one set alone cannot be shared.
+    held = times[column] > 1
+    number = np.cumsum(times > 1) - 1
+    column, owner = number[column[held]], owner[held]
+    inter = np.zeros((n, n), np.float32)
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    width = 4096
+    for at in range(0, int(number[-1]) + 1 if len(number) else 0, width):
+        low, high = np.searchsorted(column, [at, at + width])
+        x = np.zeros((n, width), np.float32)
+        x[owner[low:high], column[low:high] - at] = 1
+        inter += x @ x.T
+    close = 100 * inter >= percent * (size[:, None] + size[None] - inter)
+    close &= label[:, None] != label[None]
+    reach = np.arange(n)
+    while True:
+        new = np.minimum(reach, np.where(close, reach[None], n).min(1))
+        new = new[new]
+        if (new == reach).all():
+            break
+        reach = new
+    moved = np.flatnonzero(reach != np.arange(n))
+    return node[moved], node[reach[moved]]
+
+
+def _crowds(crowded: DataFrame, sets: DataFrame, percent: int, block: int = 400) -> DataFrame:
+    """(a, b) edges within large bands (key, node, label, n): a band is dealt to blocks by hash, and every pair of blocks is compared
+    in one task by products of incidence matrices."""
+    parts = dealt(crowded, block).join(sets, "node")
+
+    def compare(t: pa.Table) -> pa.Table:
+        column = t.column("members").combine_chunks()
+        ends = column.offsets.to_numpy()
+        flat = column.values.to_numpy()
+        a, b = crowd_links(t.column("node").to_numpy(), t.column("label").to_numpy(), [flat[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)], percent)
+        return pa.table({"a": a, "b": b})
+
+    return parts.groupBy("key", "part").applyInArrow(compare, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row (doc_id, text) of `docs`: documents are linked whose sets of `size`-word
     shingles are similar by `percent`; a component is named by its smallest doc_id, which is the one kept."""
@@ -184,10 +235,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"), F.first("cells").alias("cells")))
     members = band_members(nodes.select(F.explode("keys").alias("key"), F.col("fp").alias("node")))
 
+    sets = _sets_of(members, nodes, docs, size)
+
     def verify(pairs: DataFrame) -> DataFrame:
-        return _verified(cut(_likely(pairs, nodes, gate)), nodes, docs, size, percent)
+        return _verified(_likely(pairs, nodes, gate), sets, percent)
 
-    labels = linked(members, verify)
+    labels = linked(members, verify, lambda crowded: _crowds(crowded, sets, percent))
     named = cut(nodes.select("fp", "doc_id").join(labels, F.col("fp") == F.col("id")).select("fp", "doc_id", "label"))
     lowest = cut(named.groupBy("label").agg(F.min("doc_id").alias("low")))
     told = cut(named.join(lowest, "label").select("fp", "low").unionByName(
