@@ -210,13 +210,13 @@ def fit(docs: DataFrame, per_lang: int = 300, per_doc: int = 6) -> tuple[list[st
 
 def identify_language(docs: DataFrame, model: tuple[list[str], dict] | None, text: str = "text") -> DataFrame:
     """`docs` with lang_pred and score; older columns of these names are replaced."""
-    docs = docs.drop("lang_pred", "score", "_letters")
+    docs = docs.drop("lang_pred", "score", "__letters")
     if model is None:
         return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
     spark = docs.sparkSession
     batched(spark)
     shared = spark.sparkContext.broadcast(model)
-    marked = docs.withColumn("_letters", F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
+    marked = docs.withColumn("__letters", F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
     at, names = docs.columns.index(text), [*docs.columns, "lang_pred", "score"]
     schema = widened(docs.schema, lang_pred="string", score="double")
 

@@ -190,9 +190,9 @@ def render(kind: str, raw: str, new: str) -> str:
 
 
 def find_entities(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` with rid (a number for the row) and spans: array of (begin, end, kind, canon)."""
+    """`docs` with __rid (a number for the row) and __spans: array of (begin, end, kind, canon)."""
     batched(docs.sparkSession)
-    at, names = docs.columns.index(text), [*docs.columns, "rid", "spans"]
+    at, names = docs.columns.index(text), [*docs.columns, "__rid", "__spans"]
     span = pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("canon", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +203,7 @@ def find_entities(docs: DataFrame, text: str = "text") -> DataFrame:
             rid += b.num_rows
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{kinds}, rid long, spans array<struct<begin:int,end:int,kind:string,canon:string>>")
+    return docs.mapInArrow(run, f"{kinds}, __rid long, __spans array<struct<begin:int,end:int,kind:string,canon:string>>")
 
 
 def assign(forms: DataFrame, key: bytes) -> DataFrame:
@@ -238,11 +238,11 @@ def replace_entities(docs: DataFrame, key: bytes, text: str = "text") -> DataFra
     """`docs` with surrogates in its texts, and n_entities; an older column of this name is replaced."""
     docs = docs.drop("n_entities")
     found = cut(find_entities(docs, text))
-    some = found.filter(F.size("spans") > 0)
-    each = some.select("rid", F.explode("spans").alias("s")).select("rid", "s.begin", "s.end", "s.kind", "s.canon")
+    some = found.filter(F.size("__spans") > 0)
+    each = some.select("__rid", F.explode("__spans").alias("s")).select("__rid", "s.begin", "s.end", "s.kind", "s.canon")
     given = cut(assign(each.select("kind", "canon"), key))
-    news = each.join(given, ["kind", "canon"]).groupBy("rid").agg(F.collect_list(F.struct("begin", "end", "kind", "new")).alias("news"))
-    rows = some.drop("spans").join(news, "rid").drop("rid")
+    news = each.join(given, ["kind", "canon"]).groupBy("__rid").agg(F.collect_list(F.struct("begin", "end", "kind", "new")).alias("__news"))
+    rows = some.drop("__spans").join(news, "__rid").drop("__rid")
     at, names = docs.columns.index(text), [*docs.columns, "n_entities"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,8 +261,8 @@ def replace_entities(docs: DataFrame, key: bytes, text: str = "text") -> DataFra
 
     docs_columns = docs.columns
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    changed = rows.select(*docs_columns, "news").mapInArrow(run, f"{kinds}, n_entities int")
-    return found.filter(F.size("spans") == 0).select(*docs_columns, F.lit(0).alias("n_entities")).unionByName(changed)
+    changed = rows.select(*docs_columns, "__news").mapInArrow(run, f"{kinds}, n_entities int")
+    return found.filter(F.size("__spans") == 0).select(*docs_columns, F.lit(0).alias("n_entities")).unionByName(changed)
 
 
 @query("op9_pii_surrogates")
