@@ -164,3 +164,45 @@ def test_rigid_transform_keeps_distances(spark):
     a, b = pts.transform_points(p, pose).orderBy("point_idx").collect()
     assert (a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2 == pytest.approx(14.0)
     assert (a.x, a.y, a.z) == (5.0, 6.0, 7.0)
+
+
+def test_equal_rows_all_stay(spark):
+    from waymark.operators import spacejoin
+
+    rows = [("a", 0.0, 0.0, 0.0)] * 3 + [("a", 5.0, 0.0, 0.0)] * 2
+    base = [("a", 0.1, 0.0, 0.0)] * 4 + [("a", 9.0, 9.0, 9.0)]
+    q = spark.createDataFrame(rows, "bag_id string, x double, y double, z double")
+    b = spark.createDataFrame(base, q.schema)
+    got = sorted((r["x"], r["hits"]) for r in spacejoin.neighbours_within(q, b, 1.0).collect())
+    assert got == [(0.0, 4)] * 3 + [(5.0, 0)] * 2
+    assert spacejoin.radius_semi(q, b, 1.0).count() == 3
+    assert spacejoin.radius_anti(q, b, 1.0).count() == 2
+
+
+def test_tile_leaf_pairs_grow_with_the_points(spark):
+    from pyspark.sql import functions as F
+
+    from waymark.operators import spacejoin
+
+    def tried(side):
+        cells = spark.range(side**3).select(F.lit("a").alias("bag_id"), (F.col("id") % side).alias("ix"), (F.floor(F.col("id") / side) % side).alias("iy"),
+                                            F.floor(F.col("id") / side**2).alias("iz"))
+        box = {f"{p}{e}{a}": F.col(f"i{a}") + (0.1 if e == "lo" else 0.9) for p in "qb" for e in ("lo", "hi") for a in "xyz"}
+        tiles = cells.select("bag_id", F.lit(0).alias("_m"), F.lit(1.0).alias("u"), *[c.alias(n) for n, c in box.items() if n[0] == "q"])
+        leaves = cells.select("bag_id", F.lit(0).alias("leaf"), *[F.col(f"i{a}").alias(f"b{a}") for a in "xyz"], F.lit(1).alias("nb"),
+                              *[c.alias(n) for n, c in box.items() if n[0] == "b"])
+        top = side.bit_length()
+        plan = spacejoin.tile_leaf_pairs(tiles, leaves, ("bag_id",), top, 1.0, [0, 0, 0])
+        return plan.count() / side**3
+
+    small, large = tried(8), tried(24)
+    assert large <= 27 and large < 2 * small
+
+
+def test_nearest_beyond_any_fixed_extent(spark):
+    from waymark.operators import spacejoin
+
+    rows = [("a", i, 5_000_000.0 + i, 500_000.0, 10.0) for i in range(50)]
+    pts = spark.createDataFrame(rows, "bag_id string, point_idx long, x double, y double, z double")
+    got = {r["point_idx"]: [n["id"] for n in r["neighbours"]] for r in spacejoin.nearest(pts, pts, 2, 1.0).collect()}
+    assert got[0] == [0, 1] and got[49] == [49, 48] and len(got) == 50

@@ -167,7 +167,7 @@ def fill_ground(known: DataFrame, ground: DataFrame, extents: DataFrame) -> Data
     base = own.select("bag_id", index.alias("point_idx"), F.col("gx").cast("double").alias("x"),
                       F.col("gy").cast("double").alias("y"), F.lit(0.0).alias("z"), F.col("z").alias("h"))
     open_ = rich.join(known, ["bag_id", "gx", "gy"], "left_anti")
-    near = nearest(as_points(open_), base, 1, 8.0, extent=float(1 << 24), copies=False)
+    near = nearest(as_points(open_), base, 1, 8.0, copies=False)
     near = near.withColumn("_id", F.get("neighbours", F.lit(0))["id"])
     heights = base.select("bag_id", F.col("point_idx").alias("_id"), "h")
     filled = near.join(heights, ["bag_id", "_id"]).select("bag_id", "gx", "gy", F.col("h").alias("z"))

@@ -51,14 +51,16 @@ def neighbours_within(queries: DataFrame, base: DataFrame, radius: float, need:
                       by=BY, flag: str = "hits") -> DataFrame:
     """Count base points within `radius` of each query row (a point counts itself if it is in both).
 
-    Both inputs are read several times; hand in materialised tables. With `need`, `flag` is a boolean "at least `need`" and most rows are answered by cell counts alone;
-    without it, `flag` is the exact count.
+    Both inputs are read several times; hand in materialised tables. Every position is answered once, copies of a base position
+    weigh by their number, and the answer is joined back, so equal rows all stay and cost no more than one. With `need`, `flag` is a
+    boolean "at least `need`" and most positions are answered by cell counts alone; without it, `flag` is the exact count.
     """
     fine = radius / _FINE
     r2 = float(radius) * float(radius)
+    spot = [*by, "x", "y", "z"]
     names = [f"_f{a}" for a in "xyz"]
-    q = queries.withColumns({n: cell(a, fine) for n, a in zip(names, "xyz")})
-    b = base.select(*by, "x", "y", "z").withColumns({n: cell(a, fine) for n, a in zip(names, "xyz")})
+    q = queries.select(*spot).distinct().withColumns({n: cell(a, fine) for n, a in zip(names, "xyz")})
+    b = base.groupBy(*spot).agg(F.count(F.lit(1)).alias("_w")).withColumns({n: cell(a, fine) for n, a in zip(names, "xyz")})
 
     qc = q.groupBy(*by, *names).agg(*_box())
     qc = qc.select(*by, *names, *[F.col(c).alias(f"q{c}") for c in BOX])
@@ -67,7 +69,7 @@ def neighbours_within(queries: DataFrame, base: DataFrame, radius: float, need:
         qc = qc.withColumn("_o", F.explode(steps)).withColumn(f"_c{a}", F.expr(f"shiftright({n}, 2)") + F.col("_o")).drop("_o")
     coarse = [f"_c{a}" for a in "xyz"]
     bnames = [f"_b{a}" for a in "xyz"]
-    bc = b.groupBy(*by, *names).agg(F.count(F.lit(1)).alias("nb"), *_box())
+    bc = b.groupBy(*by, *names).agg(F.sum("_w").alias("nb"), *_box())
     bc = bc.select(*by, *[F.expr(f"shiftright({n}, 2)").alias(c) for n, c in zip(names, coarse)],
                    *[F.col(n).alias(m) for n, m in zip(names, bnames)], "nb", *[F.col(c).alias(f"b{c}") for c in BOX])
     pairs = qc.join(bc, [*by, *coarse]).filter(_box_gap2("q", "b") <= r2)
@@ -85,19 +87,19 @@ def neighbours_within(queries: DataFrame, base: DataFrame, radius: float, need:
         open_ = (F.col("_sure") < need) & (F.col("_most") >= need)
         closed_value = F.coalesce(F.col("_sure") >= need, F.lit(False))
     open_ = F.coalesce(open_, F.lit(False))
-    closed = qp.filter(~open_).select(*queries.columns, closed_value.alias(flag))
+    closed = qp.filter(~open_).select(*spot, closed_value.alias(flag))
     rest = qp.filter(open_)
-    keys = [*queries.columns, "_sure"]
+    keys = [*spot, "_sure"]
     cand = rest.withColumn("_near", F.explode("_near")).select(*keys, *[F.col(f"_near.{m}").alias(m) for m in bnames])
     bp = b.select(*by, *[F.col(n).alias(m) for n, m in zip(names, bnames)],
-                  *[F.col(a).alias(f"_p{a}") for a in "xyz"])
+                  *[F.col(a).alias(f"_p{a}") for a in "xyz"], "_w")
     dist2 = sum(((F.col(a) - F.col(f"_p{a}")) * (F.col(a) - F.col(f"_p{a}")) for a in "yz"),
                 (F.col("x") - F.col("_px")) * (F.col("x") - F.col("_px")))
-    hits = cand.join(bp, [*by, *bnames]).filter(dist2 <= r2).select(*keys, F.lit(1).alias("_h"))
-    counted = hits.unionByName(rest.select(*keys, F.lit(0).alias("_h"))).groupBy(*keys).agg(F.sum("_h").alias("_h"))
+    hits = cand.join(bp, [*by, *bnames]).filter(dist2 <= r2).select(*keys, F.col("_w").alias("_h"))
+    counted = hits.unionByName(rest.select(*keys, F.lit(0).cast("long").alias("_h"))).groupBy(*keys).agg(F.sum("_h").alias("_h"))
     total = F.col("_sure") + F.col("_h")
-    opened = counted.select(*queries.columns, (total if need is None else total >= need).alias(flag))
-    return closed.unionByName(opened)
+    opened = counted.select(*spot, (total if need is None else total >= need).alias(flag))
+    return queries.join(closed.unionByName(opened), spot).select(*queries.columns, flag)
 
 
 def radius_semi(queries: DataFrame, base: DataFrame, radius: float, by=BY) -> DataFrame:
@@ -127,26 +129,56 @@ def _leaf_levels(cells: DataFrame, levels: DataFrame, by, top: int, k: int, key:
         F.min(F.when(n >= k, F.col("l"))).alias("enough"))
 
 
+def _frame(queries: DataFrame, base: DataFrame, spacing: float) -> tuple[list[int], int]:
+    """Lowest cell on each axis and the number of levels that reach from one cell to all points of both tables."""
+    ends = [f(cell(a, spacing)).alias(f"{n}{a}") for a in "xyz" for n, f in (("lo", F.min), ("hi", F.max))]
+    got = [t.agg(*ends).first() for t in (queries, base)]
+    low = [min((g[f"lo{a}"] for g in got if g[f"lo{a}"] is not None), default=0) for a in "xyz"]
+    high = [max((g[f"hi{a}"] for g in got if g[f"hi{a}"] is not None), default=0) for a in "xyz"]
+    return low, max(1, max(h - l + 1 for l, h in zip(low, high)).bit_length())
+
+
+def tile_leaf_pairs(tiles: DataFrame, leaves: DataFrame, by, top: int, spacing: float, low: list[int]) -> DataFrame:
+    """Tiles of query points with the leaves of base points that their bounds `u` may reach.
+
+    A tile looks at level `_m`, whose cells are about as wide as its bound. Leaves no larger than that are met at that level, through
+    the cell they lie in; larger ones at their own level. These are two equi-joins, and a pair is tried in one of them only.
+    """
+    pos = ["x", "y", "z"]
+
+    def around(levels) -> DataFrame:
+        out = tiles.withColumn("l", levels)
+        side = F.pow(F.lit(2.0), F.col("l")) * spacing
+        last = F.pow(F.lit(2.0), F.lit(float(top)) - F.col("l")).cast("long") - 1
+        for a, base in zip(pos, low):
+            first = F.greatest(F.lit(0), F.floor((F.col(f"qlo{a}") - F.col("u") - base * spacing) / side).cast("long"))
+            final = F.least(last, F.floor((F.col(f"qhi{a}") + F.col("u") - base * spacing) / side).cast("long"))
+            out = out.withColumn(f"k{a}", F.explode(F.sequence(first, final)))
+        return out
+
+    held = [F.expr(f"shiftright(b{a}, l - leaf)").alias(f"k{a}") for a in pos]
+    body = ["leaf", "bx", "by", "bz", "nb", *[f"b{c}" for c in BOX]]
+    listed = leaves.withColumn("l", F.explode(F.sequence(F.col("leaf"), F.lit(top)))).select(*by, "l", *held, *body)
+    own = leaves.withColumn("l", F.col("leaf")).select(*by, "l", *held, *body)
+    key = [*by, "l", "kx", "ky", "kz"]
+    small = around(F.col("_m")).join(listed, key)
+    large = around(F.explode(F.when(F.col("_m") < top, F.sequence(F.col("_m") + 1, F.lit(top))))).join(own, key)
+    return small.unionByName(large).filter(_box_gap2("q", "b") <= F.col("u") * F.col("u"))
+
+
 def nearest(queries: DataFrame, base: DataFrame, k: int, spacing: float, by=BY, id: str = "point_idx",
-            base_id: str = "point_idx", max_radius: float | None = None, extent: float = 65536.0,
-            copies: bool = True) -> DataFrame:
+            base_id: str = "point_idx", max_radius: float | None = None, copies: bool = True) -> DataFrame:
     """Attach `neighbours`: the k nearest base points as (d2, id, x, y, z), nearest first, ties by id.
 
-    `spacing` is the side of the finest cell, a few times the distance between points; coordinates must lie
-    within ±`extent`. Space is tiled by leaves of bounded population. The finest cell around a query that
+    `spacing` is the side of the finest cell, a few times the distance between points; the levels above it reach as
+    far as the points do. Space is tiled by leaves of bounded population. The finest cell around a query that
     holds k points bounds its k-th distance, so one pass over the leaves within that bound is exact.
     With `copies`, equal positions are answered once and at most k copies of a base position are used,
     which is all that any query can need; pass False where positions are distinct, as after voxel means.
     Both inputs are read several times; hand in materialised tables.
     """
-    top = max(1, math.ceil(math.log2(2.0 * extent / spacing)))
-    half = 1 << (top - 1)
     pos = ["x", "y", "z"]
-    ok = (F.abs("x") < extent) & (F.abs("y") < extent) & (F.abs("z") < extent)
-
-    def guarded(a: str) -> Column:
-        return F.when(ok, cell(a, spacing) + half).otherwise(
-            F.raise_error(F.lit("coordinate beyond the extent given to nearest()")).cast("long"))
+    low, top = _frame(queries, base, spacing)
 
     # fresh names, since base and queries may be the same table
     b = base.select(*[F.col(c).alias(c) for c in by], F.col(base_id).cast("long").alias("_bid"),
@@ -158,8 +190,8 @@ def nearest(queries: DataFrame, base: DataFrame, k: int, spacing: float, by=BY,
         q = q_all.groupBy(*by, *pos).agg(F.min(F.col(id).cast("long")).alias("_qid"))
     else:
         q = q_all.select(*by, *pos, F.col(id).cast("long").alias("_qid"))
-    b = b.select("*", *[guarded(a).alias(f"c{a}") for a in pos])
-    q = q.select("*", *[guarded(a).alias(f"c{a}") for a in pos])
+    b = b.select("*", *[(cell(a, spacing) - start).alias(f"c{a}") for a, start in zip(pos, low)])
+    q = q.select("*", *[(cell(a, spacing) - start).alias(f"c{a}") for a, start in zip(pos, low)])
 
     fine = b.groupBy(*by, "cx", "cy", "cz").agg(F.count(F.lit(1)).alias("n"), *_box())
     levels = fine.select(*by, "cx", "cy", "cz", "n", F.explode(F.sequence(F.lit(0), F.lit(top))).alias("l")).groupBy(
@@ -169,11 +201,7 @@ def nearest(queries: DataFrame, base: DataFrame, k: int, spacing: float, by=BY,
     leaves = fine_leaf.groupBy(*by, "leaf", *leaf_key).agg(
         F.sum("n").alias("nb"), *[F.min(f"lo{a}").alias(f"blo{a}") for a in pos],
         *[F.max(f"hi{a}").alias(f"bhi{a}") for a in pos])
-    listed = leaves.withColumn("l", F.explode(F.sequence(F.col("leaf"), F.lit(top)))).select(
-        *by, "l", *[F.expr(f"shiftright(b{a}, l - leaf)").alias(f"k{a}") for a in pos],
-        (F.col("l") == F.col("leaf")).alias("_own"), "leaf", "bx", "by", "bz", "nb", *[f"b{c}" for c in BOX])
-
-    bound = F.when(F.col("enough").isNull(), F.lit(4.0 * extent)).otherwise(
+    bound = F.when(F.col("enough").isNull(), F.lit(spacing * 2.0 ** (top + 2))).otherwise(
         F.pow(F.lit(2.0), F.col("enough")) * (spacing * math.sqrt(3.0) * (1 + 1e-9)))
     if max_radius is not None:
         bound = F.least(bound, F.lit(float(max_radius) * (1 + 1e-9)))
@@ -184,16 +212,7 @@ def nearest(queries: DataFrame, base: DataFrame, k: int, spacing: float, by=BY,
         F.max("u").alias("u"), F.sum("nq").alias("nq"), *[F.min(f"lo{a}").alias(f"qlo{a}") for a in pos],
         *[F.max(f"hi{a}").alias(f"qhi{a}") for a in pos])
     look = F.least(F.lit(top), F.greatest(F.col("ta"), F.ceil(F.log2(F.greatest(F.col("u") / spacing, F.lit(1.0)))).cast("int")))
-    around = tiles.withColumn("_m", look).withColumn("l", F.explode(F.sequence(F.col("_m"), F.lit(top))))
-    side = F.pow(F.lit(2.0), F.col("l")) * spacing
-    last = F.pow(F.lit(2.0), F.lit(float(top)) - F.col("l")).cast("long") - 1
-    for a in pos:
-        shift = half * spacing
-        first = F.greatest(F.lit(0), F.floor((F.col(f"qlo{a}") - F.col("u") + shift) / side).cast("long"))
-        final = F.least(last, F.floor((F.col(f"qhi{a}") + F.col("u") + shift) / side).cast("long"))
-        around = around.withColumn(f"k{a}", F.explode(F.sequence(first, final)))
-    pairs = around.join(listed, [*by, "l", "kx", "ky", "kz"]).filter(
-        ((F.col("l") == F.col("_m")) | F.col("_own")) & (_box_gap2("q", "b") <= F.col("u") * F.col("u")))
+    pairs = tile_leaf_pairs(tiles.withColumn("_m", look), leaves, by, top, spacing, low)
     per_tile = Window.partitionBy(*by, *tile)
     pairs = pairs.withColumn("_s", F.ceil(F.sum("nb").over(per_tile) / GROUP).cast("int")).withColumn(
         "_qs", F.ceil(F.col("nq") / QUERIES).cast("int"))
