@@ -4,21 +4,30 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions import rotation as rot
 
 
 def candidate_planes(points: DataFrame, iterations: int, seed: int) -> DataFrame:
-    """`iterations` planes per log through three points each, drawn in the order of a seeded hash.
+    """`iterations` planes per log through three points each, drawn with replacement whatever the log's size.
 
-    The rank filter is applied before the shuffle, so a log sends 3·iterations points per task at most.
+    A draw is a hash of (log, plane, corner, seed) and picks the point whose own hash follows it on the circle of hashes. Points and draws
+    are dealt to as many arcs of that circle as a log has thousands of points, so no task sorts a log.
     """
-    order = F.xxhash64("point_idx", F.lit(seed))
-    rank = F.row_number().over(Window.partitionBy("bag_id").orderBy(order, "point_idx"))
-    drawn = points.select("bag_id", "point_idx", "x", "y", "z").withColumn("_r", rank).filter(F.col("_r") <= 3 * iterations)
-    drawn = drawn.withColumns({"plane": F.floor((F.col("_r") - 1) / 3).cast("int"), "_k": (F.col("_r") - 1) % 3})
+    circle = 1 << 30
+    own = F.pmod(F.xxhash64("point_idx", F.lit(seed)), F.lit(circle))
+    sizes = points.groupBy("bag_id").agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / 1000)).alias("_arcs"))
+    spots = points.select("bag_id", "point_idx", "x", "y", "z", own.alias("_h")).join(sizes, "bag_id")
+    draws = sizes.withColumn("plane", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1)))).withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(2))))
+    draws = draws.withColumn("_h", F.pmod(F.xxhash64("bag_id", "plane", "_k", F.lit(seed)), F.lit(circle)))
+    arc = F.floor(F.col("_h") * F.col("_arcs") / circle).cast("long")
+    spots, draws = spots.withColumn("_arc", arc), draws.withColumn("_arc", arc)
+    follows = F.struct(F.pmod(F.col("p._h") - F.col("d._h"), F.lit(circle)).alias("gap"), F.col("p.point_idx").alias("i"))
+    drawn = draws.alias("d").join(spots.alias("p"), (F.col("d.bag_id") == F.col("p.bag_id")) & (F.col("d._arc") == F.col("p._arc"))).groupBy(
+        F.col("d.bag_id").alias("bag_id"), F.col("d.plane").alias("plane"), F.col("d._k").alias("_k")).agg(
+        F.min_by(F.struct("p.x", "p.y", "p.z"), follows).alias("_p")).select("bag_id", "plane", "_k", "_p.*")
     at = lambda a, k: F.max(F.when(F.col("_k") == k, F.col(a))).alias(f"{a}{k}")
     tri = drawn.groupBy("bag_id", "plane").agg(*[at(a, k) for a in "xyz" for k in range(3)], F.count(F.lit(1)).alias("_n")).filter("_n = 3")
     e1 = [F.col(f"{a}1") - F.col(f"{a}0") for a in "xyz"]

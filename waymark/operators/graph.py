@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from waymark.session import cut
 
 
-def components(nodes: DataFrame, edges: DataFrame, by=("bag_id",), max_rounds: int = 100) -> DataFrame:
+def components(nodes: DataFrame, edges: DataFrame, by=("bag_id",)) -> DataFrame:
     """Smallest node id of each node's component, as (by, id, label).
 
     `edges` lists (by, u, v) in both directions. Every round hooks roots onto smaller neighbouring
@@ -20,7 +20,7 @@ def components(nodes: DataFrame, edges: DataFrame, by=("bag_id",), max_rounds: i
     """
     edges = cut(edges.select(*by, "u", "v"))
     labels = cut(nodes.select(*by, "id").distinct().withColumn("label", F.col("id")))
-    for _ in range(max_rounds):
+    while True:
         parent = labels.select(*[F.col(c).alias(c) for c in by], F.col("id").alias("label"), F.col("label").alias("up"))
         grand = labels.join(parent, [*by, "label"])
         near = edges.join(grand.select(*by, F.col("id").alias("v"), "up"), [*by, "v"]).groupBy(*by, F.col("u").alias("id")).agg(
@@ -37,7 +37,6 @@ def components(nodes: DataFrame, edges: DataFrame, by=("bag_id",), max_rounds: i
         labels = step.drop("old")
         if done:
             return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 def component_sizes(labels: DataFrame, by=("bag_id",)) -> DataFrame:

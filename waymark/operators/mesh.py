@@ -27,7 +27,9 @@ HALF, STRIDE = 1 << 18, 1 << 19  # 19 bits an axis
 
 
 def pack3(x, y, z) -> Column:
-    return ((x + HALF) * (STRIDE * STRIDE) + (y + HALF) * STRIDE + (z + HALF)).cast("long")
+    """Corner id; a corner beyond 19 bits an axis is an error, never another corner's id."""
+    held = x.between(-HALF, HALF - 1) & y.between(-HALF, HALF - 1) & z.between(-HALF, HALF - 1)
+    return F.when(~held, F.raise_error(F.lit("corner beyond 19 bits an axis: subtract the log's smallest voxel first")).cast("long")).otherwise(((x + HALF) * (STRIDE * STRIDE) + (y + HALF) * STRIDE + (z + HALF)).cast("long"))
 
 
 def voxel_surface(voxels: DataFrame, size: float) -> tuple[DataFrame, DataFrame]:
@@ -215,7 +217,8 @@ def smooth_mesh(vertices: DataFrame, faces: DataFrame, method: str = "taubin", i
     return v
 
 
-CLUSTER_STEPS = 8
+#: Sizes between one doubling and the next that are tried once a target is bracketed.
+FINE_STEPS = 8
 
 
 def decimate_target(faces: DataFrame, target: float) -> DataFrame:
@@ -229,10 +232,9 @@ def simplify_mesh(vertices: DataFrame, faces: DataFrame, target: float, cell_siz
                   rings: int = 1) -> tuple[DataFrame, DataFrame]:
     """Merge vertices of flat regions by growing cells until the face target is met.
 
-    Faces at sharp vertices (with rings around) are protected and keep all their vertices. Cell sizes
-    double from `cell_size`; all sizes are tried in one pass and each mesh takes the smallest that meets
-    its target (the largest if none does). Meshes within the target, or with protected faces at or above
-    it, stay as they are.
+    Faces at sharp vertices (with rings around) are protected and keep all their vertices. From `cell_size` on, cells double or halve for
+    each mesh until one size misses the target and the next meets it; of the sizes between, the smallest that meets it is taken. Meshes within the target,
+    or with protected faces at or above it, stay as they are; `simplify_report` names those whose target is not met.
     """
     faces, vertices = cut(faces), cut(vertices)
     want = decimate_target(faces, target)
@@ -244,23 +246,52 @@ def simplify_mesh(vertices: DataFrame, faces: DataFrame, target: float, cell_siz
     plan = cut(plan.withColumn("low", F.greatest(F.lit(4), F.least(F.col("n") - F.col("p"), F.col("target") - F.col("p")))))
     fixed = corners(faces).join(guard, ["bag_id", "fid"], "left_semi").select("bag_id", "vid").distinct()
     loose = vertices.join(plan.filter("not _skip").select("bag_id"), "bag_id", "left_semi").join(fixed, ["bag_id", "vid"], "left_anti")
-    keyed = loose.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(CLUSTER_STEPS - 1))))
-    side = F.pow(F.lit(2.0), F.col("step")) * cell_size
-    keyed = keyed.withColumns({f"c{a}": F.floor(F.col(a) / side) for a in "xyz"})
-    group = ["bag_id", "step", "cx", "cy", "cz"]
-    centre = keyed.groupBy(*group).agg(F.min("vid").alias("new"), *[F.avg(a).alias(f"a{a}") for a in "xyz"])
-    merged = cut(keyed.join(centre, group).select("bag_id", "step", F.col("vid").alias("old"), "new", "ax", "ay", "az"))
-    low_faces = faces.join(guard, ["bag_id", "fid"], "left_anti").join(plan.filter("not _skip").select("bag_id"), "bag_id", "left_semi")
-    steps = corners(low_faces).withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(CLUSTER_STEPS - 1))))
-    mapped = steps.join(merged.select("bag_id", "step", F.col("old").alias("vid"), "new"), ["bag_id", "step", "vid"], "left").withColumn(
-        "vid", F.coalesce("new", "vid"))
-    at = lambda k: F.max(F.when(F.col("corner") == k, F.col("vid"))).alias(f"v{k}")
-    tri = mapped.groupBy("bag_id", "step", "fid").agg(at(0), at(1), at(2)).filter("v0 <> v1 and v1 <> v2 and v2 <> v0")
-    tri = tri.withColumn("_k", F.array_sort(F.array("v0", "v1", "v2"))).groupBy("bag_id", "step", "_k").agg(
-        F.min(F.struct("fid", "v0", "v1", "v2")).alias("m")).select("bag_id", "step", "m.*")
-    tri = cut(tri)
-    counts = tri.groupBy("bag_id", "step").agg(F.count(F.lit(1)).alias("_n")).join(plan.select("bag_id", "low"), "bag_id")
-    choice = counts.groupBy("bag_id").agg(F.coalesce(F.min(F.when(F.col("_n") <= F.col("low"), F.col("step"))), F.max("step")).alias("step"))
+    loose = cut(loose)
+    low_faces = cut(faces.join(guard, ["bag_id", "fid"], "left_anti").join(plan.filter("not _skip").select("bag_id"), "bag_id", "left_semi"))
+
+    def clustered(steps: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Merged vertices and remaining faces for every (bag_id, step); the cell side doubles from step to step."""
+        side = F.pow(F.lit(2.0), F.col("step")) * cell_size
+        keyed = loose.join(steps, "bag_id").withColumns({f"c{a}": F.floor(F.col(a) / side) for a in "xyz"})
+        group = ["bag_id", "step", "cx", "cy", "cz"]
+        centre = keyed.groupBy(*group).agg(F.min("vid").alias("new"), *[F.avg(a).alias(f"a{a}") for a in "xyz"])
+        merged = cut(keyed.join(centre, group).select("bag_id", "step", F.col("vid").alias("old"), "new", "ax", "ay", "az"))
+        mapped = corners(low_faces).join(steps, "bag_id").join(
+            merged.select("bag_id", "step", F.col("old").alias("vid"), "new"), ["bag_id", "step", "vid"], "left").withColumn("vid", F.coalesce("new", "vid"))
+        at = lambda k: F.max(F.when(F.col("corner") == k, F.col("vid"))).alias(f"v{k}")
+        tri = mapped.groupBy("bag_id", "step", "fid").agg(at(0), at(1), at(2)).filter("v0 <> v1 and v1 <> v2 and v2 <> v0")
+        tri = tri.withColumn("_k", F.array_sort(F.array("v0", "v1", "v2"))).groupBy("bag_id", "step", "_k").agg(
+            F.min(F.struct("fid", "v0", "v1", "v2")).alias("m")).select("bag_id", "step", "m.*")
+        return merged, cut(tri)
+
+    def judged(steps: DataFrame, tri: DataFrame) -> DataFrame:
+        """(bag_id, step, ok, still): whether the target is met, and whether another step in that direction changes nothing."""
+        counts = tri.groupBy("bag_id", "step").agg(F.count(F.lit(1)).alias("_n"))
+        n = F.coalesce("_n", F.lit(0))
+        return steps.join(counts, ["bag_id", "step"], "left").join(plan.select("bag_id", "low", (F.col("n") - F.col("p")).alias("free")), "bag_id").select(
+            "bag_id", "step", (n <= F.col("low")).alias("ok"), ((n == 0) | (n == F.col("free"))).alias("still"))
+
+    bags = plan.filter("not _skip").select("bag_id")
+    known, open_bags = None, bags.withColumns({"_from": F.lit(0), "_to": F.lit(3)})
+    while True:
+        steps = cut(open_bags.select("bag_id", F.explode(F.transform(F.sequence("_from", "_to"), lambda i: i.cast("double"))).alias("step")))
+        got = judged(steps, clustered(steps)[1])
+        known = cut(got if known is None else known.unionByName(got))
+        ends = known.groupBy("bag_id").agg(F.min("step").alias("first"), F.max("step").alias("last"), F.min_by("ok", "step").alias("first_ok"),
+                                           F.min_by("still", "step").alias("first_still"), F.bool_or("ok").alias("any_ok"), F.max_by("still", "step").alias("last_still"))
+        finer = F.col("first_ok") & ~F.col("first_still")
+        coarser = ~F.col("any_ok") & ~F.col("last_still")
+        open_bags = cut(ends.filter(finer | coarser).select(
+            "bag_id", F.when(finer, F.col("first") - 4).otherwise(F.col("last") + 1).cast("int").alias("_from"),
+            F.when(finer, F.col("first") - 1).otherwise(F.col("last") + 4).cast("int").alias("_to")))
+        if open_bags.isEmpty():
+            break
+    met = known.groupBy("bag_id").agg(F.min(F.when(F.col("ok"), F.col("step"))).alias("met"), F.max("step").alias("last"))
+    between = met.withColumn("step", F.explode(F.when(F.col("met").isNull(), F.array("last")).otherwise(
+        F.transform(F.sequence(F.lit(0), F.lit(FINE_STEPS - 1)), lambda i: F.col("met") - i / float(FINE_STEPS))))).select("bag_id", "step")
+    between = cut(between)
+    merged, tri = clustered(between)
+    choice = cut(judged(between, tri).groupBy("bag_id").agg(F.coalesce(F.min(F.when(F.col("ok"), F.col("step"))), F.max("step")).alias("step")))
     new_faces = tri.join(choice, ["bag_id", "step"]).drop("step")
     kept_faces = faces.join(plan.filter("_skip").select("bag_id"), "bag_id", "left_semi").unionByName(
         faces.join(plan.filter("not _skip").select("bag_id"), "bag_id", "left_semi").join(guard, ["bag_id", "fid"], "left_semi"))
@@ -272,6 +303,13 @@ def simplify_mesh(vertices: DataFrame, faces: DataFrame, target: float, cell_siz
     return referenced(placed, out_faces), out_faces
 
 
+def simplify_report(faces: DataFrame, simplified: DataFrame, target: float) -> DataFrame:
+    """(bag_id, n, target, left, met) of every mesh: faces before, wanted and after simplifying."""
+    left = simplified.groupBy("bag_id").agg(F.count(F.lit(1)).alias("left"))
+    want = decimate_target(faces, target).join(left, "bag_id", "left").withColumn("left", F.coalesce("left", F.lit(0)))
+    return want.withColumn("met", F.col("left") <= F.greatest(F.lit(4), F.col("target")))
+
+
 def trim_low_support(vertices: DataFrame, faces: DataFrame, percentile: float, support: str = "support") -> tuple[DataFrame, DataFrame]:
     """Drop vertices whose support lies under the percentile of their mesh, with their faces."""
     limit = exact_percentile(vertices, support, percentile / 100.0, ["bag_id"], "limit")

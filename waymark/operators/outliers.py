@@ -193,9 +193,10 @@ def _ranked(slotted: DataFrame, by) -> DataFrame:
     return slotted.withColumn("_in", inner).join(sizes, [*by, "_slot"]).withColumn("_rn", F.col("_in") + F.col("_before"))
 
 
-def mean_spacing(points: DataFrame, spacing: float, sample: int = 20_000, by=BY) -> DataFrame:
-    """Mean distance to the nearest other point over an even sample; zero for fewer than ten points."""
-    picked = evenly_spaced(points, sample, by)
+def mean_spacing(points: DataFrame, spacing: float, sample: int | None = None, by=BY) -> DataFrame:
+    """Mean distance to the nearest other point; zero for fewer than ten points. All points are asked unless `sample`
+    bounds how many, evenly spaced, are."""
+    picked = points if sample is None else evenly_spaced(points, sample, by)
     near = nearest(picked, points, 2, spacing, by)
     d = F.sqrt(F.get("neighbours", F.lit(1))["d2"])
     stats = near.withColumn("_d", d).groupBy(*by).agg(F.avg(F.when(F.col("_d") > 0, F.col("_d"))).alias("_s"))
@@ -204,7 +205,7 @@ def mean_spacing(points: DataFrame, spacing: float, sample: int = 20_000, by=BY)
         *by, "n", F.when(F.col("n") < 10, 0.0).otherwise(F.coalesce("_s", F.lit(0.0))).alias("spacing"))
 
 
-def suggest_depth(points: DataFrame, spacing: float, lowest: int = 6, highest: int = 11, sample: int = 20_000) -> DataFrame:
+def suggest_depth(points: DataFrame, spacing: float, lowest: int = 6, highest: int = 11, sample: int | None = None) -> DataFrame:
     """Octree depth that matches extent and spacing; nine without a spacing, the lowest for a flat extent."""
     s = mean_spacing(points, spacing, sample)
     box = points.groupBy("bag_id").agg(*[(F.max(a) - F.min(a)).alias(f"d{a}") for a in "xyz"])

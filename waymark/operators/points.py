@@ -110,9 +110,10 @@ def voxel_downsample(points: DataFrame, size: float, by=("bag_id",), means=(), w
 
 
 def voxel_id() -> Column:
-    """Voxel key packed in one long, 21 bits an axis."""
+    """Voxel key packed in one long, 21 bits an axis; a voxel beyond them is an error, never another voxel's id."""
     off = 1 << 20
-    return ((F.col("vx") + off) * (1 << 42) + (F.col("vy") + off) * (1 << 21) + (F.col("vz") + off)).cast("long")
+    held = reduce(lambda a, b: a & b, [F.col(v).between(-off, off - 1) for v in VOXEL])
+    return F.when(~held, F.raise_error(F.lit("voxel beyond 21 bits an axis: subtract the log's smallest voxel first")).cast("long")).otherwise(((F.col("vx") + off) * (1 << 42) + (F.col("vy") + off) * (1 << 21) + (F.col("vz") + off)).cast("long"))
 
 
 def merge_frames(points: DataFrame, size: float, means=()) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from waymark.operators.fold import ordered_fold
 from waymark.operators.mesh import corners
 from waymark.operators.odometry import exact_percentile
 from waymark.operators.timejoin import within_time
+from waymark.session import cut
 
 CAM = ("cam_x", "cam_y", "cam_z")
 
@@ -51,17 +53,66 @@ def view_geometry(pairs: DataFrame, k: dict) -> DataFrame:
         *[f"_{o}{a}" for o in "on" for a in "xyz"])
 
 
-def cull_faces(faces: DataFrame, cameras: DataFrame, k: dict, max_angle: float = 75.0, reach: float | None = None) -> DataFrame:
-    """Faces in front of, turned to and within a half-image margin of at least one camera.
-
-    Without `reach` every camera of the log is tried, as the rule has no distance; give the longest
-    useful distance to search by cells.
+def _cells_in_view(cells: DataFrame, cameras: DataFrame, k: dict, reach: float, done: float) -> DataFrame:
+    """Cells of faces with the cameras whose widened image may show some of their box, for boxes that come within `reach` of the camera
+    and do not lie wholly within `done`."""
+    names = ("_gx", "_gy", "_gz")
+    c = cameras.withColumns({n: cell(a, reach) for n, a in zip(names, CAM)})
+    for n in names:
+        c = c.withColumn(n, F.explode(F.sequence(F.col(n) - 1, F.col(n) + 1)))
+    held = cells.withColumns({n: F.floor(F.col(f"c{a}") / 8).cast("long") for n, a in zip(names, "xyz")})
+    pairs = held.join(c, ["bag_id", *names]).drop(*names)
+    gap, far = F.lit(0.0), F.lit(0.0)
+    for a, p in zip("xyz", CAM):
+        g = F.greatest(F.lit(0.0), F.col(f"lo{a}") - F.col(p), F.col(p) - F.col(f"hi{a}"))
+        h = F.greatest(F.col(f"hi{a}") - F.col(p), F.col(p) - F.col(f"lo{a}"))
+        gap, far = gap + g * g, far + h * h
+    pairs = pairs.filter((gap <= reach * reach) & (far > done * done))
+    # Each side of the widened view is a plane through the camera; a box wholly behind one of them cannot be seen.
+    fx, fy, cx, cy, w, h = (float(k[n]) for n in ("fx", "fy", "cx", "cy", "width", "height"))
+    behind = None
+    for side in range(5):
+        all_out = None
+        for corner in range(8):
+            at = [F.col(f"{'hi' if corner >> i & 1 else 'lo'}{a}") for i, a in enumerate("xyz")]
+            x, y, z = camera.world_to_optical(list(rot.MATRIX), CAM, at)
+            value = (z - 0.1, fx * x + (cx + 0.5 * w) * z, (1.5 * w - cx) * z - fx * x, fy * y + (cy + 0.5 * h) * z, (1.5 * h - cy) * z - fy * y)[side]
+            out = value < -1e-9
+            all_out = out if all_out is None else all_out & out
+        behind = all_out if behind is None else behind | all_out
+    return pairs.filter(~behind)
+
+
+def cull_faces(faces: DataFrame, cameras: DataFrame, k: dict, max_angle: float = 75.0, start: float = 8.0) -> DataFrame:
+    """Faces in front of, turned to and within a half-image margin of at least one camera, at whatever distance.
+
+    Rounds of growing reach, the first `start`: faces seen in one are done, and only boxes of the others' cells are tried against farther
+    cameras before any face is. The last reach spans the scene.
     """
-    pairs = faces.join(cameras, "bag_id") if reach is None else face_view_pairs(faces, cameras, reach)
-    g = view_geometry(pairs, k)
+    span = [f(c).alias(f"{n}{a}") for a in "xyz" for n, f in (("lo", F.min), ("hi", F.max)) for c in [a]]
+    eyes = [f(c).alias(f"{n}{a}") for a, c in zip("xyz", CAM) for n, f in (("lo", F.min), ("hi", F.max))]
+    ends = faces.groupBy("bag_id").agg(*span).unionByName(cameras.groupBy("bag_id").agg(*eyes)).groupBy("bag_id").agg(
+        *[F.min(f"lo{a}").alias(f"lo{a}") for a in "xyz"], *[F.max(f"hi{a}").alias(f"hi{a}") for a in "xyz"])
+    width = ends.agg(F.max(sum((F.pow(F.col(f"hi{a}") - F.col(f"lo{a}"), 2) for a in "yz"), F.pow(F.col("hix") - F.col("lox"), 2)))).first()[0]
+    widest = math.sqrt(width or 0.0) * (1 + 1e-9) + 1e-6
     w, h = F.lit(float(k["width"])), F.lit(float(k["height"]))
-    seen = (F.col("depth") > 0.1) & (F.col("align") > math.cos(math.radians(max_angle))) & camera.in_image(F.col("u"), F.col("v"), w, h, 0.5)
-    return faces.join(g.filter(seen).select("bag_id", "fid").distinct(), ["bag_id", "fid"], "left_semi")
+    eye = cameras.select("bag_id", "kf_idx", *CAM, *rot.MATRIX)
+    open_ = faces.select("bag_id", "fid", "x", "y", "z", "nx", "ny", "nz")
+    found, done, reach = [], 0.0, start
+    while True:
+        named = cut(open_.withColumns({f"c{a}": cell(a, reach / 8) for a in "xyz"}))
+        key = ["bag_id", "cx", "cy", "cz"]
+        boxes = named.groupBy(*key).agg(*[F.min(a).alias(f"lo{a}") for a in "xyz"], *[F.max(a).alias(f"hi{a}") for a in "xyz"])
+        pairs = _cells_in_view(boxes, eye, k, reach, done).select(*key, "kf_idx")
+        tried = named.join(pairs, key).drop("cx", "cy", "cz").join(eye, ["bag_id", "kf_idx"])
+        g = view_geometry(tried, k)
+        seen = (F.col("depth") > 0.1) & (F.col("align") > math.cos(math.radians(max_angle))) & camera.in_image(F.col("u"), F.col("v"), w, h, 0.5)
+        seen = cut(g.filter(seen).select("bag_id", "fid").distinct())
+        found.append(seen)
+        if reach >= widest:
+            return faces.join(reduce(DataFrame.unionByName, found), ["bag_id", "fid"], "left_semi")
+        open_ = named.drop("cx", "cy", "cz").join(seen, ["bag_id", "fid"], "left_anti")
+        done, reach = reach, reach * 4
 
 
 def visible_pairs(faces: DataFrame, cameras: DataFrame, k: dict, max_angle: float = 75.0, near: float = 0.4,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from waymark.functions.grid import cell_trunc
 from waymark.operators import occupancy as occ, outliers, points as pts
 from waymark.plans import fixtures as fx
 from waymark.plans.cloud_queries import VOX, wvox
@@ -117,8 +118,9 @@ def _(spark, sf):
 
 fx.add_view("occ_cells", "SELECT bag_id, gx, gy FROM world_cells WHERE n >= 5", ["world_cells"])
 fx.add_view("world_cells", f"""
-  SELECT bag_id, CAST(floor((x + 80) / {GRID}) AS BIGINT) AS gx, CAST(floor((y + 80) / {GRID}) AS BIGINT) AS gy, count(*) AS n FROM world
-  WHERE abs(x) < 79 AND abs(y) < 79 GROUP BY 1, 2, 3""", ["world"])
+  SELECT bag_id, gx, gy, count(*) AS n FROM (
+    SELECT bag_id, CAST(trunc((x - min_x) / {GRID}) AS BIGINT) AS gx, CAST(trunc((y - min_y) / {GRID}) AS BIGINT) AS gy, x_size, y_size
+    FROM world JOIN ext USING (bag_id)) WHERE gx < x_size AND gy < y_size GROUP BY 1, 2, 3""", ["world", "ext"])
 _FLOOD = """
   labels(bag_id, gx, gy, label, pass) AS (
     SELECT bag_id, gx, gy, gy * 2147483648 + gx, 0 FROM {cells}
@@ -130,14 +132,16 @@ _FLOOD = """
 
 
 def world_cells(spark, sf):
-    w = pts.transform_points(fx.points(spark, sf), frame_poses(spark, sf, False).filter("px is not null"))
-    near = w.filter((F.abs("x") < 79) & (F.abs("y") < 79))
-    keyed = near.select("bag_id", F.floor((F.col("x") + 80) / GRID).alias("gx"), F.floor((F.col("y") + 80) / GRID).alias("gy"))
-    return keyed.groupBy("bag_id", "gx", "gy").agg(F.count(F.lit(1)).alias("n"))
+    """Points per raster cell of each log, and the rasters."""
+    w = cut(pts.transform_points(fx.points(spark, sf), frame_poses(spark, sf, False).filter("px is not null")))
+    ext = cut(pts.extent(w, GRID))
+    keyed = w.join(ext, "bag_id").withColumns({g: cell_trunc(a, GRID, F.col(f"min_{a}")) for g, a in (("gx", "x"), ("gy", "y"))})
+    inside = keyed.filter((F.col("gx") < F.col("x_size")) & (F.col("gy") < F.col("y_size")))
+    return inside.groupBy("bag_id", "gx", "gy").agg(F.count(F.lit(1)).alias("n")), ext
 
 
 def occ_cells(spark, sf):
-    return cut(world_cells(spark, sf).filter("n >= 5").select("bag_id", "gx", "gy"))
+    return cut(world_cells(spark, sf)[0].filter("n >= 5").select("bag_id", "gx", "gy"))
 
 
 def _component_sql(cells: str, body: str, views: list[str]) -> str:
@@ -153,20 +157,20 @@ def _(spark, sf):
 
 
 _CLOSED = """
-  grown AS (SELECT DISTINCT bag_id, gx + i AS gx, gy + j AS gy FROM occ_cells, (VALUES (-1), (0), (1)) a(i), (VALUES (-1), (0), (1)) b(j)
-    WHERE gx + i BETWEEN 0 AND 159 AND gy + j BETWEEN 0 AND 159),
+  grown AS (SELECT DISTINCT bag_id, gx + i AS gx, gy + j AS gy FROM (SELECT * FROM occ_cells JOIN ext USING (bag_id)), (VALUES (-1), (0), (1)) a(i), (VALUES (-1), (0), (1)) b(j)
+    WHERE gx + i BETWEEN 0 AND x_size - 1 AND gy + j BETWEEN 0 AND y_size - 1),
   closed AS (SELECT bag_id, gx, gy FROM (SELECT bag_id, gx + i AS gx, gy + j AS gy FROM grown, (VALUES (-1), (0), (1)) a(i), (VALUES (-1), (0), (1)) b(j))
     GROUP BY 1, 2, 3 HAVING count(*) = 9)"""
 
 
-@query("filter_small_clusters", "G2", sql_with(["occ_cells", "world_cells"], f"""
+@query("filter_small_clusters", "G2", sql_with(["occ_cells", "world_cells", "ext"], f"""
 WITH {_CLOSED},{_FLOOD.format(cells='closed', passes=110)},
   comp AS (SELECT *, count(*) OVER (PARTITION BY bag_id, label) AS size FROM labels WHERE pass = 110)
 SELECT w.bag_id, w.gx, w.gy, CASE WHEN c.size < 20 THEN 127 WHEN c.size IS NOT NULL THEN 0 WHEN w.n >= 5 THEN 0 ELSE 254 END AS value
 FROM world_cells w LEFT JOIN comp c USING (bag_id, gx, gy)""", recursive=True))
 def _(spark, sf):
-    grid = world_cells(spark, sf).withColumn("value", F.when(F.col("n") >= 5, 0).otherwise(254)).drop("n")
-    ext = grid.groupBy("bag_id").agg(F.lit(160).alias("x_size"), F.lit(160).alias("y_size"))
+    cells, ext = world_cells(spark, sf)
+    grid = cells.withColumn("value", F.when(F.col("n") >= 5, 0).otherwise(254)).drop("n")
     return occ.filter_small_clusters(grid, ext, 20, 1)
 
 
@@ -178,14 +182,13 @@ def _(spark, sf):
                                               r("origin_y").alias("origin_y"), "negate", "occupied_thresh")
 
 
-@query("pgm_rows", "K6", sql_with(["world_cells"], """
-SELECT bag_id, 159 - gy AS row, string_agg(CAST(value AS VARCHAR), ' ' ORDER BY gx) AS line FROM (
-  SELECT b.bag_id, x.gx, y.gy, CASE WHEN w.n >= 5 THEN 0 WHEN w.n IS NOT NULL THEN 254 ELSE 127 END AS value
-  FROM (SELECT DISTINCT bag_id FROM world_cells) b, (SELECT unnest(generate_series(0, 159)) AS gx) x, (SELECT unnest(generate_series(0, 159)) AS gy) y
-  LEFT JOIN world_cells w ON w.bag_id = b.bag_id AND w.gx = x.gx AND w.gy = y.gy) GROUP BY bag_id, gy"""))
+@query("pgm_rows", "K6", sql_with(["world_cells", "raster", "ext"], """
+SELECT bag_id, y_size - 1 - gy AS row, string_agg(CAST(value AS VARCHAR), ' ' ORDER BY gx) AS line FROM (
+  SELECT r.bag_id, r.gx, r.gy, e.y_size, CASE WHEN w.n >= 5 THEN 0 WHEN w.n IS NOT NULL THEN 254 ELSE 127 END AS value
+  FROM raster r JOIN ext e USING (bag_id) LEFT JOIN world_cells w ON w.bag_id = r.bag_id AND w.gx = r.gx AND w.gy = r.gy) GROUP BY bag_id, gy, y_size"""))
 def _(spark, sf):
-    grid = cut(world_cells(spark, sf).withColumn("value", F.when(F.col("n") >= 5, 0).otherwise(254)).drop("n"))
-    ext = grid.groupBy("bag_id").agg(F.lit(160).alias("x_size"), F.lit(160).alias("y_size"))
+    cells, ext = world_cells(spark, sf)
+    grid = cut(cells.withColumn("value", F.when(F.col("n") >= 5, 0).otherwise(254)).drop("n"))
     return occ.pgm_rows(grid, ext)
 
 

@@ -212,7 +212,7 @@ def texture_tables(cloud: DataFrame, keyframes: DataFrame, images: DataFrame, k:
     v = cut(mesh.smooth_mesh(mesh.vertices_of(f, cfg.size), f, "taubin", 5, 0.5))
     cams = cut(views.camera_table(keyframes))
     geo = cut(mesh.face_geometry(v, f))
-    geo = cut(views.cull_faces(geo, cams, k, cfg.angle, cfg.far * 4.0))
+    geo = cut(views.cull_faces(geo, cams, k, cfg.angle))
     best = views.assign_views(views.visible_pairs(geo, cams, k, cfg.angle, cfg.near, cfg.far), k)
     faces = cut(geo.select("bag_id", "fid", "v0", "v1", "v2"))
     adjacency = cut(mesh.face_adjacency(faces))

@@ -17,7 +17,7 @@ _SIDES = ", ".join(
     f"({i}, {s[0]}, {s[1]}, {s[2]}, " + ", ".join(str(c) for corner in cs for c in corner) + ")"
     for i, (s, cs) in enumerate(mesh.CUBE_SIDES))
 fx.add_view("w2", voxel_view("world", SIZE), ["world"])
-fx.add_view("solid", "SELECT bag_id, vx, vy, vz, n, x, y, z FROM w2 WHERE n % 3 <> 0", ["w2"])
+fx.add_view("solid", "SELECT bag_id, vx, vy, vz, n, x, y, z FROM w2", ["w2"])
 fx.add_view("quads", f"""
   SELECT s.bag_id, {_PACK.format('s.vx', 's.vy', 's.vz')} * 12 + d.i * 2 AS fid,
     {', '.join(_PACK.format(f's.vx + c{k}x', f's.vy + c{k}y', f's.vz + c{k}z') + f' AS q{k}' for k in range(4))}
@@ -55,8 +55,7 @@ fx.add_view("sharp_faces", """
 
 
 def solid(spark, sf):
-    v = cut(pts.voxel_downsample(world(spark, sf), SIZE))
-    return v.filter("n % 3 <> 0")
+    return cut(pts.voxel_downsample(world(spark, sf), SIZE))
 
 
 def surface(spark, sf):

@@ -24,7 +24,7 @@ fx.add_view("pair_geo", """
     -(onx * ox + ony * oy + onz * oz) / (sqrt(ox * ox + oy * oy + oz * oz) + 1e-9) AS align FROM (
     SELECT f.bag_id, f.fid, k.kf_idx, k.sharpness, -(-k.s * (f.x - k.px) + k.c * (f.y - k.py)) AS ox, -(f.z - k.pz) AS oy,
       k.c * (f.x - k.px) + k.s * (f.y - k.py) AS oz, -(-k.s * f.nx + k.c * f.ny) AS onx, -f.nz AS ony, k.c * f.nx + k.s * f.ny AS onz
-    FROM fgeo f JOIN kfm k USING (bag_id) WHERE (f.x - k.px) * (f.x - k.px) + (f.y - k.py) * (f.y - k.py) + (f.z - k.pz) * (f.z - k.pz) <= 900)""",
+    FROM fgeo f JOIN kfm k USING (bag_id))""",
             ["fgeo", "kfm"])
 fx.add_view("vis", f"""
   SELECT *, floor(u) AS pu, floor(v) AS pv FROM pair_geo WHERE oz > 0.1 AND align > cos(radians({ANGLE})) AND dist * dist < {FAR * FAR}
@@ -53,7 +53,7 @@ def assigned(geo, cams):
 SELECT DISTINCT bag_id, fid FROM pair_geo WHERE oz > 0.1 AND align > cos(radians({ANGLE})) AND u >= -4 AND u < 12 AND v >= -4 AND v < 12"""))
 def _(spark, sf):
     _v, _f, geo, _kf, cams = scene(spark, sf)
-    return views.cull_faces(geo, cams, fx.K, ANGLE, 30.0).select("bag_id", "fid")
+    return views.cull_faces(geo, cams, fx.K, ANGLE).select("bag_id", "fid")
 
 
 @query("visible_pairs", "J13 A19", sql_with(["vis"], f"""
