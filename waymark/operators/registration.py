@@ -16,38 +16,50 @@ from waymark.session import cut
 
 @dataclass
 class Registration:
+    """`poses` move clouds into the world frame; `sensors` are the odometry poses of the selected frames that have one, which is where
+    the sensor and the camera were whatever frame the cloud came in."""
+
     poses: DataFrame
     cutoffs: DataFrame | None
+    sensors: DataFrame
     stages: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def register_frames(frames: DataFrame, odom: DataFrame, mode: str = "local", max_latency_ns: int = 500_000_000,
+def log_modes(odom: DataFrame, mode: str | DataFrame) -> DataFrame:
+    """(bag_id, frame_mode): one mode for all logs, or a table that names each log's, as `first_frame_id` decides it; logs that it
+    does not list are local."""
+    if isinstance(mode, str):
+        return odom.select("bag_id").distinct().withColumn("frame_mode", F.lit(mode))
+    return mode.select("bag_id", "frame_mode")
+
+
+def register_frames(frames: DataFrame, odom: DataFrame, mode: str | DataFrame = "local", max_latency_ns: int = 500_000_000,
                     min_move: float = 0.10, min_rotation_deg: float = 5.0, max_frames: int = 0,
                     health_check: bool = True, loss_multiplier: float = 6.0,
                     bucket_ns: int = timejoin.BUCKET_NS) -> Registration:
     """World pose of each selected frame.
 
-    Clouds already in a fixed frame (`mode="global"`) are only gated, get unit poses and are not
+    Clouds already in a fixed frame (mode "global", for all logs or by log) are only gated, get unit poses and are not
     health-checked. Only frame keys and poses move through these steps, never points; the pose table is
     written once because selection, lookup and reports all read it.
     """
     frames = frames.select("bag_id", "ts_ns").distinct()
     stages = {"read": frames}
+    fixed = cut(log_modes(odom, mode).filter("frame_mode = 'global'").select("bag_id").distinct())
     cutoffs = None
-    if mode == "local" and health_check:
-        cutoffs = cut(odometry.detect_odom_loss(odom, loss_multiplier, bucket_ns))
+    if health_check:
+        cutoffs = cut(odometry.detect_odom_loss(odom.join(fixed, "bag_id", "left_anti"), loss_multiplier, bucket_ns))
         frames = odometry.truncate_after(frames, cutoffs)
         odom = odometry.truncate_after(odom, cutoffs)
     stages["after_health_check"] = frames
     posed = cut(timejoin.interpolate_pose(frames, odom, max_latency_ns, bucket_ns=bucket_ns))
     kept = gating.motion_gate(posed, min_move, min_rotation_deg, max_frames)
     stages["selected"] = kept
-    if mode == "global":
-        poses = gating.identity_poses(kept)
-    else:
-        poses = posed.filter("px is not null").join(kept, ["bag_id", "ts_ns"])
+    sensors = cut(posed.filter("px is not null").join(kept, ["bag_id", "ts_ns"]))
+    unit = gating.identity_poses(kept.join(fixed, "bag_id", "left_semi"))
+    poses = sensors.join(fixed, "bag_id", "left_anti").select("bag_id", "ts_ns", *timejoin.POSE).unionByName(unit)
     stages["with_pose"] = poses.select("bag_id", "ts_ns")
-    return Registration(poses, cutoffs, stages)
+    return Registration(poses, cutoffs, sensors, stages)
 
 
 def frame_pairs(poses: DataFrame, bucket_ns: int = timejoin.BUCKET_NS) -> DataFrame:

@@ -73,26 +73,31 @@ class MapConfig:
     bucket_ns: int = timejoin.BUCKET_NS
 
 
-def registered_frames(points: DataFrame, odom: DataFrame, cfg: CloudConfig) -> tuple[DataFrame, DataFrame]:
-    """Voxelised scans in the sensor frame and the pose of every selected scan."""
+def registered_frames(points: DataFrame, odom: DataFrame, cfg: CloudConfig, modes: DataFrame | None = None
+                      ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Voxelised scans in the sensor frame, the pose that moves every selected scan into the world, and the odometry pose of its sensor."""
     big = pts.min_frame_points(points, cfg.min_frame_points)
     scans = pts.voxel_downsample(big, cfg.voxel, ("bag_id", "ts_ns")).select("bag_id", "ts_ns", "x", "y", "z")
     scans = cut(pts.min_frame_points(scans, cfg.min_frame_points))
     reg = registration.register_frames(
-        scans, odom, cfg.mode, cfg.max_latency_ns, cfg.min_move, cfg.min_rotation_deg, cfg.max_frames,
+        scans, odom, cfg.mode if modes is None else modes, cfg.max_latency_ns, cfg.min_move, cfg.min_rotation_deg, cfg.max_frames,
         loss_multiplier=cfg.loss_multiplier, bucket_ns=cfg.bucket_ns)
     poses = cut(reg.poses)
     if cfg.icp:
         pairs = registration.frame_pairs(poses, cfg.bucket_ns)
         refined = registration.icp_refine(scans, pairs, cfg.icp_dist, max(cfg.voxel * 2.0, 1e-4))
         poses = cut(registration.refined_poses(poses, registration.gate_correction(refined)))
-    return scans, poses
+    return scans, poses, reg.sensors
 
 
-def registered_cloud(points: DataFrame, odom: DataFrame, cfg: CloudConfig = CloudConfig()) -> DataFrame:
-    """One cleaned world cloud per log with the mean view ray (vx, vy, vz) of every point."""
-    scans, poses = registered_frames(points, odom, cfg)
-    world = pts.transform_points(scans, poses, rays=True)
+def registered_cloud(points: DataFrame, odom: DataFrame, cfg: CloudConfig = CloudConfig(), modes: DataFrame | None = None) -> DataFrame:
+    """One cleaned world cloud per log with the mean view ray (rx, ry, rz) of every point.
+
+    Rays start where odometry has the sensor, in logs of either mode and with refined poses too; points of scans without odometry add
+    none. `modes` (bag_id, frame_mode) tells the mode of each log; without it `cfg.mode` holds for all.
+    """
+    scans, poses, sensors = registered_frames(points, odom, cfg, modes)
+    world = pts.attach_view_rays(pts.transform_points(scans, poses), sensors)
     world = world.withColumnsRenamed({"vx": "rx", "vy": "ry", "vz": "rz"})
     merged = pts.voxel_downsample(world, cfg.voxel, means=("rx", "ry", "rz")).withColumn("point_idx", pts.voxel_id())
     cloud = cut(merged.select("bag_id", "point_idx", "x", "y", "z", "rx", "ry", "rz"))
@@ -102,13 +107,19 @@ def registered_cloud(points: DataFrame, odom: DataFrame, cfg: CloudConfig = Clou
 
 
 def coloured_cloud(points: DataFrame, odom: DataFrame, images: DataFrame, info: DataFrame, cfg: CloudConfig = CloudConfig(),
-                   ccfg: ColourConfig = ColourConfig()) -> DataFrame:
-    """World cloud with camera colours; placeholder-gray points near coloured ones are removed over the whole log."""
-    scans, poses = registered_frames(points, odom, cfg)
-    matched = colour.match_images(poses, images.select("bag_id", "ts_ns"), ccfg.max_dt_ns, cfg.bucket_ns)
+                   ccfg: ColourConfig = ColourConfig(), modes: DataFrame | None = None) -> DataFrame:
+    """World cloud with camera colours; placeholder-gray points near coloured ones are removed over the whole log.
+
+    The camera stands where odometry has it, in logs of either mode and with refined poses too, and at the world's origin for scans
+    without odometry.
+    """
+    scans, poses, sensors = registered_frames(points, odom, cfg, modes)
+    eye = {c: F.coalesce(c, F.lit(1.0 if c == "qw" else 0.0)) for c in timejoin.POSE}
+    cameras = cut(poses.select("bag_id", "ts_ns").join(sensors.select("bag_id", "ts_ns", *timejoin.POSE), ["bag_id", "ts_ns"], "left").withColumns(eye))
+    matched = colour.match_images(cameras, images.select("bag_id", "ts_ns"), ccfg.max_dt_ns, cfg.bucket_ns)
     cams = messages.intrinsics_for(matched.select("bag_id", "ts_ns", "image_ts_ns"), messages.decode_camera_info(info))
     seen = cut(matched.join(cams.drop("image_ts_ns"), ["bag_id", "ts_ns"], "left"))
-    world = pts.transform_points(scans, seen)
+    world = pts.transform_points(scans, poses)
     projected = colour.project_points(world, seen, ccfg.min_depth, ccfg.max_depth)
     used = seen.select("bag_id", F.col("image_ts_ns").alias("ts_ns")).distinct()
     pixel = messages.pixels(images.join(used, ["bag_id", "ts_ns"], "left_semi"))
@@ -167,7 +178,7 @@ def occupancy_map(points: DataFrame, odom: DataFrame, cfg: MapConfig = MapConfig
     """Occupancy grid (bag_id, gx, gy, value) and raster extents per log."""
     frames = gating.stride_frames(points.select("bag_id", "ts_ns").distinct(), cfg.stride, cfg.max_frames)
     poses = cut(timejoin.interpolate_pose(frames, odom, cfg.max_latency_ns, bucket_ns=cfg.bucket_ns, keep_uncovered=False))
-    if cfg.mode == "local":
+    if cfg.mode == "local":  # rays start at the odometry pose in both modes
         world = pts.transform_points(points, poses, rays=True)
     else:
         world = pts.attach_view_rays(points.join(poses.select("bag_id", "ts_ns"), ["bag_id", "ts_ns"], "left_semi"), poses)

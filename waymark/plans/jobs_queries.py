@@ -9,8 +9,9 @@ from waymark.plans import fixtures as fx, jobs
 from waymark.plans.cloud_queries import world
 from waymark.plans.fixtures import r, r6, sql_with
 from waymark.plans.registry import query
-from waymark.plans.timeline_queries import keyframes
+from waymark.plans.timeline_queries import gate_sql, keyframes
 from waymark.session import cut, scratch_path
+from waymark.sources import messages
 
 CLOUD = jobs.CloudConfig(voxel=0.5, min_frame_points=5, min_move=fx.MOVE_M, min_rotation_deg=fx.TURN_DEG,
                          max_latency_ns=fx.LATENCY_NS, clean=False, bucket_ns=fx.BUCKET_NS)
@@ -31,13 +32,32 @@ def _(spark, sf):
     return c.select("bag_id", *[r(a).alias(a) for a in "xyz"], r("rx").alias("rx"))
 
 
+fx.add_view("fixed", "SELECT bag_id FROM frame_ids WHERE lower(ltrim(trim(frame_id), '/')) IN ('odom', 'map', 'world')", ["frame_ids"])
+fx.add_view("kept_fixed", gate_sql("frame_pose", fx.MOVE_M, fx.TURN_DEG), ["frame_pose"])
+
+
+@query("registered_cloud_modes", "Q2 F1 F7 F8", sql_with(["big_vox", "registered", "kept_fixed", "frame_pose", "fixed"], f"""
+SELECT bag_id, {r6('avg(x)')} AS x, {r6('avg(y)')} AS y, {r6('avg(z)')} AS z, {r6('avg(px - x)')} AS rx FROM (
+  SELECT p.bag_id, (1 - 2 * f.qz * f.qz) * p.x - 2 * f.qz * f.qw * p.y + f.px AS x, 2 * f.qz * f.qw * p.x + (1 - 2 * f.qz * f.qz) * p.y + f.py AS y,
+    p.z + f.pz AS z, f.px FROM big_vox p JOIN registered f USING (bag_id, ts_ns) WHERE bag_id NOT IN (SELECT bag_id FROM fixed)
+  UNION ALL
+  SELECT p.bag_id, p.x, p.y, p.z, f.px FROM big_vox p JOIN kept_fixed USING (bag_id, ts_ns) LEFT JOIN frame_pose f USING (bag_id, ts_ns)
+  WHERE bag_id IN (SELECT bag_id FROM fixed))
+GROUP BY bag_id, floor(x / 0.5), floor(y / 0.5), floor(z / 0.5)"""))
+def _(spark, sf):
+    """The mode of every log decided by the frame id of its first cloud."""
+    modes = messages.first_frame_id(fx.messages(spark, sf), "/points")
+    c = jobs.registered_cloud(fx.points(spark, sf), fx.odom(spark, sf), CLOUD, modes)
+    return c.select("bag_id", *[r(a).alias(a) for a in "xyz"], r("rx").alias("rx"))
+
+
 @query("frame_pairs", "J15 X5", sql_with(["registered"], f"""
 SELECT bag_id, to_ts, ts_ns AS from_ts, {r6('c * dx + s * dy')} AS gx, {r6('-s * dx + c * dy')} AS gy FROM (
   SELECT *, 1 - 2 * lz * lz AS c, 2 * lz * lw AS s, px - lx AS dx, py - ly AS dy FROM (
     SELECT *, lag(ts_ns) OVER w AS to_ts, lag(px) OVER w AS lx, lag(py) OVER w AS ly, lag(qz) OVER w AS lz, lag(qw) OVER w AS lw
     FROM registered WINDOW w AS (PARTITION BY bag_id ORDER BY ts_ns))) WHERE to_ts IS NOT NULL"""))
 def _(spark, sf):
-    poses = jobs.registered_frames(fx.points(spark, sf), fx.odom(spark, sf), CLOUD)[1]
+    _scans, poses, _sensors = jobs.registered_frames(fx.points(spark, sf), fx.odom(spark, sf), CLOUD)
     return registration.frame_pairs(poses, fx.BUCKET_NS).select("bag_id", "to_ts", "from_ts", r("gx").alias("gx"), r("gy").alias("gy"))
 
 
@@ -46,13 +66,13 @@ WITH pos AS (SELECT *, row_number() OVER (PARTITION BY bag_id ORDER BY ts_ns) -
 SELECT a.bag_id, a.ts_ns AS from_ts, b.ts_ns AS to_ts FROM pos a JOIN pos b ON a.bag_id = b.bag_id AND a.pos % 5 = 0 AND b.pos % 5 = 0 AND b.pos > 0
   AND b.pos < a.pos AND a.pos - b.pos <= 100 AND sqrt((a.px - b.px) * (a.px - b.px) + (a.py - b.py) * (a.py - b.py)) <= 20"""))
 def _(spark, sf):
-    poses = jobs.registered_frames(fx.points(spark, sf), fx.odom(spark, sf), CLOUD)[1]
+    _scans, poses, _sensors = jobs.registered_frames(fx.points(spark, sf), fx.odom(spark, sf), CLOUD)
     return registration.loop_candidates(poses, 5, 100, 20.0, fx.BUCKET_NS).select("bag_id", "from_ts", "to_ts")
 
 
 @query("icp_refinement", "G11 F14 A34")
 def _(spark, sf):
-    scans, poses = jobs.registered_frames(fx.points(spark, sf), fx.odom(spark, sf), CLOUD)
+    scans, poses, _sensors = jobs.registered_frames(fx.points(spark, sf), fx.odom(spark, sf), CLOUD)
     refined = registration.icp_refine(scans, registration.frame_pairs(poses, fx.BUCKET_NS), 1.0, 1.0)
     return registration.gate_correction(refined, 0.3, 1.0, 30.0).select(
         "bag_id", "to_ts", "from_ts", r("fitness").alias("fitness"), r("rmse").alias("rmse"), "accepted")
@@ -60,7 +80,7 @@ def _(spark, sf):
 
 @query("loop_edges", "G12")
 def _(spark, sf):
-    scans, poses = jobs.registered_frames(fx.points(spark, sf), fx.odom(spark, sf), CLOUD)
+    scans, poses, _sensors = jobs.registered_frames(fx.points(spark, sf), fx.odom(spark, sf), CLOUD)
     pairs = cut(registration.loop_candidates(poses, 5, 100, 20.0, fx.BUCKET_NS))
     refined = registration.icp_refine(scans, pairs, 1.0, 1.0)
     return refined.filter("fitness >= 0.3").select("bag_id", "to_ts", "from_ts", r("fitness").alias("fitness"))
