@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions import camera, rotation as rot
 from waymark.functions.color import FALLBACK_GRAY, lightness
 from waymark.operators.timejoin import nearest_time
+from waymark.sources.messages import decode_image, image_problems
 
 INTRINSICS = ("fx", "fy", "cx", "cy", "width", "height")
 
@@ -46,15 +50,38 @@ def project_points(points: DataFrame, views: DataFrame, min_depth: float = 0.1,
         F.when(valid, F.col("_u").cast("int")).alias("u"), F.when(valid, F.col("_v").cast("int")).alias("v"))
 
 
-def sample_pixels(projected: DataFrame, pixels: DataFrame) -> DataFrame:
+def sample_images(projected: DataFrame, images: DataFrame) -> DataFrame:
     """Colours in [0, 1] of projected points; points without a pixel get the placeholder gray.
 
-    Points without a pixel bypass the join, which would gather them all under one null key.
+    Images stay images: the distinct pixels asked of an image, no more than it has, meet its bytes once, and only their colours
+    are joined back to the points. Points without a pixel bypass the join, which would gather them all under one null key.
     """
     seen = projected.filter(F.col("u").isNotNull())
     rest = projected.filter(F.col("u").isNull())
-    p = pixels.select("bag_id", "image_ts_ns", "v", "u", *[(F.col(c) / 255.0).alias(c) for c in "rgb"])
-    hit = seen.join(p, ["bag_id", "image_ts_ns", "v", "u"], "left").select(
+    key = ["bag_id", "image_ts_ns", "v", "u"]
+    asked = seen.select(*key).distinct().groupBy("bag_id", "image_ts_ns").agg(F.collect_list(F.struct("v", "u")).alias("spots"))
+    good = image_problems(images).filter(F.col("bad_reason").isNull())
+    held = asked.join(good.select("bag_id", F.col("ts_ns").alias("image_ts_ns"), "height", "width", "encoding", "data"), ["bag_id", "image_ts_ns"]).select(
+        "bag_id", "image_ts_ns", "spots", "height", "width", "encoding", "data")
+    bag_type = projected.schema["bag_id"].dataType.simpleString()
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                row = b.slice(i, 1)
+                spots = row.column(2).flatten()
+                v, u = (spots.field(n).to_numpy(zero_copy_only=False) for n in ("v", "u"))
+                rgb = decode_image(row.column(6)[0].as_py(), row.column(3)[0].as_py(), row.column(4)[0].as_py(), row.column(5)[0].as_py())
+                inside = (v >= 0) & (u >= 0) & (v < rgb.shape[0]) & (u < rgb.shape[1])
+                v, u = v[inside], u[inside]
+                tint = rgb[v, u].astype(np.float64) / 255.0
+                one = np.zeros(len(v), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [row.column(0).take(pa.array(one)), row.column(1).take(pa.array(one)), pa.array(v.astype(np.int32)), pa.array(u.astype(np.int32)),
+                     *(pa.array(np.ascontiguousarray(tint[:, c])) for c in range(3))], [*key, "r", "g", "b"])
+
+    tints = held.mapInArrow(look, f"bag_id {bag_type}, image_ts_ns long, v int, u int, r double, g double, b double")
+    hit = seen.join(tints, key, "left").select(
         *projected.columns, *[F.coalesce(c, F.lit(FALLBACK_GRAY)).alias(c) for c in "rgb"])
     miss = rest.select(*projected.columns, *[F.lit(FALLBACK_GRAY).alias(c) for c in "rgb"])
     return hit.unionByName(miss)

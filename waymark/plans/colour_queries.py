@@ -41,7 +41,7 @@ def views(spark, sf):
 def coloured(spark, sf, seen_views=None):
     v = views(spark, sf) if seen_views is None else seen_views
     w = pts.transform_points(fx.points(spark, sf), v)
-    return colour.sample_pixels(colour.project_points(w, v, 1.5, 9.0), messages.pixels(fx.images(spark, sf)))
+    return colour.sample_images(colour.project_points(w, v, 1.5, 9.0), fx.images(spark, sf))
 
 
 @query("project_points", "X6 X7 F15", sql_with(["projected"], "SELECT bag_id, point_idx, image_ts_ns, u, v FROM projected"))

@@ -122,8 +122,7 @@ def coloured_cloud(points: DataFrame, odom: DataFrame, images: DataFrame, info:
     world = pts.transform_points(scans, poses)
     projected = colour.project_points(world, seen, ccfg.min_depth, ccfg.max_depth)
     used = seen.select("bag_id", F.col("image_ts_ns").alias("ts_ns")).distinct()
-    pixel = messages.pixels(images.join(used, ["bag_id", "ts_ns"], "left_semi"))
-    tinted = colour.sample_pixels(projected, pixel)
+    tinted = colour.sample_images(projected, images.join(used, ["bag_id", "ts_ns"], "left_semi"))
     merged = cut(pts.voxel_downsample(tinted, cfg.voxel, means=("r", "g", "b")).withColumn("point_idx", pts.voxel_id()).select(
         "bag_id", "point_idx", "x", "y", "z", "r", "g", "b"))
     cloud = cut(pts.drop_gray_near_color(merged, ccfg.gray_radius))
