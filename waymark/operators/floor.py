@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions import rotation as rot
+from waymark.session import cut
 
 
 def candidate_planes(points: DataFrame, iterations: int, seed: int) -> DataFrame:
@@ -37,16 +39,33 @@ def candidate_planes(points: DataFrame, iterations: int, seed: int) -> DataFrame
     return tri.select("bag_id", "plane", "ax", "ay", "az", rot.dot3(("ax", "ay", "az"), ("x0", "y0", "z0")).alias("off"))
 
 
+def inlier_counts(points: DataFrame, planes: DataFrame, distance: float, block: int = 50_000) -> DataFrame:
+    """(bag_id, plane, n): points within `distance` of each plane, counted for blocks of points by one matrix product each."""
+    sizes = points.groupBy("bag_id").agg(F.ceil(F.count(F.lit(1)) / block).alias("_blocks"))
+    dealt = points.join(sizes, "bag_id").select("bag_id", F.pmod(F.xxhash64("point_idx"), F.col("_blocks")).alias("block"), "x", "y", "z")
+    held = planes.join(sizes, "bag_id").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))).drop("_blocks")
+    bag = points.schema["bag_id"].dataType.simpleString()
+
+    def count(pts: pa.Table, pls: pa.Table) -> pa.Table:
+        xyz = np.column_stack([pts[a].to_numpy() for a in "xyz"])
+        normal = np.column_stack([pls[f"a{a}"].to_numpy() for a in "xyz"])
+        off, total = pls["off"].to_numpy(), np.zeros(len(normal), np.int64)
+        for at in range(0, len(xyz), 2000):
+            total += (np.abs(xyz[at:at + 2000] @ normal.T - off) <= distance).sum(0)
+        return pa.table({"bag_id": pls["bag_id"], "plane": pls["plane"], "n": total})
+
+    counted = dealt.groupBy("bag_id", "block").cogroup(held.groupBy("bag_id", "block")).applyInArrow(count, f"bag_id {bag}, plane int, n long")
+    return counted.groupBy("bag_id", "plane").agg(F.sum("n").alias("n"))
+
+
 def floor_rotations(points: DataFrame, distance: float = 0.02, iterations: int = 1000, seed: int = 7) -> DataFrame:
     """Per log: rotation matrix that turns the best plane's normal to +z, where it has at least ten inliers."""
-    planes = candidate_planes(points, iterations, seed)
+    planes = cut(candidate_planes(points, iterations, seed))
+    best = planes.join(inlier_counts(points, planes, distance), ["bag_id", "plane"]).groupBy("bag_id").agg(
+        F.max_by(F.struct("ax", "ay", "az", "off"), F.struct("n", -F.col("plane"))).alias("b")).select("bag_id", "b.*")
     near = F.abs(F.col("ax") * F.col("x") + F.col("ay") * F.col("y") + F.col("az") * F.col("z") - F.col("off")) <= distance
-    tested = points.select("bag_id", "x", "y", "z").join(planes, "bag_id").filter(near)
-    score = tested.groupBy("bag_id", "plane").agg(
-        F.count(F.lit(1)).alias("n"), *[F.avg(a).alias(f"m{a}") for a in "xyz"],
-        *[F.covar_pop(a, b).alias(a + b) for a, b in ("xx", "xy", "xz", "yy", "yz", "zz")])
-    best = score.groupBy("bag_id").agg(F.max_by(
-        F.struct("n", "xx", "xy", "xz", "yy", "yz", "zz"), F.struct("n", -F.col("plane"))).alias("b")).select("bag_id", "b.*")
+    best = points.select("bag_id", "x", "y", "z").join(best, "bag_id").filter(near).groupBy("bag_id").agg(
+        F.count(F.lit(1)).alias("n"), *[F.covar_pop(a, b).alias(a + b) for a, b in ("xx", "xy", "xz", "yy", "yz", "zz")])
 
     @F.pandas_udf("nx double, ny double, nz double")
     def least(xx: pd.Series, xy: pd.Series, xz: pd.Series, yy: pd.Series, yz: pd.Series, zz: pd.Series) -> pd.DataFrame:

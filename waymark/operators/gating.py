@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions import rotation as rot
 from waymark.operators.fold import ordered_fold
-from waymark.operators.timejoin import POSE, ordinal
+from waymark.operators.timejoin import BUCKET_NS, POSE, ordinal
 
 
 def _angle(a: tuple, b: tuple) -> float:
@@ -51,10 +51,9 @@ def motion_gate(frames: DataFrame, min_move: float, min_rotation_deg: float, cap
     return cap_frames(kept, cap) if cap > 0 else kept
 
 
-def cap_frames(frames: DataFrame, cap: int) -> DataFrame:
-    """First `cap` frames of each log; the rank filter is applied before the shuffle as well."""
-    rank = F.row_number().over(Window.partitionBy("bag_id").orderBy("ts_ns"))
-    return frames.withColumn("_rank", rank).filter(F.col("_rank") <= cap).drop("_rank")
+def cap_frames(frames: DataFrame, cap: int, bucket_ns: int = BUCKET_NS) -> DataFrame:
+    """First `cap` frames of each log, numbered by time buckets so that no task sorts a log."""
+    return ordinal(frames, bucket_ns=bucket_ns, name="_rank").filter(F.col("_rank") <= cap).drop("_rank")
 
 
 def keyframe_gate(images: DataFrame, min_move: float, min_rotation_deg: float,

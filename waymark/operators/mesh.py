@@ -146,8 +146,11 @@ def referenced(vertices: DataFrame, faces: DataFrame) -> DataFrame:
 
 
 def dense_index(vertices: DataFrame, faces: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Renumber vertices 0..n-1 per mesh in id order: ranks within id slots plus the sizes of earlier slots."""
-    slotted = vertices.withColumn("_slot", F.expr(f"vid div {STRIDE * STRIDE}L"))
+    """Renumber vertices 0..n-1 per mesh in id order: ranks within id slots, whose number grows with the mesh, plus the sizes of
+    earlier slots."""
+    span = vertices.groupBy("bag_id").agg(F.count(F.lit(1)).alias("_n"), F.min("vid").alias("_lo"), F.max("vid").alias("_hi"))
+    share = (F.col("vid") - F.col("_lo")).cast("double") / (F.col("_hi") - F.col("_lo") + 1)
+    slotted = vertices.join(span, "bag_id").withColumn("_slot", F.floor(share * F.ceil(F.col("_n") / 2048)).cast("long")).drop("_n", "_lo", "_hi")
     sizes = slotted.groupBy("bag_id", "_slot").agg(F.count(F.lit(1)).alias("_c"))
     before = Window.partitionBy("bag_id").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("bag_id", "_slot", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_o"))

@@ -171,11 +171,11 @@ def borrow_normals(points: DataFrame, cloud: DataFrame, spacing: float) -> DataF
 def evenly_spaced(points: DataFrame, sample: int, by=BY) -> DataFrame:
     """Rows at evenly spaced positions (both ends included) of each group in `point_idx` order.
 
-    Positions come from counts per index slot and ranks inside a slot, so no group is sorted whole.
+    Positions come from counts per index slot and ranks inside a slot, whose number grows with the group, so no group is sorted whole.
     """
     span = points.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("point_idx").alias("_lo"), F.max("point_idx").alias("_hi"))
     slotted = points.join(span, list(by)).withColumn(
-        "_slot", F.floor((F.col("point_idx") - F.col("_lo")).cast("double") / (F.col("_hi") - F.col("_lo") + 1) * 4096).cast("long"))
+        "_slot", F.floor((F.col("point_idx") - F.col("_lo")).cast("double") / (F.col("_hi") - F.col("_lo") + 1) * F.ceil(F.col("_n") / 2048)).cast("long"))
     # slots are ascending in point_idx, so (slot, index) order equals index order
     numbered = _ranked(slotted, by)
     pos = F.col("_rn") - 1
