@@ -18,7 +18,7 @@ from waymark.llm.components import components
 from waymark.session import cut
 
 SPLIT = 16
-ROUNDS = 4
+ROUNDS = 2
 
 
 def band_members(bands: DataFrame) -> DataFrame:
