@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from waymark.operators import registration
+from waymark.plans import colour_queries  # noqa: F401  (defines the colour views)
 from waymark.plans import fixtures as fx, jobs
-from waymark.plans.cloud_queries import world
+from waymark.plans.cloud_queries import voxel_view, world
 from waymark.plans.fixtures import r, r6, sql_with
 from waymark.plans.registry import query
 from waymark.plans.timeline_queries import gate_sql, keyframes
@@ -100,7 +101,39 @@ def _(spark, sf):
     return f.groupBy("bag_id").agg(F.count(F.lit(1)).alias("faces")).join(v.groupBy("bag_id").agg(F.count(F.lit(1)).alias("vertices")), "bag_id")
 
 
-@query("coloured_cloud", "Q4")
+# The coloured job's steps as views: the same rules as for single operators, over the selected scans.
+fx.add_view("rworld", """
+  SELECT p.bag_id, p.ts_ns, 0 AS point_idx, (1 - 2 * f.qz * f.qz) * p.x - 2 * f.qz * f.qw * p.y + f.px AS x,
+    2 * f.qz * f.qw * p.x + (1 - 2 * f.qz * f.qz) * p.y + f.py AS y, p.z + f.pz AS z FROM big_vox p JOIN registered f USING (bag_id, ts_ns)""",
+            ["big_vox", "registered"])
+fx.add_view("rviews", fx.SQL_VIEWS["views"].replace("frame_pose f", "registered f"), ["registered", "frame_image"])
+fx.add_view("rprojected", fx.SQL_VIEWS["projected"].replace("FROM world w JOIN views v", "FROM rworld w JOIN rviews v").replace(
+    "BETWEEN 1.5 AND", "BETWEEN 0.5 AND"), ["rworld", "rviews"])
+fx.add_view("rcoloured", fx.SQL_VIEWS["coloured"].replace("projected", "rprojected"), ["rprojected", "pixels"])
+fx.add_view("rvox", voxel_view("rcoloured", 0.5, ", avg(g) AS g"), ["rcoloured"])
+fx.add_view("rcloud", """
+  SELECT * FROM rvox a WHERE abs(g - 0.5) >= 0.15 OR NOT EXISTS (
+    SELECT 1 FROM (SELECT * FROM rvox WHERE abs(g - 0.5) >= 0.15) c WHERE c.bag_id = a.bag_id AND c.x BETWEEN a.x - 0.7 AND a.x + 0.7
+    AND (c.x - a.x) * (c.x - a.x) + (c.y - a.y) * (c.y - a.y) + (c.z - a.z) * (c.z - a.z) <= 0.7::DOUBLE * 0.7::DOUBLE)""", ["rvox"])
+fx.add_view("regcloud", "SELECT bag_id, avg(x) AS x, avg(y) AS y, avg(z) AS z FROM rworld GROUP BY bag_id, floor(x / 0.5), floor(y / 0.5), floor(z / 0.5)", ["rworld"])
+
+
+def _tiles_sql(cloud: str) -> str:
+    layer = "SELECT bag_id, '{0}' AS lod, avg(x) AS x, avg(y) AS y, avg(z) AS z FROM {1} GROUP BY bag_id, floor(x / {2}), floor(y / {2}), floor(z / {2})"
+    return f"""
+WITH layers AS ({layer.format('coarse', cloud, 2.0)} UNION ALL {layer.format('medium', cloud, 1.0)} UNION ALL SELECT bag_id, 'fine', x, y, z FROM {cloud}),
+origin AS (SELECT *, 6378137.0::DOUBLE / sqrt(1 - e2 * sl * sl) AS n FROM (
+  SELECT bag_id, sin(radians(avg(latitude))) AS sl, cos(radians(avg(latitude))) AS cl, sin(radians(avg(longitude))) AS so,
+    cos(radians(avg(longitude))) AS co, avg(altitude) AS alt, (1 / 298.257223563::DOUBLE) * (2 - 1 / 298.257223563::DOUBLE) AS e2
+  FROM gps WHERE status <> -1 GROUP BY 1)),
+written AS (SELECT bag_id, lod, count(*) AS points, {r6('avg(-so * x + co * y + (n + alt) * cl * co)', 3)} AS ex FROM layers JOIN origin USING (bag_id) GROUP BY 1, 2),
+tiles AS (SELECT bag_id, lod, count(*) AS tiles, CAST(sum(n) AS BIGINT) AS listed FROM (
+  SELECT bag_id, lod, count(*) AS n FROM layers GROUP BY bag_id, lod, floor(x / 16.0), floor(y / 16.0)) GROUP BY 1, 2)
+SELECT bag_id, lod, points, ex, tiles, listed FROM written JOIN tiles USING (bag_id, lod)"""
+
+
+@query("coloured_cloud", "Q4", sql_with(["rcloud"], f"""
+SELECT bag_id, point_idx, {r6('x')} AS x, {r6('y')} AS y, {r6('z')} AS z, {r6('g')} AS g FROM rcloud"""))
 def _(spark, sf):
     c = jobs.coloured_cloud(fx.points(spark, sf), fx.odom(spark, sf), fx.images(spark, sf), fx.camera_info(spark, sf), CLOUD,
                             jobs.ColourConfig(fx.IMAGE_DT_NS, 0.5, 9.0, 0.7))
@@ -124,12 +157,12 @@ def _tiles(spark, sf, cloud, means=()):
     return written.join(tiles, ["bag_id", "lod"])
 
 
-@query("geo_tiles", "Q6 K7 K3")
+@query("geo_tiles", "Q6 K7 K3", sql_with(["regcloud", "gps"], _tiles_sql("regcloud")))
 def _(spark, sf):
     return _tiles(spark, sf, jobs.registered_cloud(fx.points(spark, sf), fx.odom(spark, sf), CLOUD))
 
 
-@query("coloured_geo_tiles", "Q7")
+@query("coloured_geo_tiles", "Q7", sql_with(["rcloud", "gps"], _tiles_sql("rcloud")))
 def _(spark, sf):
     c = jobs.coloured_cloud(fx.points(spark, sf), fx.odom(spark, sf), fx.images(spark, sf), fx.camera_info(spark, sf), CLOUD,
                             jobs.ColourConfig(fx.IMAGE_DT_NS, 0.5, 9.0, 0.7))
