@@ -221,7 +221,29 @@ def _(spark, sf):
     return xyz(outliers.density_noise_filter(wvox(spark, sf), 3.3, 14), "bag_id", "point_idx")
 
 
-@query("clean_points", "A13")
+def _or_before(before: str, after: str) -> str:
+    return f"SELECT * FROM {after} UNION ALL SELECT * FROM {before} WHERE bag_id NOT IN (SELECT bag_id FROM {after})"
+
+
+fx.add_view("clean0", voxel_view("world", 2.0), ["world"])
+fx.add_view("clean1_", f"SELECT w.* FROM clean0 w JOIN ({_COUNT_SQL.format(v='clean0', r=6.0)}) USING (bag_id, point_idx) WHERE hits > 12", ["clean0"])
+fx.add_view("clean1", _or_before("clean0", "clean1_"), ["clean0", "clean1_"])
+fx.add_view("clean1_knn", knn_view("clean1", "clean1", 20), ["clean1"])
+fx.add_view("clean1_d", "SELECT bag_id, point_idx, avg(sqrt(d2)) AS mean_d FROM clean1_knn GROUP BY 1, 2", ["clean1_knn"])
+fx.add_view("clean2_", """
+  SELECT v.* FROM clean1 v JOIN clean1_d USING (bag_id, point_idx) JOIN (
+    SELECT bag_id, any_value(mu) AS mu, sqrt(sum(CASE WHEN mean_d > 0 THEN (mean_d - mu) * (mean_d - mu) ELSE 0 END) / (count(*) - 1)) AS sd FROM (
+      SELECT *, sum(CASE WHEN mean_d > 0 THEN mean_d ELSE 0 END) OVER w / count(*) OVER w AS mu FROM clean1_d WINDOW w AS (PARTITION BY bag_id)) GROUP BY 1)
+    USING (bag_id) WHERE mean_d > 0 AND mean_d < mu + 2.0 * sd""", ["clean1", "clean1_d"])
+fx.add_view("clean2", _or_before("clean1", "clean2_"), ["clean1", "clean2_"])
+fx.add_view("clean3_", f"""
+  SELECT a.* FROM clean2 a WHERE EXISTS (SELECT 1 FROM (
+    SELECT w.* FROM clean2 w JOIN ({_COUNT_SQL.format(v='clean2', r=8.0)}) USING (bag_id, point_idx) WHERE hits >= 30) b
+    WHERE a.bag_id = b.bag_id AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z) <= 64.0)""", ["clean2"])
+fx.add_view("clean3", _or_before("clean2", "clean3_"), ["clean2", "clean3_"])
+
+
+@query("clean_points", "A13", sql_with(["clean3"], f"SELECT bag_id, point_idx, {_XYZ} FROM clean3"))
 def _(spark, sf):
     return xyz(outliers.clean_points(world(spark, sf), 2.0), "bag_id", "point_idx")
 
