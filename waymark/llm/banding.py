@@ -44,10 +44,9 @@ def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return cut(placed.join(mixed, "key"))
 
 
-def dealt(crowded: DataFrame, block: int) -> DataFrame:
-    """(key, part, node, label): each band's nodes dealt to blocks of about `block` by hash, a part for every pair of blocks."""
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    own = crowded.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node", F.lit(6)), F.col("blocks")).cast("int"))
+def dealt(crowded: DataFrame) -> DataFrame:
+    """(key, part, node, label): each band's nodes dealt to its number of `blocks` by hash, a part for every pair of blocks."""
+    own = crowded.withColumn("own", F.pmod(F.xxhash64("node", F.lit(6)), F.col("blocks")).cast("int"))
     parts = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.least(o, F.col("own")) * F.col("blocks") + F.greatest(o, F.col("own")))
     return own.select("key", F.explode(parts).alias("part"), "node", "label")
 

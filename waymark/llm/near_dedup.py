@@ -211,10 +211,14 @@ def crowd_links(node: np.ndarray, label: np.ndarray, sets: list[np.ndarray], per
     return node[moved], node[reach[moved]]
 
 
-def _crowds(crowded: DataFrame, sets: DataFrame, percent: int, block: int = 400) -> DataFrame:
-    """(a, b) edges within large bands (key, node, label, n): a band is dealt to blocks by hash, and every pair of blocks is compared
-    in one task by products of incidence matrices."""
-    parts = dealt(crowded, block).join(sets, "node")
+def _crowds(crowded: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, block: int = 400, members: int = 200_000) -> DataFrame:
+    """(a, b) edges within large bands (key, node, label, n): a band is dealt by hash to blocks of about `block` nodes, or fewer where
+    their sets would hold more than `members` shingles, and every pair of blocks is compared in one task by products of incidence
+    matrices."""
+    sized = crowded.join(nodes.select(F.col("fp").alias("node"), "n_shingles"), "node")
+    weight = cut(sized.groupBy("key").agg(F.sum("n_shingles").alias("total")))
+    blocks = F.greatest(F.ceil(F.col("n") / block), F.least(F.col("n"), F.ceil(F.col("total") / members))).cast("int")
+    parts = dealt(crowded.join(weight, "key").withColumn("blocks", blocks)).join(sets, "node")
 
     def compare(t: pa.Table) -> pa.Table:
         column = t.column("members").combine_chunks()
@@ -240,7 +244,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     def verify(pairs: DataFrame) -> DataFrame:
         return _verified(_likely(pairs, nodes, gate), sets, percent)
 
-    labels = linked(members, verify, lambda crowded: _crowds(crowded, sets, percent))
+    labels = linked(members, verify, lambda crowded: _crowds(crowded, nodes, sets, percent))
     named = cut(nodes.select("fp", "doc_id").join(labels, F.col("fp") == F.col("id")).select("fp", "doc_id", "label"))
     lowest = cut(named.groupBy("label").agg(F.min("doc_id").alias("low")))
     told = cut(named.join(lowest, "label").select("fp", "low").unionByName(
