@@ -352,6 +352,17 @@ def near_vectors(rows: DataFrame, threshold: float = 0.95, overlap: int = 2) ->
                       F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
 
 
-@query("op10_embedding_graph")
+ORACLE = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+ends AS (SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach(vec_id, other) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, x.b FROM reach r JOIN ends x ON x.a = r.other)
+SELECT v.vec_id, coalesce(n, 0) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM embeddings v JOIN (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY 1) USING (vec_id)
+LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM ends GROUP BY 1) USING (vec_id)"""
+
+
+@query("op10_embedding_graph", ORACLE)
 def op10_embedding_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))

@@ -254,7 +254,23 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id").eqNullSafe(component), F.lit(True)).alias("kept"))
 
 
-@query("op2_near_dedup")
+#: All pairs that share a shingle, and the closure of their links.
+ORACLE = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN coalesce(len(w), 0) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM split),
+each AS (SELECT doc_id, unnest(s) AS x FROM sets),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM each a JOIN each b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN sets p ON p.doc_id = a JOIN sets q ON q.doc_id = b WHERE 100 * n >= 80 * (len(p.s) + len(q.s) - n)),
+ends AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM sets UNION SELECT r.doc_id, e.b FROM reach r JOIN ends e ON e.a = r.other)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+FROM sets s JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1) c USING (doc_id)"""
+
+
+@query("op2_near_dedup", ORACLE)
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return near_duplicates(docs, size=4)
