@@ -2,7 +2,7 @@
 
 In every round each node is paired with one partner at most, the leader of most of its bands; verified pairs are contracted, and
 bands whose nodes all lie in one component are done. The first leaders are the smallest nodes, later ones are drawn by hash.
-After `ROUNDS` rounds, or one without a link, nodes of one band that still lie in different components are compared: in bands
+After some rounds, or one without a link, nodes of one band that still lie in different components are compared: in bands
 of up to `SPLIT` nodes as pairs, in larger ones by the `crowd` function given. Nodes of one component need no further pair, so
 nothing is lost but what the keys themselves miss.
 """
@@ -51,14 +51,15 @@ def dealt(crowded: DataFrame) -> DataFrame:
     return own.select("key", F.explode(parts).alias("part"), "node", "label")
 
 
-def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], crowd: Callable[[DataFrame], DataFrame], split: int = SPLIT) -> DataFrame:
+def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], crowd: Callable[[DataFrame], DataFrame], split: int = SPLIT,
+           rounds: int = ROUNDS) -> DataFrame:
     """(id, label) of all nodes that have a link; label is the smallest node of the component. `verify` returns those of the distinct
     pairs (a, b) given to it that are links; `crowd` returns (a, b) rows that connect what is linked within the large bands
     (key, node, label, n) given to it."""
     links = cut(verify(cut(_partners(members.withColumnRenamed("low", "lead")))))
     labels = _labels(links)
     rest = _unsettled(members, labels)
-    for turn in range(1, ROUNDS):
+    for turn in range(1, rounds):
         lead = cut(rest.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "label")).alias("lead")).select(
             "key", F.col("lead.node").alias("lead"), F.col("lead.label").alias("of")))
         pairs = cut(_partners(rest.join(lead, "key").filter("label <> of")))
