@@ -1,10 +1,11 @@
 """Toxicity by averaged subword embeddings and a linear softmax, both trained here in numpy.
 
 A word is the bag of its character (byte) n-grams, bounded by markers; n-grams are hashed to `BUCKETS` rows of an embedding
-table. A text is the mean of the embeddings of all its n-grams, and the softmax layer on top is trained together with the
+table. A text is the mean of the embeddings of its n-grams, where a word counts `REPEATS` times at most, so that one repeated without end does
+not stand for the text; the softmax layer on top is trained together with the
 table by gradient descent with steps scaled per parameter (Adagrad). Misspelt or unseen words share most n-grams with known ones and so land near them.
 
-As the layer is linear, the margin of a text is the mean over its n-grams of one number per bucket; scoring gathers these
+As the layer is linear, the margin of a text is the mean over these n-grams of one number per bucket; scoring gathers the
 numbers for whole texts.
 
 Training rows are a bounded sample: all labelled rows of the training folds if there are at most `sample`, else those with
@@ -24,18 +25,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.llm.registry import query
-from waymark.llm.textbytes import LOWER, SLICE_BYTES, batched, fold, mix, slices, widened, words
+from waymark.llm.textbytes import LOWER, SLICE_BYTES, batched, fold, mix, slices, widened, word_hashes, words
 
 BUCKETS = 1 << 17
 WIDTH = 8
 GRAMS = (3, 4, 5)
+REPEATS = 3
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of every n-gram of every word with its markers, and the number of n-grams of each row."""
+    """Bucket of every n-gram of every word with its markers, and the number of n-grams of each row; of equal words of a row the first
+    `REPEATS` count."""
     start, end, count = words(data, offsets)
     if not len(start):
         return np.zeros(0, np.int32), np.zeros(len(offsets) - 1, np.int64)
+    owner = np.repeat(np.arange(len(count)), count)
+    told = word_hashes(data, start)
+    order = np.lexsort((told, owner))
+    fresh = np.ones(len(order), bool)
+    fresh[REPEATS:] = (told[order][REPEATS:] != told[order][:-REPEATS]) | (owner[order][REPEATS:] != owner[order][:-REPEATS])
+    kept = np.sort(order[fresh])
+    start, end, count = start[kept], end[kept], np.bincount(owner[kept], minlength=len(count))
     size = end - start + 2
     total = np.cumsum(size)
     first = total - size
@@ -63,7 +73,7 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(keys)[order], np.diff(edges)
 
 
-def train(texts: list[str | None], labels: list[int], epochs: int = 4, rate: float = 3.0, seed: int = 7) -> tuple[np.ndarray, float]:
+def train(texts: list[str | None], labels: list[int], epochs: int = 6, rate: float = 2.0, seed: int = 7) -> tuple[np.ndarray, float]:
     """Margin per bucket and bias after joint training of embeddings and layer."""
     y = np.asarray(labels, np.float32)
     share = float(y.mean()) if len(y) else 0.0
@@ -77,7 +87,7 @@ def train(texts: list[str | None], labels: list[int], epochs: int = 4, rate: flo
             bags.append(ids)
             weights.append((times / max(1, len(part))).astype(np.float32))
     rng = np.random.default_rng(seed)
-    table = rng.normal(0, 0.3, (BUCKETS, WIDTH)).astype(np.float32)
+    table = rng.normal(0, 0.05, (BUCKETS, WIDTH)).astype(np.float32)
     layer = rng.normal(0, 0.3, (WIDTH, 2)).astype(np.float32)
     bias = np.log(np.array([1 - share, share], np.float32))
     seen = np.full((BUCKETS, WIDTH), 1e-12, np.float32)
@@ -105,7 +115,9 @@ def train(texts: list[str | None], labels: list[int], epochs: int = 4, rate: flo
             pull = np.stack([np.bincount(back, grad[:, j], len(used)) for j in range(WIDTH)], 1).astype(np.float32)
             seen[used] += pull * pull
             table[used] -= step * pull / np.sqrt(seen[used])
-    return (table @ (layer[:, 1] - layer[:, 0])).astype(np.float32), float(bias[1] - bias[0])
+    margin = (table @ (layer[:, 1] - layer[:, 0])).astype(np.float32)
+    margin[(seen <= 1e-12).all(1)] = 0  # buckets that no training text has say nothing
+    return margin, float(bias[1] - bias[0])
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", sample: int = 6000) -> tuple[np.ndarray, float]:
