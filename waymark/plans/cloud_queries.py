@@ -143,14 +143,6 @@ def _(spark, sf):
     return spacejoin.neighbours_within(v, v, 0.83).select("bag_id", "point_idx", "hits")
 
 
-@query("radius_semi", "J8", sql_with(["points", "svox"], """
-SELECT point_idx, bag_id FROM svox s WHERE EXISTS (SELECT 1 FROM points w WHERE w.bag_id = s.bag_id AND w.z > 1.5 AND w.x > 5
-  AND (w.x - s.x) * (w.x - s.x) + (w.y - s.y) * (w.y - s.y) + (w.z - s.z) * (w.z - s.z) <= 0.43 * 0.43)"""))
-def _(spark, sf):
-    high = fx.points(spark, sf).filter("z > 1.5 and x > 5")
-    return spacejoin.radius_semi(svox(spark, sf), high, 0.43).select("bag_id", "point_idx")
-
-
 fx.add_view("ror", f"""
   SELECT w.* FROM wvox w JOIN ({_COUNT_SQL.format(v='wvox', r=2.5)}) USING (bag_id, point_idx) WHERE hits > 6""", ["wvox"])
 
@@ -177,6 +169,26 @@ def mvox(spark, sf):
     return cut(pts.voxel_downsample(fx.points(spark, sf), 1.0).withColumn("point_idx", pts.voxel_id()))
 
 
+_NEAR_MEAN = """EXISTS (SELECT 1 FROM mvox w WHERE w.bag_id = s.bag_id AND w.x BETWEEN s.x - 0.43 AND s.x + 0.43
+  AND (w.x - s.x) * (w.x - s.x) + (w.y - s.y) * (w.y - s.y) + (w.z - s.z) * (w.z - s.z) <= 0.43::DOUBLE * 0.43::DOUBLE)"""
+
+
+@query("radius_semi", "J8", sql_with(["svox", "mvox"], f"SELECT bag_id, point_idx FROM svox s WHERE {_NEAR_MEAN}"))
+def _(spark, sf):
+    """Two whole clouds of a log, voxel means of half a metre and of a metre, against each other."""
+    return spacejoin.radius_semi(svox(spark, sf), mvox(spark, sf), 0.43).select("bag_id", "point_idx")
+
+
+@query("radius_anti_copies", "J8 J10", sql_with(["svox", "mvox"], f"""
+SELECT bag_id, {r6('x', 9)} AS x, count(*) AS n FROM (
+  SELECT bag_id, x, y, z FROM svox s WHERE NOT {_NEAR_MEAN} UNION ALL SELECT bag_id, x, y, z FROM svox s WHERE NOT {_NEAR_MEAN}) GROUP BY 1, 2"""))
+def _(spark, sf):
+    """Every point twice and without an id: all copies have to stay."""
+    s = svox(spark, sf).select("bag_id", "x", "y", "z")
+    left = spacejoin.radius_anti(cut(s.unionByName(s)), mvox(spark, sf), 0.43)
+    return left.groupBy("bag_id", r("x", 9).alias("x")).agg(F.count(F.lit(1)).alias("n"))
+
+
 fx.add_view("mvox_knn", knn_view("mvox", "mvox", 20), ["mvox"])
 
 
