@@ -53,3 +53,20 @@ def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert math.isfinite(len(entry.queries()))
+
+
+def test_cloud_folder_stops_at_the_vertex_count(spark, tmp_path):
+    from waymark.sources import files
+
+    rows = [f"{i}.5 {i} 0" for i in range(400)]
+    head = ["ply", "format ascii 1.0", "element vertex 400", "property double x", "element face 2", "end_header"]
+    (tmp_path / "12-500000000.ply").write_text("\n".join([*head, *rows, "3 0 1 2", "3 1 2 3"]) + "\n")
+    (tmp_path / "13-0.xyz").write_text("1 2 3\n4 5 6\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    got = {}
+    for size in ("128m", "1k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        got[size] = sorted((r["name"], r["point_idx"], r["x"]) for r in files.read_cloud_folder(spark, str(tmp_path)).collect())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = sorted([("12-500000000", i, i + 0.5) for i in range(400)] + [("13-0", 0, 1.0), ("13-0", 1, 4.0)])
+    assert got["128m"] == want and got["1k"] == want

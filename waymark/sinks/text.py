@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions.color import byte_channel
+from waymark.session import cut
 
 
 def ply_lines(points: DataFrame, color: bool = False, axes=("x", "y", "z")) -> DataFrame:
@@ -26,8 +27,8 @@ def ply_header(count: int, color: bool = False, kind: str = "double") -> str:
 
 def write_ply(points: DataFrame, path: str, color: bool = False, axes=("x", "y", "z")) -> None:
     """Body as text parts under `path`/body, header (needs the count) as `path`/header."""
-    lines = ply_lines(points, color, axes)
-    count = points.count()
+    lines = cut(ply_lines(points, color, axes))  # read for the count and for the body
+    count = lines.count()
     lines.select("line").write.mode("overwrite").text(f"{path}/body")
     spark = points.sparkSession
     head = spark.range(1).select(F.lit(ply_header(count, color)).alias("line")).coalesce(1)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waymark.functions.grid import stem_ts
@@ -77,22 +77,36 @@ def read_image_folder(spark: SparkSession, path: str, offset: float = 0.0) -> Da
     ).filter(F.col("ts_sec").isNotNull())
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, n, line) of text files, n being the line's number in its file whatever blocks the file is read in."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line_id"), F.trim("value").alias("line"))
+    blocks = lines.groupBy("file", "block").agg(F.min("line_id").alias("_first"), F.count(F.lit(1)).alias("_lines"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)))
+    return lines.join(blocks, ["file", "block"]).select("file", (F.col("line_id") - F.col("_first") + F.col("_before")).alias("n"), "line")
+
+
 def read_cloud_folder(spark: SparkSession, path: str, offset: float = 0.0) -> DataFrame:
     """Points of ASCII PLY or XYZ files, one file per scan, times from the file stems.
 
-    Lines whose first three fields are not numbers are header lines. Files are split by line like any
-    text, so a large file is read by many tasks.
+    Of a PLY file the lines after its header count, as many as it has vertices; of other files all whose first three fields are
+    numbers. Files are split by line like any text, so a large file is read by many tasks; `point_idx` follows the lines of a file.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line_id"), F.trim("value").alias("line"))
+    lines = numbered_lines(spark, path)
+    vertices = F.regexp_extract("line", r"^element\s+vertex\s+(\d+)", 1).try_cast("long")
+    heads = lines.filter("line = 'end_header' or line like 'element%'").groupBy("file").agg(
+        F.min(F.when(F.col("line") == "end_header", F.col("n"))).alias("_head"), F.max(vertices).alias("_vertices"))
     numbers = F.split("line", r"\s+")
     first_three = [F.get(numbers, F.lit(i)).try_cast("double") for i in range(3)]
-    parsed = lines.select("file", "block", "line_id", *[c.alias(a) for a, c in zip("xyz", first_three)])
+    start = F.coalesce(F.col("_head") + 1, F.lit(0))
+    held = lines.join(heads, "file", "left").filter(
+        F.col("_head").isNull() | (F.col("n") >= start) & (F.col("_vertices").isNull() | (F.col("n") < start + F.col("_vertices"))))
+    parsed = held.select("file", (F.col("n") - start).alias("point_idx"), *[c.alias(a) for a, c in zip("xyz", first_three)])
     stem = file_stem(F.col("file"))
     good = parsed.filter(F.col("x").isNotNull() & F.col("y").isNotNull() & F.col("z").isNotNull())
-    return good.select(stem.alias("name"), stem_ts(stem, offset).alias("ts_sec"), F.col("line_id").alias("point_idx"),
-                       "x", "y", "z").filter(F.col("ts_sec").isNotNull())
+    return good.select(stem.alias("name"), stem_ts(stem, offset).alias("ts_sec"), "point_idx", "x", "y", "z").filter(F.col("ts_sec").isNotNull())
 
 
 def read_mesh(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
