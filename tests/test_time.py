@@ -126,3 +126,21 @@ def test_ordered_fold_running_sum(spark):
     out = ordered_fold(df, ["bag_id"], ["ts_ns"], ["ts_ns", "v"], step, "ts_ns long, total double", partitions=7)
     for r in out.collect():
         assert r.total == sum(range(r.bag_id, r.ts_ns + 1, 3))
+
+
+def test_percentiles_of_wide_brackets(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from waymark.operators import odometry
+
+    df = spark.range(60_000).select((F.col("id") % 3).alias("bag_id"), F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise(
+        F.exp(F.rand(3) * 20) + F.col("id") % 3).alias("v")).cache()
+    rows = df.toPandas()
+    for p in (0.0, 0.37, 0.95, 1.0):
+        for by, most in ((["bag_id"], 5), ([], 5), (["bag_id"], 100_000)):
+            got = odometry.exact_percentile(df, "v", p, by, "q", most).collect()
+            for r in got:
+                part = rows[rows.bag_id == r["bag_id"]] if by else rows
+                assert abs(r["q"] - np.percentile(part.v, p * 100)) <= 1e-9 * abs(r["q"])
+            assert len(got) == (3 if by else 1)

@@ -7,16 +7,45 @@ from pyspark.sql import functions as F
 
 from waymark.functions import rotation as rot
 from waymark.operators.timejoin import BUCKET_NS, previous_sample
+from waymark.session import cut
 
 SKETCH = 10_000
 
 
-def exact_percentile(df: DataFrame, value: str, p: float, by: list[str], name: str = "value") -> DataFrame:
+def _with_marks(rows: DataFrame, marks: DataFrame, by: list[str]) -> DataFrame:
+    return rows.join(marks, by) if by else rows.crossJoin(F.broadcast(marks))
+
+
+def _narrowed(rows: DataFrame, marks: DataFrame, by: list[str], p: float, most: int, bins: int = 1024) -> DataFrame:
+    """`marks` with brackets that hold at most `most` rows of a group, or one value: the rows of a wider bracket are counted in bins, and
+    the bins that hold the wanted ranks are the next bracket."""
+    while True:
+        inside = (F.col("_lo").isNull() | (F.col("_v") >= F.col("_lo"))) & (F.col("_hi").isNull() | (F.col("_v") <= F.col("_hi")))
+        held = _with_marks(rows, marks, by)
+        seen = cut(held.groupBy(*by).agg(
+            F.first("_n").alias("_n"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"), F.sum((F.col("_v") < F.col("_lo")).cast("long")).alias("_c"),
+            F.sum(inside.cast("long")).alias("_m"), F.min(F.when(inside, F.col("_v"))).alias("_a"), F.max(F.when(inside, F.col("_v"))).alias("_b")))
+        wide = (F.col("_m") > most) & (F.col("_b") > F.col("_a"))
+        if seen.filter(wide).isEmpty():
+            return marks
+        step = (F.col("_b") - F.col("_a")) / bins
+        k = F.floor((F.col("_n") - 1) * F.lit(float(p)))
+        counted = _with_marks(rows, seen.filter(wide), by).filter((F.col("_v") >= F.col("_a")) & (F.col("_v") <= F.col("_b"))).withColumn(
+            "_bin", F.least(F.lit(bins - 1), F.floor((F.col("_v") - F.col("_a")) / step).cast("int"))).groupBy(*by, "_bin").agg(
+            F.count(F.lit(1)).alias("_k"), F.min("_v").alias("_x"), F.max("_v").alias("_y"), F.first("_n").alias("_n"), F.first(F.coalesce("_c", F.lit(0))).alias("_c"))
+        run = counted.withColumn("_cum", F.col("_c") + F.sum("_k").over(Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        wanted = run.filter((F.col("_cum") > k) & (F.col("_cum") - F.col("_k") <= F.least(k + 1, F.col("_n") - 1)))
+        next_ = wanted.groupBy(*by).agg(F.min("_x").alias("_p"), F.max("_y").alias("_q"))
+        joined = seen.join(next_, by, "left") if by else seen.crossJoin(next_)
+        marks = cut(joined.select(*by, "_n", F.coalesce("_p", "_lo").alias("_lo"), F.coalesce("_q", "_hi").alias("_hi")))
+
+
+def exact_percentile(df: DataFrame, value: str, p: float, by: list[str], name: str = "value", most: int = 100_000) -> DataFrame:
     """Linear-interpolated percentile per group without holding a group in one task.
 
     A mergeable quantile sketch brackets the wanted ranks within a known rank error; values under the
     bracket are only counted, values in it are counted per distinct value, and the ranks are read
-    from the running counts. Groups too small for a bracket are counted whole. The group size is
+    from the running counts. A bracket that still holds more than about `most` rows is narrowed first. Groups too small for a bracket are counted whole. The group size is
     returned as `<name>_n`.
     """
     rows = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
@@ -30,7 +59,12 @@ def exact_percentile(df: DataFrame, value: str, p: float, by: list[str], name: s
         F.when((F.col("_n") >= 2 * SKETCH) & F.lit(low > 0.0), F.col("_q")[0]).alias("_lo"),
         F.when((F.col("_n") >= 2 * SKETCH) & F.lit(high < 1.0), F.col("_q")[1]).alias("_hi"),
     )
-    joined = rows.join(marks, by) if by else rows.crossJoin(F.broadcast(marks))
+    marks = cut(marks)
+    # A bracket holds about 8 / SKETCH of its group; only groups far beyond `most` need another look.
+    if (marks.agg(F.max("_n")).first()[0] or 0) * 8 > most * SKETCH:
+        rows = cut(rows)
+        marks = _narrowed(rows, marks, by, p, most)
+    joined = _with_marks(rows, marks, by)
     binned = joined.filter(F.col("_hi").isNull() | (F.col("_v") <= F.col("_hi"))).withColumn(
         "_v", F.when(F.col("_v") < F.col("_lo"), F.lit(float("-inf"))).otherwise(F.col("_v")))
     counts = binned.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n"))
