@@ -283,7 +283,7 @@ def test_toxicity_on_unseen_spellings():
         return " ".join(w)
 
     y = [i % 4 == 0 for i in range(400)]
-    margin, bias = toxicity.train([text(t, bad) for t in y], [int(t) for t in y])
+    margin, bias = toxicity.train(pa.array([text(t, bad) for t in y], pa.large_string()), [int(t) for t in y])
     unseen = ["disgustingg", "worthlesss", "patheticc"]
     held = [text(i % 2 == 0, unseen) for i in range(100)]
     score = toxicity.scores(pa.array(held), margin, bias)

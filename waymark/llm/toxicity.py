@@ -73,19 +73,24 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(keys)[order], np.diff(edges)
 
 
-def train(texts: list[str | None], labels: list[int], epochs: int = 6, rate: float = 2.0, seed: int = 7) -> tuple[np.ndarray, float]:
+def train(texts: pa.Array, labels: list[int], epochs: int = 6, rate: float = 2.0, seed: int = 7) -> tuple[np.ndarray, float]:
     """Margin per bucket and bias after joint training of embeddings and layer."""
     y = np.asarray(labels, np.float32)
     share = float(y.mean()) if len(y) else 0.0
     if not 0 < share < 1:
         return np.zeros(BUCKETS, np.float32), (-30.0 if share == 0 else 30.0)
-    bags, weights = [], []
-    for _, data, offsets in slices(pa.array(texts, pa.large_string())):
-        keys, count = grams(data, offsets)
-        for part in np.split(keys, np.cumsum(count)[:-1]):
-            ids, times = np.unique(part, return_counts=True)
-            bags.append(ids)
-            weights.append((times / max(1, len(part))).astype(np.float32))
+    # Bags of all texts in a few flat arrays, which give their memory back.
+    keys, weights, sizes = [], [], []
+    for _, data, offsets in slices(texts):
+        key, count = grams(data, offsets)
+        owner = np.repeat(np.arange(len(count)), count)
+        told, times = np.unique(owner.astype(np.int64) * BUCKETS + key, return_counts=True)
+        owner = told // BUCKETS
+        keys.append((told % BUCKETS).astype(np.int32))
+        weights.append((times / count[owner]).astype(np.float32))
+        sizes.append(np.bincount(owner, minlength=len(count)))
+    keys, weights, sizes = np.concatenate(keys), np.concatenate(weights), np.concatenate(sizes)
+    first = np.cumsum(sizes) - sizes
     rng = np.random.default_rng(seed)
     table = rng.normal(0, 0.05, (BUCKETS, WIDTH)).astype(np.float32)
     layer = rng.normal(0, 0.3, (WIDTH, 2)).astype(np.float32)
@@ -94,13 +99,13 @@ def train(texts: list[str | None], labels: list[int], epochs: int = 6, rate: flo
     seen_layer = np.full((WIDTH, 2), 1e-12, np.float32)
     batch = 32
     for epoch in range(epochs):
-        order = rng.permutation(len(bags))
+        order = rng.permutation(len(sizes))
         step = rate * (1 - epoch / epochs)
         for at in range(0, len(order), batch):
             rows = order[at:at + batch]
-            ids = np.concatenate([bags[r] for r in rows])
-            w = np.concatenate([weights[r] for r in rows])
-            owner = np.repeat(np.arange(len(rows)), [len(bags[r]) for r in rows])
+            size = sizes[rows]
+            at_each = np.repeat(first[rows], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            ids, w, owner = keys[at_each], weights[at_each], np.repeat(np.arange(len(rows)), size)
             parts = table[ids] * w[:, None]
             mean = np.stack([np.bincount(owner, parts[:, j], len(rows)) for j in range(WIDTH)], 1).astype(np.float32)
             z = mean @ layer + bias
@@ -130,12 +135,13 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", sample: int = 60
     for label in (0, 1):
         part = known.filter(F.col("toxic") == label).orderBy(rank, "doc_id").limit(sample // 2)
         chosen = part if chosen is None else chosen.unionByName(part)
-    got = docs.select("doc_id", F.col(text).alias("text")).join(chosen, "doc_id").collect()
-    got = sorted(((r["doc_id"], r["text"] or "", r["toxic"]) for r in got))
-    margin, bias = train([t for _, t, _ in got], [y for _, _, y in got])
-    ones = sum(y for _, _, y in got)
-    if 0 < ones < len(got) and odds.get(0) and odds.get(1):
-        bias += float(np.log(odds[1] / odds[0]) - np.log(ones / (len(got) - ones)))
+    got = docs.select("doc_id", F.col(text).alias("text")).join(chosen, "doc_id").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    labels = got.column("toxic").to_pylist()
+    texts = got.column("text").cast(pa.large_string()).combine_chunks() if len(got) else pa.array([], pa.large_string())
+    margin, bias = train(texts, labels)
+    ones = sum(labels)
+    if 0 < ones < len(labels) and odds.get(0) and odds.get(1):
+        bias += float(np.log(odds[1] / odds[0]) - np.log(ones / (len(labels) - ones)))
     return margin, bias
 
 
