@@ -85,6 +85,19 @@ def test_line_dedup(docs):
         assert by[1]["gone"] == "x" and by[1]["digest"] == "x"
 
 
+def test_line_dedup_reads_long_words_to_their_end(spark):
+    chinese = "".join(chr(0x4E00 + 37 * i % 5000) for i in range(90))
+    lines = ["https://www.example.org/alpha/report-2021", "https://www.wikidata.net/zebra", chinese[:12] + "甲乙丙丁", chinese[:12] + "戊己庚辛",
+             "commonprefix\u2028one", "commonprefix\u2028two", "/usr/share/documents/a.txt", "/usr/share/documents/b.txt"]
+    got = rows(line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")))
+    assert [r["text"] for r in sorted(got, key=lambda r: r["doc_id"])] == lines
+    # A copy in a script without blanks is known wherever a character was added, and a shared long word does not stand for the line.
+    copies = [(1, chinese * 3), (2, "新" + chinese * 3), (3, "http://a.example/" + "x1y2z3" * 6 + " one two three four five"),
+              (4, "http://a.example/" + "x1y2z3" * 6 + " six seven eight nine ten")]
+    got = {r["doc_id"]: r["n_removed"] for r in rows(line_dedup.dedup_lines(spark.createDataFrame(copies, "doc_id long, text string")))}
+    assert got == {1: 0, 2: 1, 3: 0, 4: 0}
+
+
 def test_suffix_tree(docs):
     got = rows(suffix_tree.score_texts(docs, docs))
     assert len(got) == docs.count()
