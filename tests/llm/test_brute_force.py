@@ -255,6 +255,24 @@ def test_decontamination_recall_and_precision(spark):
     assert hit >= 0.97 * len(want) and set(got) <= set(want)
 
 
+def test_decontamination_recall_of_short_items_at_the_tolerance(spark):
+    rng = np.random.default_rng(17)
+    items = [(i, prose(rng, 40)[: 14 + i % 76].strip()) for i in range(228)]
+    items += [(300 + i, "".join(chr(0x4E00 + int(c)) for c in rng.integers(0, 5000, 8 + i))) for i in range(20)]  # no blank to begin at
+    docs = []
+    for i, text in items:
+        c = list(text)
+        for _ in range(int(len(text.encode()) * 0.1) if i < 300 else 0):
+            at = int(rng.integers(0, len(c)))
+            c[at] = chr(97 + int(rng.integers(0, 26)))
+        docs.append((i, f"{prose(rng, 20)} {'' if i < 300 else '文'}{''.join(c)} {prose(rng, 20)}"))
+    kept = [(i, t) for i, t in items if len(t.encode()) >= 14]
+    found = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(kept, "item_id long, text string")).collect()
+    got = {r["doc_id"]: r["items"] for r in found}
+    hit = [i in got.get(i, []) for i, _ in kept]
+    assert sum(hit) >= 0.97 * len(kept)
+
+
 def test_edit_distance_against_the_textbook():
     def plain(a, b):
         row = [0] * (len(b) + 1)

@@ -3,8 +3,9 @@
 Texts and items are brought to a normal form (A-Z lower-cased, one space between words) and compared as bytes. A window begins
 at every word. A random walk reads it: step j emits the byte under the pointer and, by a random bit for (j, byte), moves on or
 stays. Strings few edits apart walk together again after an edit, so edit distance becomes Hamming distance between walks; a key
-is a hash of some sampled steps. `REPEATS` independent walks and samples are taken, and an item has a key for each of its words
-that stands far enough from its end, so an item within the tolerance is missed only if every one of its windows is.
+is a hash of some sampled steps. Independent walks and samples are taken, and an item has a key for each of its words from which the walk
+ends within it, so an item within the tolerance is missed only if every one of its windows is. Items of fewer than `LONG` bytes have too
+few of these: their walks are short, more in number, and begin at every byte of items and texts. Recall aimed at: 0.98 at the tolerance.
 
 Keys of the items fill a bitmap of bounded size, which is broadcast; document windows whose key may be an item's are joined with
 the item keys exactly. What is left is aligned, tested for shared 4-grams (a condition that no pair within the tolerance fails)
@@ -28,19 +29,21 @@ from waymark.llm.registry import query
 from waymark.llm.textbytes import batched, mix, normal, salts, slices, words
 from waymark.session import cut
 
-REPEATS = 2
-#: Steps of a walk and steps sampled for its key, for items of at least so many bytes; shorter items get short walks, all sampled.
-STEPS, SAMPLED = 40, 18
-SHORT_STEPS = 14
+#: Steps of a walk, steps sampled for its key and number of walks, for items of at least `LONG` bytes; shorter items get short walks, all sampled.
+STEPS, SAMPLED, REPEATS = 40, 18, 2
+SHORT_STEPS, SHORT_REPEATS = 14, 4
+LONG = 90
+#: Windows that are walked at once.
+WINDOWS = 1 << 20
 #: The bitmap has 2 to this power bits at most.
 MOST_BITS = 27
 GRAM = 4
 
 
-def _walks(steps: int, sampled: int) -> list[tuple[np.ndarray, np.ndarray, int]]:
+def _walks(steps: int, sampled: int, repeats: int) -> list[tuple[np.ndarray, np.ndarray, int]]:
     """For each repetition the moves by (step, byte), which steps are sampled, and a salt."""
     out = []
-    for repeat in range(REPEATS):
+    for repeat in range(repeats):
         rng = np.random.default_rng(100 * steps + repeat)
         chosen = np.zeros(steps, bool)
         chosen[rng.permutation(steps)[:sampled]] = True
@@ -48,11 +51,11 @@ def _walks(steps: int, sampled: int) -> list[tuple[np.ndarray, np.ndarray, int]]
     return out
 
 
-WALKS = {steps: _walks(steps, sampled) for steps, sampled in ((STEPS, SAMPLED), (SHORT_STEPS, SHORT_STEPS))}
+WALKS = {STEPS: _walks(STEPS, SAMPLED, REPEATS), SHORT_STEPS: _walks(SHORT_STEPS, SHORT_STEPS, SHORT_REPEATS)}
 
 
-def window_keys(text: np.ndarray, start: np.ndarray, steps: int) -> list[np.ndarray]:
-    """A key per repetition for the window at each start; bytes past the end are zeros."""
+def window_keys(text: np.ndarray, start: np.ndarray, steps: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per repetition a key for the window at each start, and where its walk ends; bytes past the text are zeros."""
     padded = np.append(text, np.zeros(steps, np.uint8))
     out = []
     for moves, chosen, salt in WALKS[steps]:
@@ -64,12 +67,14 @@ def window_keys(text: np.ndarray, start: np.ndarray, steps: int) -> list[np.ndar
                 key *= np.uint64(0x9E3779B97F4A7C15)
                 key += byte
             at += moves[j][byte]
-        out.append(mix(key))
+        out.append((mix(key), at))
     return out
 
 
-def _starts(flat: np.ndarray) -> np.ndarray:
-    """Where words begin in texts of normal form."""
+def _starts(flat: np.ndarray, steps: int) -> np.ndarray:
+    """Where windows begin in texts of normal form: at words, those of short walks at every byte."""
+    if steps == SHORT_STEPS:
+        return np.arange(len(flat))
     return np.flatnonzero(np.append(32, flat[:-1]) == 32) if len(flat) else np.zeros(0, np.int64)
 
 
@@ -80,12 +85,13 @@ def item_keys(items: DataFrame) -> DataFrame:
         for b in batches:
             for item, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 text = np.frombuffer(body, np.uint8)
-                steps = STEPS if len(text) >= STEPS else SHORT_STEPS
-                start = _starts(text)
-                start = start[start + steps <= len(text)]
-                for keys in window_keys(text, start, steps):
+                steps = STEPS if len(text) >= LONG else SHORT_STEPS
+                start = _starts(text, steps)
+                for keys, end in window_keys(text, start, steps):
+                    inside = end <= len(text)
+                    keys, at = keys[inside], start[inside]
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(keys.view(np.int64)), pa.array(np.full(len(start), item, np.int64)), pa.array(start.astype(np.int32))], ["key", "item", "at"])
+                        pa.array(keys.view(np.int64)), pa.array(np.full(len(at), item, np.int64)), pa.array(at.astype(np.int32))], ["key", "item", "at"])
 
     return items.select("item", "body").mapInArrow(run, "key long, item long, at int")
 
@@ -157,8 +163,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", tole
     kind = docs.schema["doc_id"].dataType.simpleString()
     if reach[0] is None:
         return docs.select("doc_id").limit(0).withColumns({"items": F.array().cast("array<long>"), "distance": F.lit(0)})
-    longest = int(reach[0] * (1 + tolerance)) + 1
-    kinds = [s for s, present in ((STEPS, reach[0] >= STEPS), (SHORT_STEPS, reach[1] < STEPS)) if present]
+    # Kinds of walks, each with the length of the longest part that one of its items may match.
+    kinds = [(s, int(most * (1 + tolerance)) + 1) for s, most, present in (
+        (STEPS, reach[0], reach[0] >= LONG), (SHORT_STEPS, min(reach[0], LONG), reach[1] < LONG)) if present]
     keys = cut(item_keys(items).distinct())
     shared = spark.sparkContext.broadcast(bitmap(keys))
 
@@ -169,33 +176,34 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", tole
         for b in batches:
             for row, data, offsets in slices(b.column(1)):
                 flat, bounds = normal(data, *words(data, offsets))
-                start = _starts(flat)
-                places, found = [], []
-                for steps in kinds:
-                    for key in window_keys(flat, start, steps):
-                        slot = key >> down
-                        hit = (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
-                        places.append(start[hit])
-                        found.append(key[hit])
-                place, key = np.concatenate(places), np.concatenate(found)
-                if not len(place):
-                    continue
-                order = np.argsort(place, kind="stable")
-                place, key = place[order], key[order]
-                owner = np.searchsorted(bounds, place, "right") - 1
-                # Regions: hits of a row near each other, with room for a whole item on both sides; long runs are cut.
-                far = np.append(True, (owner[1:] != owner[:-1]) | (place[1:] - place[:-1] > longest) | (place[1:] // (4 * longest) != place[:-1] // (4 * longest)))
-                first = np.flatnonzero(far)
-                last = np.append(first[1:], len(place)) - 1
-                low = np.maximum(place[first] - longest, bounds[owner[first]])
-                high = np.minimum(place[last] + 2 * longest, bounds[owner[first] + 1])
-                spans = pa.array(np.append(first, len(place)), pa.int32())
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.arange(part, part + len(first))), b.column(0).take(pa.array(row + owner[first])),
-                    pa.array([flat[a:z].tobytes() for a, z in zip(low, high, strict=True)], pa.binary()),
-                    pa.ListArray.from_arrays(spans, pa.array((place - np.repeat(low, last - first + 1)).astype(np.int32))),
-                    pa.ListArray.from_arrays(spans, pa.array(key.view(np.int64)))], ["region", "doc_id", "part", "places", "found"])
-                part += len(first)
+                for steps, longest in kinds:
+                    places, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+                    starts = _starts(flat, steps)
+                    for start in (starts[at:at + WINDOWS] for at in range(0, len(starts), WINDOWS)):
+                        for key, _ in window_keys(flat, start, steps):
+                            slot = key >> down
+                            hit = (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
+                            places.append(start[hit])
+                            found.append(key[hit])
+                    place, key = np.concatenate(places), np.concatenate(found)
+                    if not len(place):
+                        continue
+                    order = np.argsort(place, kind="stable")
+                    place, key = place[order], key[order]
+                    owner = np.searchsorted(bounds, place, "right") - 1
+                    # Regions: hits of a row near each other, with room for a whole item on both sides; long runs are cut.
+                    far = np.append(True, (owner[1:] != owner[:-1]) | (place[1:] - place[:-1] > longest) | (place[1:] // (4 * longest) != place[:-1] // (4 * longest)))
+                    first = np.flatnonzero(far)
+                    last = np.append(first[1:], len(place)) - 1
+                    low = np.maximum(place[first] - longest, bounds[owner[first]])
+                    high = np.minimum(place[last] + 2 * longest, bounds[owner[first] + 1])
+                    spans = pa.array(np.append(first, len(place)), pa.int32())
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.arange(part, part + len(first))), b.column(0).take(pa.array(row + owner[first])),
+                        pa.array([flat[a:z].tobytes() for a, z in zip(low, high, strict=True)], pa.binary()),
+                        pa.ListArray.from_arrays(spans, pa.array((place - np.repeat(low, last - first + 1)).astype(np.int32))),
+                        pa.ListArray.from_arrays(spans, pa.array(key.view(np.int64)))], ["region", "doc_id", "part", "places", "found"])
+                    part += len(first)
 
     regions = cut(docs.select("doc_id", text).mapInArrow(find, f"region long, doc_id {kind}, part binary, places array<int>, found array<long>"))
     hits = regions.select("region", F.explode(F.arrays_zip("places", "found")).alias("h")).select("region", F.col("h.places").alias("place"), F.col("h.found").alias("key"))
