@@ -171,6 +171,16 @@ def test_embeddings(spark):
     assert embedding_graph.near_vectors(df.filter("false")).count() == 0
 
 
+def test_toxicity_stage_drops_what_the_query_marks(spark, tmp_path):
+    given = spark.createDataFrame([(i, f"{'vile' if i % 5 < 2 else 'kind'} words {i}") for i in range(200)] + [(900, ""), (901, "")], "doc_id long, text string")
+    given.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i % 5 < 2)) for i in range(200)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    told = {r["doc_id"]: r for r in toxicity.op7_toxicity(spark, str(tmp_path)).collect()}
+    assert 0.3 <= told[900]["score"] < 0.5
+    left = {r["doc_id"] for r in corpus_pipeline.drop_toxic(spark, given, str(tmp_path)).collect()}
+    assert left == {i for i, r in told.items() if not r["predicted"]}
+
+
 def test_stages(docs, spark, tmp_path):
     spark.createDataFrame([(1, 1, 1), (6, 0, 0), (9, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(1, prose(3, 40))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")

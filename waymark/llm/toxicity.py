@@ -31,6 +31,8 @@ BUCKETS = 1 << 17
 WIDTH = 8
 GRAMS = (3, 4, 5)
 REPEATS = 3
+#: Texts of at least this score are marked.
+TOXIC = 0.3
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -183,4 +185,4 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = load_labels(spark, sf_dir).filter(fold("doc_id", 4) != 2)
     model = fit(docs, labels)
     scored = score_toxicity(docs, model)
-    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
