@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("decontaminate", "embedding_graph", "language_id", "line_dedup", "mixing", "near_dedup", "pii", "suffix_tree", "toxicity", "token_counts")
+_MODULES = ("decontaminate", "embedding_graph", "fill_middle", "language_id", "line_dedup", "mixing", "near_dedup", "pii", "quality_rules", "suffix_tree",
+            "toxicity", "token_counts")
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
 

@@ -107,6 +107,18 @@ def word_hashes(data: np.ndarray, start: np.ndarray) -> np.ndarray:
     return mix(np.add.reduceat(terms, at))
 
 
+def run_hashes(data: np.ndarray, start: np.ndarray, silent: np.ndarray) -> np.ndarray:
+    """64-bit hash of every run of bytes as it stands; between the end of a run and the next start there are only bytes marked in `silent`."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    table = salts(256, 2)
+    table[silent] = 0
+    body = data[start[0]:]
+    at = start - start[0]
+    place = np.arange(len(body)) - np.repeat(at, np.diff(np.append(at, len(body))))
+    return mix(np.add.reduceat(table[body] * (_POWER[place & 0xFFFF] + (place >> 16).astype(np.uint64) * np.uint64(2)), at))
+
+
 def normal(data: np.ndarray, start: np.ndarray, end: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Lower-cased words, each followed by one space; with row offsets. A row without words is empty."""
     size = end - start + 1
