@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("decontaminate", "embedding_graph", "fill_middle", "language_id", "line_dedup", "mixing", "near_dedup", "pii", "quality_rules", "suffix_tree",
+_MODULES = ("decontaminate", "embedding_graph", "fill_middle", "language_id", "line_dedup", "mixing", "near_dedup", "pii", "prefix_trie", "quality_rules", "suffix_tree",
             "toxicity", "token_counts")
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
