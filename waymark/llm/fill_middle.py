@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import ArrayType, StructType
 
 from waymark.llm.registry import query
 from waymark.llm.textbytes import batched, slices, widened
@@ -130,7 +131,7 @@ def fill_middle(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", see
     at, body = docs.columns.index(doc_id), docs.columns.index(text)
     kind = pa.list_(pa.struct([("buffer", pa.int32()), ("start", pa.int64()), ("length", pa.int64())]))
     schema = widened(docs.schema, n="long", form="string").add("prefix_chars", "long").add("middle_chars", "long")
-    schema = widened(schema, fim_text="string").add("pieces", "array<struct<buffer:int,start:long,length:long>>")
+    schema = widened(schema, fim_text="string").add("pieces", ArrayType(StructType().add("buffer", "integer").add("start", "long").add("length", "long")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
