@@ -208,8 +208,9 @@ def _finish(table: pa.Table) -> pa.Table:
 def rollup(nodes: DataFrame, passed: DataFrame, local: int = LOCAL) -> DataFrame:
     """(key, leaves, tokens): childless nodes and saved tokens over every node's subtree, for nodes of `trie`."""
     parents = nodes.select("key", "parent")
-    left = nodes.select("key", "conv_id", "depth", _root().alias("comp"), "weight", (F.col("n_children") == 0).cast("long").alias("leaf"), "saved",
-                        F.lit(0).cast("long").alias("leaves"), F.lit(0).cast("long").alias("tokens"))
+    # Written first, so that the one component of the first round is a key like any other and not a constant to nest loops over.
+    left = cut(nodes.select("key", "conv_id", "depth", _root().alias("comp"), "weight", (F.col("n_children") == 0).cast("long").alias("leaf"), "saved",
+                            F.lit(0).cast("long").alias("leaves"), F.lit(0).cast("long").alias("tokens")))
     done: list[DataFrame] = []
     small: list[DataFrame] = []
     while True:
