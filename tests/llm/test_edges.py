@@ -132,10 +132,41 @@ def test_decontaminate(docs, spark):
     item = prose(2, 60)[50:250].strip()
     bench = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "tie"), (5, item), (6, LONG)], "item_id long, text string")
     got = {r["doc_id"]: r["items"] for r in decontaminate.contaminated(docs, bench).collect()}
-    assert got == ({1: [1, 5], 2: [1, 5], 6: [6], 7: [6]} if docs.count() else {})
+    assert got == ({1: [1, 5], 2: [1, 5], 6: [6], 7: [6], 9: [4]} if docs.count() else {})
     assert decontaminate.contaminated(docs, bench.filter("false")).count() == 0
 
 
+def test_decontaminate_short_items_are_whole_words_and_blocks_change_nothing(spark):
+    texts = ["a Tie\nbreaker came", "neckties and tie breakers", "tie", "a tie", None, "breaker tie breaker", "x" * 400 + prose(2, 60)[50:250] + "y" * 400, "一二三四五六七八九十" * 3]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("item", F.lit("x"))
+    bench = spark.createDataFrame([(1, "tie breaker"), (2, "TIE"), (3, prose(2, 60)[50:250]), (4, "四五六七八九十一二"), (5, "z"), (6, "tie\n breaker")], "item_id long, text string")
+    want = {0: [1, 2, 6], 1: [2], 2: [2], 3: [2], 5: [1, 2, 6], 6: [3], 7: [4]}
+    for size in (1 << 20, 40):
+        assert {r["doc_id"]: r["items"] for r in decontaminate.contaminated(docs, bench, item_bytes=size).collect()} == want
+
+
+def test_decontaminate_finds_all_that_all_pairs_find(spark):
+    rng = np.random.default_rng(31)
+    items = [prose(100 + i, 60)[: 14 + 9 * i].strip() for i in range(40)]
+    texts = []
+    for i in range(160):
+        item = list(items[i % 40])
+        for _ in range(int(rng.integers(0, 1 + len(item) // 7))):
+            item[int(rng.integers(0, len(item)))] = "abcdefgh "[int(rng.integers(0, 9))]
+        texts.append(f"{prose(500 + i, 12)} {''.join(item)} {prose(900 + i, 12)}")
+    want = set()
+    flat = [" ".join(t.lower().split()).encode() for t in texts]
+    for j, item in enumerate(" ".join(i.lower().split()).encode() for i in items):
+        for i, text in enumerate(flat):
+            most = len(item) // 10
+            if decontaminate.edit_distance(np.frombuffer(item, np.uint8), np.frombuffer(text, np.uint8)) <= most:
+                want.add((i, j))
+    found = decontaminate.contaminated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"),
+                                       spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()
+    got = {(r["doc_id"], j) for r in found for j in r["items"]}
+    assert got <= want and len(got) >= 0.97 * len(want)
+
+
 def test_toxicity(docs, spark):
     labels = spark.createDataFrame([(1, 1), (2, 1), (6, 0), (10, 0), (None, 1), (5, None)], "doc_id long, toxic int")
     for marked in (labels, labels.filter("false")):

@@ -1,103 +1,96 @@
 """Benchmark decontamination: the CGK embedding, bit-sampling LSH over windows, exact edit distance.
 
-Texts and items are brought to a normal form (A-Z lower-cased, one space between words) and compared as bytes. A window begins
-at every word. A random walk reads it: step j emits the byte under the pointer and, by a random bit for (j, byte), moves on or
-stays. Strings few edits apart walk together again after an edit, so edit distance becomes Hamming distance between walks; a key
-is a hash of some sampled steps. Independent walks and samples are taken, and an item has a key for each of its words from which the walk
-ends within it, so an item within the tolerance is missed only if every one of its windows is. Items of fewer than `LONG` bytes have too
-few of these: their walks are short, more in number, and begin at every byte of items and texts. Recall aimed at: 0.98 at the tolerance.
-
-Keys of the items fill a bitmap of bounded size, which is broadcast; document windows whose key may be an item's are joined with
-the item keys exactly. What is left is aligned, tested for shared 4-grams (a condition that no pair within the tolerance fails)
-and decided by the exact edit distance between the item and the best matching part of the document.
-
-Defined results: null or empty texts are clean; null or empty items and items of fewer than `SHORT_STEPS` bytes match nothing;
-items with equal texts are all named; rows that share a doc_id are judged together.
+Texts and items are brought to a normal form (A-Z lower-cased, one space between words) and compared as bytes. A random walk reads
+a window: step j emits the byte under the pointer and, by a random bit for (j, byte), moves on or stays. Strings few edits apart walk
+together again after an edit, so edit distance becomes Hamming distance between walks; a key is a hash of some sampled steps alone. Several walks are
+taken and several samples of each walk's steps, by classes of item length (`CLASSES`), so that an item within the tolerance is
+found with a probability of at least 0.97. The windows of short items are as long as they are. At one edit in ten bytes two walks of more than some 20 bytes seldom
+meet again, so longer items are covered by windows from each of their words. Windows of documents begin at words too, at every character of scripts
+that write without blanks, and at every character of a word beyond its 24th byte. Only classes that the benchmark has are walked.
+Items under the first class are matched exactly, as whole words.
+
+The benchmark comes in blocks of bounded size. A block's keys, sorted, are broadcast and met by all documents in one pass without a shuffle:
+a task looks windows up, puts the places of an item that lie near each other together, tests shared 4-grams (a condition that no pair
+within the tolerance fails) and decides by the exact edit distance between the item and the best matching part of the text it holds. Only
+matches leave it.
+
+Defined results: null or empty texts are clean; null or empty items match nothing; items with equal texts are all named; rows that
+share a doc_id are judged together; columns other than the id and the text are left aside.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.llm.registry import query
-from waymark.llm.textbytes import batched, mix, normal, salts, slices, words
+from waymark.llm.textbytes import batched, mix, normal, salts, slices, word_hashes, words
 from waymark.session import cut
 
-#: Steps of a walk, steps sampled for its key and number of walks, for items of at least `LONG` bytes; shorter items get short walks, all sampled.
-STEPS, SAMPLED, REPEATS = 40, 18, 2
-SHORT_STEPS, SHORT_REPEATS = 14, 4
-LONG = 90
-#: Windows that are walked at once.
-WINDOWS = 1 << 20
-#: The bitmap has 2 to this power bits at most.
-MOST_BITS = 27
+#: By least item length in bytes: steps of a walk, number of walks, samples of each and steps sampled for a key.
+CLASSES = {14: (24, 12, 2, 9), 24: (24, 6, 2, 10), 48: (40, 4, 2, 14)}
+#: Bytes of items in a block, in the mean, and windows walked at once.
+ITEM_BYTES, WINDOWS = 2 << 20, 1 << 15
+#: A word is entered at every character from this byte on.
+INNER = 24
 GRAM = 4
 
 
-def _walks(steps: int, sampled: int, repeats: int) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    """For each repetition the moves by (step, byte), which steps are sampled, and a salt."""
+@dataclass(frozen=True)
+class Walk:
+    moves: np.ndarray
+    samples: list[tuple[int, np.ndarray]]
+
+
+def _walks(steps: int, number: int, samples: int, sampled: int) -> list[Walk]:
     out = []
-    for repeat in range(repeats):
-        rng = np.random.default_rng(100 * steps + repeat)
-        chosen = np.zeros(steps, bool)
-        chosen[rng.permutation(steps)[:sampled]] = True
-        out.append((rng.integers(0, 2, (steps, 256)).astype(np.uint8), chosen, int(salts(1, 100 * steps + repeat)[0])))
+    for n in range(number):
+        rng = np.random.default_rng(1000 * steps + n)
+        moves = rng.integers(0, 2, (steps, 256)).astype(np.uint8)
+        drawn = []
+        for salt in salts(samples, 1000 * steps + n):
+            chosen = np.zeros(steps, bool)
+            chosen[rng.permutation(steps)[:sampled]] = True
+            drawn.append((int(salt), chosen))
+        out.append(Walk(moves, drawn))
     return out
 
 
-WALKS = {STEPS: _walks(STEPS, SAMPLED, REPEATS), SHORT_STEPS: _walks(SHORT_STEPS, SHORT_STEPS, SHORT_REPEATS)}
+WALKS = {least: _walks(*shape) for least, shape in CLASSES.items()}
 
 
-def window_keys(text: np.ndarray, start: np.ndarray, steps: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per repetition a key for the window at each start, and where its walk ends; bytes past the text are zeros."""
-    padded = np.append(text, np.zeros(steps, np.uint8))
-    out = []
-    for moves, chosen, salt in WALKS[steps]:
-        at = start.astype(np.int32)
-        key = np.full(len(start), salt, np.uint64)
-        for j in range(steps):
-            byte = padded[at]
+def window_keys(padded: np.ndarray, start: np.ndarray, walk: Walk) -> tuple[list[np.ndarray], np.ndarray]:
+    """A key a sample for the window at each start, and where the walk ends. `padded` goes on for the walk's steps after the last start."""
+    at = start.astype(np.int32)
+    keys = [np.full(len(start), salt, np.uint64) for salt, _ in walk.samples]
+    for j, moves in enumerate(walk.moves):
+        byte = padded[at]
+        for key, (_, chosen) in zip(keys, walk.samples, strict=True):
             if chosen[j]:
                 key *= np.uint64(0x9E3779B97F4A7C15)
                 key += byte
-            at += moves[j][byte]
-        out.append((mix(key), at))
-    return out
-
-
-def _starts(flat: np.ndarray, steps: int) -> np.ndarray:
-    """Where windows begin in texts of normal form: at words, those of short walks at every byte."""
-    if steps == SHORT_STEPS:
-        return np.arange(len(flat))
-    return np.flatnonzero(np.append(32, flat[:-1]) == 32) if len(flat) else np.zeros(0, np.int64)
-
+        at += moves[byte]
+    return [mix(key) for key in keys], at
 
-def item_keys(items: DataFrame) -> DataFrame:
-    """(key, item, at): keys of the windows of items (item, body binary in normal form)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for item, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                text = np.frombuffer(body, np.uint8)
-                steps = STEPS if len(text) >= LONG else SHORT_STEPS
-                start = _starts(text, steps)
-                for keys, end in window_keys(text, start, steps):
-                    inside = end <= len(text)
-                    keys, at = keys[inside], start[inside]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(keys.view(np.int64)), pa.array(np.full(len(at), item, np.int64)), pa.array(at.astype(np.int32))], ["key", "item", "at"])
-
-    return items.select("item", "body").mapInArrow(run, "key long, item long, at int")
+def starts(flat: np.ndarray) -> np.ndarray:
+    """Where windows begin in texts of normal form, zeros or spaces between them."""
+    if not len(flat):
+        return np.zeros(0, np.int64)
+    place = np.arange(len(flat))
+    edge = np.append(32, flat[:-1])
+    edge = (edge == 32) | (edge == 0)
+    inner = (place - np.maximum.accumulate(np.where(edge, place, 0)) >= INNER) & ((flat & 0xC0) != 0x80)
+    return np.flatnonzero((edge | (flat >= 0xE0) | inner) & (flat != 32) & (flat != 0))
 
 
 def normal_items(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """(item, body, names): one row per distinct normal form of at least SHORT_STEPS bytes; names lists the ids that have it."""
+    """(item, body, names): one row per distinct normal form that is not empty; names lists the ids that have it."""
     kind = benchmark.schema[item_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,25 +100,21 @@ def normal_items(benchmark: DataFrame, item_id: str = "item_id", text: str = "te
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(row, len(bounds) - 1), pa.array(
                     [flat[a:max(a, z - 1)].tobytes() for a, z in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], ["name", "body"])
 
-    bodies = benchmark.select(item_id, text).mapInArrow(run, f"name {kind}, body binary").filter(F.octet_length("body") >= SHORT_STEPS)
+    bodies = benchmark.select(item_id, text).mapInArrow(run, f"name {kind}, body binary").filter(F.octet_length("body") > 0)
     return bodies.groupBy("body").agg(F.array_sort(F.collect_set("name")).alias("names")).select(F.xxhash64("body").alias("item"), "body", "names")
 
 
-def bitmap(keys: DataFrame) -> tuple[np.ndarray, int]:
-    """Bits set for all keys, and how many leading bits of a key address them. Its size is bounded whatever the number of keys."""
-    n = max(1, keys.count())
-    bits = min(MOST_BITS, max(20, n.bit_length() + 12))
-    slot = F.shiftrightunsigned("key", 64 - bits)
-    # Set bits travel as distinct words of 64: at most 2^21 rows.
-    masks = keys.select((F.shiftright(slot, 6)).alias("word"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - bits}) & 63 as int))").alias("mask"))
-    got = masks.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
-    out = np.zeros(1 << bits - 6, np.uint64)
-    out[got.column(0).to_numpy()] = got.column(1).to_numpy().view(np.uint64)
-    return out, bits
+def _grams(x: np.ndarray) -> np.ndarray:
+    """16-bit hashes of the 4-grams."""
+    if len(x) < GRAM:
+        return np.zeros(0, np.uint16)
+    x = x.astype(np.uint32)
+    whole = sum(x[j:len(x) - GRAM + 1 + j] << np.uint32(8 * j) for j in range(GRAM))
+    return (whole * np.uint32(2654435761) >> np.uint32(16)).astype(np.uint16)
 
 
-def edit_distance(item: np.ndarray, part: np.ndarray) -> int:
-    """Smallest edit distance between `item` and any substring of `part`."""
+def edit_distance(item: np.ndarray, part: np.ndarray, most: int | None = None) -> int:
+    """Smallest edit distance between `item` and any substring of `part`; some number above `most` if it is above."""
     place = np.arange(len(part) + 1)
     row = np.zeros(len(part) + 1, np.int64)
     for i, byte in enumerate(item, 1):
@@ -133,100 +122,193 @@ def edit_distance(item: np.ndarray, part: np.ndarray) -> int:
         new[1:] = np.minimum(new[1:], row[:-1] + (part != byte))
         new[0] = i
         row = np.minimum.accumulate(new - place) + place
+        if most is not None and i % 16 == 0 and row.min() > most:
+            break
     return int(row.min())
 
 
-def _grams(x: np.ndarray) -> np.ndarray:
-    x = x.astype(np.uint32)
-    return sum(x[j:len(x) - GRAM + 1 + j] << np.uint32(8 * j) for j in range(GRAM)) if len(x) >= GRAM else np.zeros(0, np.uint32)
-
-
-def best_match(item: bytes, part: bytes, most: int) -> int | None:
+def best_match(item: bytes, part: bytes, most: int, grams: np.ndarray | None = None) -> int | None:
     """The distance if it is at most `most`."""
     if item in part:
         return 0
     x, y = np.frombuffer(item, np.uint8), np.frombuffer(part, np.uint8)
-    grams = _grams(x)
-    if np.isin(grams, _grams(y)).sum() < len(grams) - GRAM * most:
+    held = np.zeros(1 << 16, bool)
+    held[_grams(y)] = True
+    own = _grams(x) if grams is None else grams
+    if held[own].sum() < len(own) - GRAM * most:
         return None
-    found = edit_distance(x, y)
+    found = edit_distance(x, y, most)
     return found if found <= most else None
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", tolerance: float = 0.1) -> DataFrame:
-    """(doc_id, items, distance) of the documents that hold an item up to `tolerance` edits per byte: the ids of the items and the
-    smallest distance."""
-    spark = docs.sparkSession
-    batched(spark)
-    items = cut(normal_items(benchmark))
-    reach = items.agg(F.max(F.octet_length("body")), F.min(F.octet_length("body"))).first()
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    if reach[0] is None:
-        return docs.select("doc_id").limit(0).withColumns({"items": F.array().cast("array<long>"), "distance": F.lit(0)})
-    # Kinds of walks, each with the length of the longest part that one of its items may match.
-    kinds = [(s, int(most * (1 + tolerance)) + 1) for s, most, present in (
-        (STEPS, reach[0], reach[0] >= LONG), (SHORT_STEPS, min(reach[0], LONG), reach[1] < LONG)) if present]
-    keys = cut(item_keys(items).distinct())
-    shared = spark.sparkContext.broadcast(bitmap(keys))
+@dataclass
+class Keys:
+    """Sorted keys of one class with the item and the place in it, and leading bits that tell most other keys at once."""
+
+    key: np.ndarray
+    item: np.ndarray
+    at: np.ndarray
+    bits: np.ndarray
+    down: np.uint64
+
+    @staticmethod
+    def of(key: np.ndarray, item: np.ndarray, at: np.ndarray) -> Keys:
+        order = np.argsort(key, kind="stable")
+        leading = min(24, len(key).bit_length() + 8)
+        bits = np.zeros(1 << leading, bool)
+        bits[key >> np.uint64(64 - leading)] = True
+        return Keys(key[order], item[order].astype(np.int32), at[order].astype(np.int32), bits, np.uint64(64 - leading))
+
+    def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(number of the given key, item, place in it) of every agreement."""
+        some = np.flatnonzero(self.bits[key >> self.down])
+        low, high = (np.searchsorted(self.key, key[some], side) for side in ("left", "right"))
+        n = high - low
+        entry = np.repeat(low - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
+        return np.repeat(some, n), self.item[entry], self.at[entry]
+
+
+@dataclass
+class Index:
+    """A block of items by normal form: keys by class, hashes of short items by their number of words."""
+
+    bodies: list[bytes]
+    items: np.ndarray
+    classes: dict[int, Keys] = field(default_factory=dict)
+    phrases: dict[int, Keys] = field(default_factory=dict)
+
+    @staticmethod
+    def of(items: np.ndarray, bodies: list[bytes]) -> Index:
+        out = Index(bodies, items)
+        size = np.array([len(b) for b in bodies])
+        kind = np.searchsorted(list(CLASSES), size, "right") - 1
+        for number, least in enumerate(CLASSES):
+            own = np.flatnonzero(kind == number)
+            if not len(own):
+                continue
+            steps = CLASSES[least][0]
+            flat = np.frombuffer(b"".join(bodies[i] + bytes(steps) for i in own), np.uint8)
+            end = np.cumsum(size[own] + steps) - steps
+            start = starts(flat)
+            owner = np.searchsorted(end, start, "right")
+            found = []
+            for walk in WALKS[least]:
+                for keys, stop in ((k, s) for ks, s in [window_keys(np.append(flat, np.zeros(steps, np.uint8)), start, walk)] for k in ks):
+                    # Windows within the item, and the one from its beginning even if it reads on.
+                    inside = (stop <= end[owner]) | (start == end[owner] - size[own][owner])
+                    found.append((keys[inside], own[owner[inside]], (start - (end - size[own])[owner])[inside]))
+            out.classes[least] = Keys.of(*[np.concatenate(c) for c in zip(*found, strict=True)])
+        short: dict[int, list[tuple[int, int]]] = {}
+        for i in np.flatnonzero(kind < 0):
+            hashed = word_hashes(*_word_starts(np.frombuffer(bodies[i] + b" ", np.uint8)))
+            short.setdefault(len(hashed), []).append((int(_phrase_hashes(hashed, len(hashed))[0]), int(i)))
+        for n, rows in short.items():
+            out.phrases[n] = Keys.of(np.array([h for h, _ in rows], np.uint64), np.array([i for _, i in rows]), np.zeros(len(rows), np.int64))
+        return out
+
+
+def _word_starts(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return flat, np.flatnonzero((np.append(32, flat[:-1]) == 32) & (flat != 32))
+
+
+def _phrase_hashes(hashed: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the `n` words from each word on."""
+    out = np.zeros(max(0, len(hashed) - n + 1), np.uint64)
+    for k, salt in enumerate(salts(n, 6)):
+        out += hashed[k:len(hashed) - n + 1 + k] * (salt | np.uint64(1))
+    return mix(out)
+
+
+def _candidates(index: Index, flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, item, place where the item would begin) of all keys that agree."""
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64))]
+    begin = starts(flat)
+    for least, keys in index.classes.items():
+        padded = np.append(flat, np.zeros(CLASSES[least][0], np.uint8))
+        for start in (begin[i:i + WINDOWS] for i in range(0, len(begin), WINDOWS)):
+            for walk in WALKS[least]:
+                for key in window_keys(padded, start, walk)[0]:
+                    window, item, at = keys.find(key)
+                    if len(window):
+                        found.append((np.searchsorted(bounds, start[window], "right") - 1, item, start[window] - at))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def matches(index: Index, flat: np.ndarray, bounds: np.ndarray, tolerance: float) -> dict[tuple[int, int], int]:
+    """Smallest distance by (row, item) of what the texts of normal form hold within the tolerance."""
+    best: dict[tuple[int, int], int] = {}
+    if index.phrases:
+        hashed = word_hashes(*_word_starts(flat))
+        begin = _word_starts(flat)[1]
+        for n, keys in index.phrases.items():
+            window, item, _ = keys.find(_phrase_hashes(hashed, n))
+            row = np.searchsorted(bounds, begin[window], "right") - 1
+            for w, r, i in zip(window, row, item, strict=True):
+                body = index.bodies[i]
+                if (int(r), int(i)) not in best and begin[w] + len(body) < bounds[r + 1] and flat[begin[w]:begin[w] + len(body) + 1].tobytes() == body + b" ":
+                    best[int(r), int(i)] = 0
+    row, item, place = _candidates(index, flat, bounds)
+    if not len(row):
+        return best
+    size = np.array([len(b) for b in index.bodies])
+    order = np.lexsort((place, item, row))
+    row, item, place = row[order], item[order], place[order]
+    # Places near each other are verified together, in stretches of a few times the item.
+    far = np.append(True, (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (place[1:] - place[:-1] > size[item[1:]])
+                    | (place[1:] // (4 * size[item[1:]]) != place[:-1] // (4 * size[item[1:]])))
+    first = np.flatnonzero(far)
+    last = np.append(first[1:], len(row)) - 1
+    grams: dict[int, np.ndarray] = {}
+    for a, z in zip(first, last, strict=True):
+        r, i = int(row[a]), int(item[a])
+        if best.get((r, i)) == 0:
+            continue
+        body = index.bodies[i]
+        most = int(len(body) * tolerance)
+        if i not in grams:
+            grams[i] = _grams(np.frombuffer(body, np.uint8))
+        part = flat[max(bounds[r], place[a] - most):min(bounds[r + 1], max(bounds[r], place[z]) + len(body) + most)].tobytes()
+        got = best_match(body, part, most, grams[i])
+        if got is not None:
+            best[r, i] = min(got, best.get((r, i), got))
+    return best
+
+
+def _matched(docs: DataFrame, index: Index, text: str, tolerance: float) -> DataFrame:
+    """(doc_id, item, distance) of the documents that hold an item of the block."""
+    shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, leading = shared.value
-        down = np.uint64(64 - leading)
-        part = TaskContext.get().partitionId() << 40
+        index = shared.value
         for b in batches:
             for row, data, offsets in slices(b.column(1)):
-                flat, bounds = normal(data, *words(data, offsets))
-                for steps, longest in kinds:
-                    places, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-                    starts = _starts(flat, steps)
-                    for start in (starts[at:at + WINDOWS] for at in range(0, len(starts), WINDOWS)):
-                        for key, _ in window_keys(flat, start, steps):
-                            slot = key >> down
-                            hit = (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
-                            places.append(start[hit])
-                            found.append(key[hit])
-                    place, key = np.concatenate(places), np.concatenate(found)
-                    if not len(place):
-                        continue
-                    order = np.argsort(place, kind="stable")
-                    place, key = place[order], key[order]
-                    owner = np.searchsorted(bounds, place, "right") - 1
-                    # Regions: hits of a row near each other, with room for a whole item on both sides; long runs are cut.
-                    far = np.append(True, (owner[1:] != owner[:-1]) | (place[1:] - place[:-1] > longest) | (place[1:] // (4 * longest) != place[:-1] // (4 * longest)))
-                    first = np.flatnonzero(far)
-                    last = np.append(first[1:], len(place)) - 1
-                    low = np.maximum(place[first] - longest, bounds[owner[first]])
-                    high = np.minimum(place[last] + 2 * longest, bounds[owner[first] + 1])
-                    spans = pa.array(np.append(first, len(place)), pa.int32())
+                got = matches(index, *normal(data, *words(data, offsets)), tolerance)
+                if got:
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(np.arange(part, part + len(first))), b.column(0).take(pa.array(row + owner[first])),
-                        pa.array([flat[a:z].tobytes() for a, z in zip(low, high, strict=True)], pa.binary()),
-                        pa.ListArray.from_arrays(spans, pa.array((place - np.repeat(low, last - first + 1)).astype(np.int32))),
-                        pa.ListArray.from_arrays(spans, pa.array(key.view(np.int64)))], ["region", "doc_id", "part", "places", "found"])
-                    part += len(first)
-
-    regions = cut(docs.select("doc_id", text).mapInArrow(find, f"region long, doc_id {kind}, part binary, places array<int>, found array<long>"))
-    hits = regions.select("region", F.explode(F.arrays_zip("places", "found")).alias("h")).select("region", F.col("h.places").alias("place"), F.col("h.found").alias("key"))
-    aligned = cut(hits.join(keys, "key").groupBy("region", "item").agg(
-        F.min(F.col("place") - F.col("at")).alias("low"), F.max(F.col("place") - F.col("at")).alias("high")))
-    pairs = aligned.join(items.select("item", "body"), "item").join(regions.select("region", "doc_id", "part"), "region").select(
-        "doc_id", "item", "body", "part", "low", "high")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep, far = [], []
-            columns = [b.column(i).to_pylist() for i in range(2, 6)]
-            for i, (body, part, low, high) in enumerate(zip(*columns, strict=True)):
-                most = int(len(body) * tolerance)
-                got = best_match(body, part[max(0, low - most):max(0, high) + len(body) + most], most)
-                if got is not None:
-                    keep.append(i)
-                    far.append(got)
-            rows = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(far, pa.int32())], ["doc_id", "item", "distance"])
-
-    matched = pairs.mapInArrow(verify, f"doc_id {kind}, item long, distance int")
-    named = matched.join(items.select("item", F.explode("names").alias("name")), "item")
+                        b.column(0).take(pa.array([row + r for r, _ in got], pa.int64())), pa.array(index.items[[i for _, i in got]], pa.int64()),
+                        pa.array(list(got.values()), pa.int32())], ["doc_id", "item", "distance"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", text).mapInArrow(find, f"doc_id {kind}, item long, distance int")
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", tolerance: float = 0.1, item_bytes: int = ITEM_BYTES) -> DataFrame:
+    """(doc_id, items, distance) of the documents that hold an item up to `tolerance` edits per byte: the ids of the items and the
+    smallest distance. Every block of about `item_bytes` of items takes a pass over the documents."""
+    batched(docs.sparkSession)
+    items = cut(normal_items(benchmark))
+    total = items.agg(F.sum(F.octet_length("body"))).first()[0]
+    kind = benchmark.schema["item_id"].dataType.simpleString()
+    if total is None:
+        return docs.select("doc_id").limit(0).withColumns({"items": F.array().cast(f"array<{kind}>"), "distance": F.lit(0)})
+    blocks = -(-total // item_bytes)
+    found = None
+    for block in range(blocks):
+        held = items.filter(F.pmod("item", F.lit(blocks)) == block).select("item", "body").toArrow()
+        if held.num_rows:
+            some = cut(_matched(docs, Index.of(held.column("item").to_numpy(), held.column("body").to_pylist()), text, tolerance))
+            found = some if found is None else found.unionByName(some)
+    named = found.join(items.select("item", F.explode("names").alias("name")), "item")
     return cut(named.groupBy("doc_id").agg(F.array_sort(F.collect_set("name")).alias("items"), F.min("distance").alias("distance")))
 
 
