@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from waymark.functions import eigen
 from waymark.functions.color import is_gray
 from waymark.operators import graph, mesh, occupancy, outliers, points as pts, registration, spacejoin, views
 
@@ -206,3 +207,49 @@ def test_nearest_beyond_any_fixed_extent(spark):
     pts = spark.createDataFrame(rows, "bag_id string, point_idx long, x double, y double, z double")
     got = {r["point_idx"]: [n["id"] for n in r["neighbours"]] for r in spacejoin.nearest(pts, pts, 2, 1.0).collect()}
     assert got[0] == [0, 1] and got[49] == [49, 48] and len(got) == 50
+
+
+def test_least_direction_against_numpy(spark):
+    rng = np.random.default_rng(3)
+    mats = [a @ a.T for a in rng.normal(size=(200, 3, 3))]
+    mats += [np.diag(d) for d in ([1.0, 1, 0], [0, 1, 1], [2, 2, 2], [0, 0, 0], [3, 1, 2], [5, 0, 0], [0, 0, 5], [1e-9, 1, 1], [1e9, 2e9, 3e9])]
+    turn = np.linalg.qr(rng.normal(size=(3, 3)))[0]
+    mats += [turn @ np.diag(d) @ turn.T for d in ([4.0, 1, 1], [1, 1, 1], [2, 2, 1e-12], [1, 1 + 1e-3, 5])]
+    rows = [(i, *(float(m[a, b]) for a, b in ((0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2)))) for i, m in enumerate(mats)]
+    df = spark.createDataFrame(rows, "i int, xx double, xy double, xz double, yy double, yz double, zz double")
+    for r in eigen.least_direction(df, ("xx", "xy", "xz", "yy", "yz", "zz")).collect():
+        m, n = mats[r.i], np.array([r.nx, r.ny, r.nz])
+        values, vectors = np.linalg.eigh(m)
+        scale = max(abs(values).max(), 1e-300)
+        assert abs(np.linalg.norm(n) - 1) < 1e-12
+        assert np.linalg.norm(m @ n - values[0] * n) <= 1e-6 * scale, (r.i, n, values)
+        if values[1] - values[0] > 1e-2 * scale:
+            assert abs(abs(n @ vectors[:, 0]) - 1) < 1e-9
+    flat = {r.i: r.nz for r in eigen.least_direction(df.filter("i >= 200"), ("xx", "xy", "xz", "yy", "yz", "zz")).collect()}
+    assert flat[202] == 1 and flat[203] == 1 and flat[205] == 1 and flat[206] == 0  # equal spread: upright where that is possible
+
+
+def plain_fill(known, x_size, y_size):
+    out = {}
+    for x in range(x_size):
+        for y in range(y_size):
+            _, gy, gx = min(((x - gx) ** 2 + (y - gy) ** 2, gy, gx) for gx, gy in known)
+            out[x, y] = known[gx, gy]
+    return out
+
+
+@pytest.mark.parametrize("cells", [7, 60, 1 << 18])
+def test_ground_gaps_take_the_nearest_cell(spark, cells):
+    rng = np.random.default_rng(cells)
+    rows, want = [], {}
+    for bag, (x_size, y_size, n) in enumerate([(13, 9, 12), (1, 20, 4), (25, 1, 3), (17, 31, 5), (6, 6, 36), (30, 4, 3)]):
+        known = {(int(x), int(y)): float(i) for i, (x, y) in enumerate(zip(rng.integers(0, x_size, 4 * n), rng.integers(0, y_size, 4 * n)))}
+        known = dict(list(known.items())[:max(3, n)])
+        rows += [(bag, x, y, z, x_size, y_size) for (x, y), z in known.items()]
+        want |= {(bag, *k): z for k, z in plain_fill(known, x_size, y_size).items()}
+    given = spark.createDataFrame(rows, "bag_id long, gx long, gy long, z double, x_size int, y_size int")
+    ext = given.select("bag_id", "x_size", "y_size").distinct().unionByName(spark.createDataFrame([(90, 2, 3), (91, 1, 2)], "bag_id long, x_size int, y_size int"))
+    known = given.select("bag_id", "gx", "gy", "z").unionByName(spark.createDataFrame([(90, 1, 1, 7.0)], "bag_id long, gx long, gy long, z double"))
+    got = {(r.bag_id, r.gx, r.gy): r.z for r in occupancy.fill_ground(known, known.select("bag_id", (F.col("z") - 1).alias("z")), ext, cells).collect()}
+    want |= {(90, x, y): 6.0 for x in range(2) for y in range(3)} | {(91, 0, y): 0.0 for y in range(2)}
+    assert got == want

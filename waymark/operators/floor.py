@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions import rotation as rot
+from waymark.functions.eigen import least_direction
 from waymark.session import cut
 
 
@@ -67,14 +67,8 @@ def floor_rotations(points: DataFrame, distance: float = 0.02, iterations: int =
     best = points.select("bag_id", "x", "y", "z").join(best, "bag_id").filter(near).groupBy("bag_id").agg(
         F.count(F.lit(1)).alias("n"), *[F.covar_pop(a, b).alias(a + b) for a, b in ("xx", "xy", "xz", "yy", "yz", "zz")])
 
-    @F.pandas_udf("nx double, ny double, nz double")
-    def least(xx: pd.Series, xy: pd.Series, xz: pd.Series, yy: pd.Series, yz: pd.Series, zz: pd.Series) -> pd.DataFrame:
-        cov = np.stack([np.stack([xx, xy, xz], -1), np.stack([xy, yy, yz], -1), np.stack([xz, yz, zz], -1)], -2)
-        vec = np.linalg.eigh(cov)[1][:, :, 0]
-        vec = np.where(vec[:, 2:3] < 0, -vec, vec)
-        return pd.DataFrame(vec, columns=["nx", "ny", "nz"])
-
-    n = best.filter("n >= 10").withColumn("_v", least("xx", "xy", "xz", "yy", "yz", "zz")).select("bag_id", "_v.*")
+    n = least_direction(best.filter("n >= 10"), ("xx", "xy", "xz", "yy", "yz", "zz"))
+    n = n.select("bag_id", *[F.when(F.col("nz") < 0, -F.col(a)).otherwise(F.col(a)).alias(a) for a in ("nx", "ny", "nz")])
     # rotation about normal × z; (1 − cos) / sin² = 1 / (1 + cos)
     nx, ny, nz = F.col("nx"), F.col("ny"), F.col("nz")
     k = 1.0 / (1.0 + nz)

@@ -7,13 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions import rotation as rot
 from waymark.functions.grid import NS_PER_S, cell, cell_center, cell_trunc
 from waymark.operators import graph
-from waymark.operators.spacejoin import nearest
 from waymark.session import cut
 
 # Sensor model probabilities of a hit, a miss, the clamping bounds and the decision.
@@ -145,33 +144,90 @@ def raster_cells(extents: DataFrame) -> DataFrame:
                        F.explode(F.sequence(F.lit(0).cast("long"), F.col("y_size").cast("long") - 1)).alias("gy"))
 
 
-def fill_ground(known: DataFrame, ground: DataFrame, extents: DataFrame) -> DataFrame:
+#: Raster cells of a strip of columns, which one task fills.
+STRIP_CELLS = 1 << 18
+
+
+def nearest_rows(far: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """For each column x and place y < `size` the row r with the least (y - at[r])² + far[x, r], the first of equals.
+
+    The best row never falls as y grows, so places are answered from coarse to fine between the answers of their neighbours: the lower
+    envelope of the columns' parabolas in logarithmically many passes over arrays.
+    """
+    columns, rows = far.shape
+    best = np.zeros((columns, size), np.int64)
+    step = 1 << max(0, size - 1).bit_length()
+    done = np.zeros(0, np.int64)
+    while step:
+        todo = np.setdiff1d(np.arange(0, size, step), done)
+        if len(todo):
+            low = np.where(todo >= step, best[:, np.maximum(todo - step, 0)], 0)
+            high = np.where(todo + step < size, best[:, np.minimum(todo + step, size - 1)], rows - 1) if len(done) else np.full((columns, len(todo)), rows - 1)
+            low = low if len(done) else np.zeros_like(low)
+            n = (high - low + 1).ravel()
+            first = np.cumsum(n) - n
+            r = np.repeat(low.ravel() - first, n) + np.arange(n.sum())
+            x = np.repeat(np.arange(columns), n.reshape(columns, -1).sum(1))
+            cost = (np.repeat(np.tile(todo, columns), n) - at[r]) ** 2 + far[x, r]
+            least = np.repeat(np.minimum.reduceat(cost, first), n)
+            best[:, todo] = np.minimum.reduceat(np.where(cost == least, r, rows), first).reshape(columns, -1)
+            done = np.union1d(done, todo)
+        step //= 2
+    return best
+
+
+def _fill_strip(key: tuple, table: pa.Table) -> pa.Table:
+    """Heights of all cells of a strip, from its known cells and the next ones beyond it in each row."""
+    gx, gy, z = (table.column(c).to_numpy() for c in ("gx", "gy", "z"))
+    left, right, tall = (table.column(c)[0].as_py() for c in ("left", "right", "y_size"))
+    order = np.lexsort((gx, gy))
+    gx, gy, z = gx[order], gy[order], z[order]
+    at, row = np.unique(gy, return_inverse=True)
+    x = np.arange(left, right)
+    # Nearest known cell within each row: the last up to x or the first beyond it, the left one if both are as near.
+    names, ask = row * (1 << 40) + gx, np.arange(len(at))[None] * (1 << 40) + x[:, None]
+    after = np.searchsorted(names, ask, "right")
+    before = np.maximum(after - 1, 0)
+    after = np.minimum(after, len(names) - 1)
+    none = 1 << 31
+    d_before = np.where((row[before] == np.arange(len(at))) & (gx[before] <= x[:, None]), x[:, None] - gx[before], none)
+    d_after = np.where((row[after] == np.arange(len(at))) & (gx[after] > x[:, None]), gx[after] - x[:, None], none)
+    chosen = np.where(d_before <= d_after, before, after)
+    best = nearest_rows(np.minimum(d_before, d_after).astype(np.int64) ** 2, at, tall)
+    height = z[np.take_along_axis(chosen, best, 1)]
+    return pa.table({"bag_id": pa.array([key[0].as_py()] * height.size, table.schema.field("bag_id").type), "gx": np.repeat(x, tall),
+                     "gy": np.tile(np.arange(tall), len(x)), "z": height.ravel()})
+
+
+def fill_ground(known: DataFrame, ground: DataFrame, extents: DataFrame, cells: int = STRIP_CELLS) -> DataFrame:
     """Height for every raster cell: its own mean or that of the nearest known cell (lowest row-major index on a tie).
 
-    Fewer than three known cells give the lowest ground point everywhere; no ground at all gives zero.
+    An exact distance transform: nearest cells within rows, then over rows. A log's raster is dealt to strips of columns of about
+    `cells` cells; a strip needs its own known cells and, in each row, the next ones on both sides. Fewer than three known cells give the lowest
+    ground point everywhere; no ground at all gives zero.
     """
     known = cut(known)
     low = ground.groupBy("bag_id").agg(F.min("z").alias("_low"))
     count = known.groupBy("bag_id").agg(F.count(F.lit(1)).alias("_k"))
-    logs = extents.select("bag_id").join(low, "bag_id", "left").join(count, "bag_id", "left")
-    cells = cut(raster_cells(extents).join(logs, "bag_id"))
-    flat = cells.filter(F.coalesce("_k", F.lit(0)) < 3).select("bag_id", "gx", "gy", F.coalesce("_low", F.lit(0.0)).alias("z"))
-    rich = cells.filter(F.col("_k") >= 3)
-    index = F.col("gy") * F.col("x_size") + F.col("gx")
-
-    def as_points(df):
-        return df.select("bag_id", index.alias("point_idx"), "gx", "gy", F.col("gx").cast("double").alias("x"),
-                         F.col("gy").cast("double").alias("y"), F.lit(0.0).alias("z"))
-
-    own = rich.select("bag_id", "gx", "gy", "x_size").join(known, ["bag_id", "gx", "gy"])
-    base = own.select("bag_id", index.alias("point_idx"), F.col("gx").cast("double").alias("x"),
-                      F.col("gy").cast("double").alias("y"), F.lit(0.0).alias("z"), F.col("z").alias("h"))
-    open_ = rich.join(known, ["bag_id", "gx", "gy"], "left_anti")
-    near = nearest(as_points(open_), base, 1, 8.0, copies=False)
-    near = near.withColumn("_id", F.get("neighbours", F.lit(0))["id"])
-    heights = base.select("bag_id", F.col("point_idx").alias("_id"), "h")
-    filled = near.join(heights, ["bag_id", "_id"]).select("bag_id", "gx", "gy", F.col("h").alias("z"))
-    return own.select("bag_id", "gx", "gy", "z").unionByName(filled).unionByName(flat)
+    logs = cut(extents.select("bag_id", "x_size", "y_size").join(low, "bag_id", "left").join(count, "bag_id", "left"))
+    flat = raster_cells(logs.filter(F.coalesce("_k", F.lit(0)) < 3)).join(logs.select("bag_id", "_low"), "bag_id").select(
+        "bag_id", "gx", "gy", F.coalesce("_low", F.lit(0.0)).alias("z"))
+    wide = logs.filter("_k >= 3").select("bag_id", "x_size", "y_size", F.greatest(F.lit(1), F.floor(F.lit(cells) / F.col("y_size"))).cast("long").alias("wide"))
+    own = cut(known.join(wide, "bag_id").withColumn("strip", F.floor(F.col("gx") / F.col("wide"))))
+    ends = own.groupBy("bag_id", "gy", "strip").agg(F.min(F.struct("gx", "z")).alias("first"), F.max(F.struct("gx", "z")).alias("last"))
+    rows = own.select("bag_id", "gy").distinct().join(wide, "bag_id").withColumn(
+        "strip", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("x_size") - 1) / F.col("wide")))))
+    along = Window.partitionBy("bag_id", "gy").orderBy("strip")
+    beyond = rows.join(ends, ["bag_id", "gy", "strip"], "left").select("bag_id", "gy", "strip", "x_size", "y_size", "wide", F.array(
+        F.last("last", True).over(along.rowsBetween(Window.unboundedPreceding, -1)), F.first("first", True).over(along.rowsBetween(1, Window.unboundedFollowing))).alias("n"))
+    beyond = beyond.withColumn("n", F.explode("n")).filter("n is not null").withColumns({"gx": F.col("n.gx"), "z": F.col("n.z")})
+    names = ("bag_id", "gx", "gy", "z", "x_size", "y_size", "wide", "strip")
+    held = own.select(*names).unionByName(beyond.select(*names)).select(
+        "bag_id", "strip", "gx", "gy", "z", F.col("y_size").cast("long").alias("y_size"), (F.col("strip") * F.col("wide")).alias("left"),
+        F.least(F.col("x_size").cast("long"), (F.col("strip") + 1) * F.col("wide")).alias("right"))
+    bag = known.schema["bag_id"].dataType.simpleString()
+    filled = held.groupBy("bag_id", "strip").applyInArrow(_fill_strip, f"bag_id {bag}, gx long, gy long, z double")
+    return filled.unionByName(flat)
 
 
 OCCUPIED, UNKNOWN, FREE = 0, 127, 254

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions import rotation as rot
+from waymark.functions.eigen import least_direction
 from waymark.operators.points import voxel_downsample, voxel_id
 from waymark.operators.spacejoin import nearest, neighbours_within, radius_semi
 from waymark.session import cut
@@ -121,7 +121,7 @@ def estimate_normals(points: DataFrame, radius: float | None, max_nn: int, spaci
                      copies: bool = True) -> DataFrame:
     """Unit normal (nx, ny, nz): direction of least spread of up to `max_nn` neighbours within `radius`.
 
-    Fewer than three neighbours give +z. Signs are arbitrary; orient afterwards.
+    Fewer than three neighbours give +z. Signs are arbitrary; orient afterwards. Of several directions of equal spread the one closest to vertical is taken.
     """
     near = nearest(points, points, max_nn, spacing, by, max_radius=radius, copies=copies)
     axes = ("x", "y", "z")
@@ -141,24 +141,15 @@ def estimate_normals(points: DataFrame, radius: float | None, max_nn: int, spaci
         f"_c{a}{b}": total(a, b) / F.col("_n") - F.col(f"_m{a}") * F.col(f"_m{b}")
         for i, a in enumerate(axes) for b in axes[i:]})
 
-    @F.pandas_udf("nx double, ny double, nz double")
-    def least(n: pd.Series, xx: pd.Series, xy: pd.Series, xz: pd.Series, yy: pd.Series, yz: pd.Series,
-              zz: pd.Series) -> pd.DataFrame:
-        cov = np.stack([np.stack([xx, xy, xz], -1), np.stack([xy, yy, yz], -1), np.stack([xz, yz, zz], -1)], -2)
-        vec = np.tile([0.0, 0.0, 1.0], (len(n), 1))
-        usable = n.to_numpy() >= 3
-        if usable.any():
-            vec[usable] = np.linalg.eigh(cov[usable])[1][:, :, 0]
-        return pd.DataFrame({"nx": vec[:, 0], "ny": vec[:, 1], "nz": vec[:, 2]})
-
-    near = near.withColumn("_v", least("_n", "_cxx", "_cxy", "_cxz", "_cyy", "_cyz", "_czz"))
-    return near.select(*points.columns, "_v.nx", "_v.ny", "_v.nz")
+    found = least_direction(near, tuple(f"_c{ab}" for ab in ("xx", "xy", "xz", "yy", "yz", "zz")))
+    few = F.col("_n") < 3
+    return found.select(*points.columns, *[F.when(few, F.lit(1.0 if a == "nz" else 0.0)).otherwise(F.col(a)).alias(a) for a in ("nx", "ny", "nz")])
 
 
 def split_ground(points: DataFrame, slope_deg: float) -> DataFrame:
     """`ground` where the normal is within `slope_deg` of vertical."""
     angle = F.acos(rot.clipped(F.abs("nz"), -1.0, 1.0))
-    return points.withColumn("ground", angle <= float(np.deg2rad(slope_deg)))
+    return points.withColumn("ground", angle <= math.radians(slope_deg))
 
 
 def borrow_normals(points: DataFrame, cloud: DataFrame, spacing: float) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from waymark.functions import rotation as rot
+from waymark.functions.eigen import least_direction_sql
 from waymark.operators import odometry, outliers, points as pts, spacejoin
 from waymark.plans import fixtures as fx
 from waymark.plans.fixtures import r, r6, sql_with
@@ -319,24 +320,57 @@ fx.add_view("mvox_cov", f"""
     covar_pop(oy, oy) AS yy, covar_pop(oy, oz) AS yz, covar_pop(oz, oz) AS zz FROM ({knn_view('mvox', 'mvox', 30, 2.1 * 2.1)}) GROUP BY 1, 2""", ["mvox"])
 
 
-@query("surface_normals", "A15 F11", sql_with(["mvox_cov"], """
-SELECT bag_id, point_idx, k, true AS unit, true AS eigen FROM mvox_cov"""))
+#: A direction told without its sign, which is arbitrary: products of its components, and the upward part.
+_SIGNLESS = {"nxx": ("nx", "nx"), "nxy": ("nx", "ny"), "nyy": ("ny", "ny"), "nxz": ("nx", "nz"), "nyz": ("ny", "nz")}
+
+
+def normal_view(cov: str) -> str:
+    """Unit normals of neighbourhoods: vertical for fewer than three neighbours."""
+    return f"""
+  SELECT bag_id, point_idx, k, CASE WHEN k < 3 THEN 0.0 ELSE nx END AS nx, CASE WHEN k < 3 THEN 0.0 ELSE ny END AS ny, CASE WHEN k < 3 THEN 1.0 ELSE nz END AS nz
+  FROM ({least_direction_sql(cov)})"""
+
+
+fx.add_view("mvox_normal", normal_view("mvox_cov"), ["mvox_cov"])
+
+
+@query("surface_normals", "A15 F11", sql_with(["mvox_normal"], f"""
+SELECT bag_id, point_idx, {', '.join(f"{r6(f'{a} * {b}')} AS {n}" for n, (a, b) in _SIGNLESS.items())}, {r6('abs(nz)')} AS up FROM mvox_normal"""))
 def _(spark, sf):
-    """Normals checked through their defining property against the neighbourhood covariance."""
-    v = mvox(spark, sf)
-    normal = pts.orient_up(svox_normals(spark, sf)).select("bag_id", "point_idx", "nx", "ny", "nz")
-    near = spacejoin.nearest(v, v, 30, 1.0, max_radius=2.1, copies=False)
-    flat = near.select("bag_id", "point_idx", F.explode("neighbours").alias("n"))
-    cov = flat.groupBy("bag_id", "point_idx").agg(F.count(F.lit(1)).alias("k"), *[
-        F.covar_pop(f"n.{a}", f"n.{b}").alias(a + b) for a, b in ("xx", "xy", "xz", "yy", "yz", "zz")])
-    j = cov.join(normal, ["bag_id", "point_idx"])
-    rows = [("xx", "xy", "xz"), ("xy", "yy", "yz"), ("xz", "yz", "zz")]
-    cn = [rot.dot3(row, ("nx", "ny", "nz")) for row in rows]
-    lam = rot.dot3(cn, ("nx", "ny", "nz"))
-    residual = rot.norm3(*[c - lam * F.col(n) for c, n in zip(cn, ("nx", "ny", "nz"))])
-    least = lam <= F.least("xx", "yy", "zz") + 1e-9
-    unit = F.abs(rot.norm3("nx", "ny", "nz") - 1) < 1e-9
-    return j.select("bag_id", "point_idx", "k", unit.alias("unit"), ((F.col("k") < 3) | ((residual < 1e-9) & least)).alias("eigen"))
+    normal = pts.orient_up(svox_normals(spark, sf))
+    return normal.select("bag_id", "point_idx", *[r(F.col(a) * F.col(b)).alias(n) for n, (a, b) in _SIGNLESS.items()], r("nz").alias("up"))
+
+
+#: Neighbourhood of a normal in the world cloud: it holds fewer than 30 means, and no distance of the lattice the points lie on, so that no tie decides.
+REACH = 1.47 * VOX
+
+# World voxels meet their neighbours by voxel, so that SQL needs no pairs of all; every point's nearest mean is at most two voxels off.
+_NEAR_VOXELS = """(SELECT unnest(generate_series(-2, 2)) AS i), (SELECT unnest(generate_series(-2, 2)) AS j), (SELECT unnest(generate_series(-2, 2)) AS h)"""
+fx.add_view("wvox_cov", f"""
+  SELECT bag_id, point_idx, count(*) AS k, covar_pop(ox, ox) AS xx, covar_pop(ox, oy) AS xy, covar_pop(ox, oz) AS xz,
+    covar_pop(oy, oy) AS yy, covar_pop(oy, oz) AS yz, covar_pop(oz, oz) AS zz FROM (
+    SELECT a.bag_id, a.point_idx, b.x - a.x AS ox, b.y - a.y AS oy, b.z - a.z AS oz,
+      (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z) AS d2,
+      row_number() OVER (PARTITION BY a.bag_id, a.point_idx ORDER BY (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z), b.point_idx) AS rk
+    FROM (SELECT *, vx + i AS ax, vy + j AS ay, vz + h AS az FROM wvox, {_NEAR_VOXELS}) a
+    JOIN wvox b ON b.bag_id = a.bag_id AND b.vx = ax AND b.vy = ay AND b.vz = az) WHERE rk <= 30 AND d2 <= {REACH * REACH} GROUP BY 1, 2""", ["wvox"])
+fx.add_view("wvox_normal", normal_view("wvox_cov"), ["wvox_cov"])
+fx.add_view("lent", f"""
+  SELECT a.bag_id, a.point_idx, any_value(a.x) AS x, any_value(a.y) AS y, any_value(a.z) AS z, acos(least(1.0, abs(arg_min(m.nz,
+      struct_pack(d := (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z), i := b.point_idx))))) AS tilt
+  FROM (SELECT *, CAST(floor(x / {VOX}) AS BIGINT) + i AS ax, CAST(floor(y / {VOX}) AS BIGINT) + j AS ay, CAST(floor(z / {VOX}) AS BIGINT) + h AS az FROM world, {_NEAR_VOXELS}) a
+  JOIN wvox b ON b.bag_id = a.bag_id AND b.vx = ax AND b.vy = ay AND b.vz = az JOIN wvox_normal m ON m.bag_id = b.bag_id AND m.point_idx = b.point_idx
+  GROUP BY a.bag_id, a.point_idx""", ["world", "wvox", "wvox_normal"])
+#: Steepest ground, in degrees from level.
+SLOPE = 15.0
+fx.add_view("ground", f"SELECT * FROM lent WHERE tilt <= radians({SLOPE})", ["lent"])
+
+
+def with_ground(spark, sf):
+    """World points with `ground`: normals of the voxel cloud lent to every point, then the slope test."""
+    cloud = outliers.estimate_normals(wvox(spark, sf), REACH, 30, 2.0 * VOX, copies=False)
+    lent = outliers.borrow_normals(cut(world(spark, sf)), cut(pts.orient_up(cloud)), 4.0 * VOX)
+    return outliers.split_ground(lent, SLOPE)
 
 
 @query("orient_by_rays", "F10", sql_with(["world"], """

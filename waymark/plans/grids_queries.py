@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from waymark.functions.grid import cell_trunc
-from waymark.operators import occupancy as occ, outliers, points as pts
+from waymark.operators import occupancy as occ, points as pts
 from waymark.plans import fixtures as fx
-from waymark.plans.cloud_queries import VOX, wvox
+from waymark.plans.cloud_queries import SLOPE, with_ground
 from waymark.plans.fixtures import r, r6, sql_with
 from waymark.plans.registry import query
 from waymark.plans.timeline_queries import frame_poses
@@ -59,14 +59,14 @@ def _(spark, sf):
         "bag_id", *occ.KEY, r("log_odds").alias("log_odds"))
 
 
-# Ground: low voxels stand in for the normal test, which SQL cannot express.
+# Ground: points whose surface is nearly level.
 fx.add_view("ext", f"""
   SELECT bag_id, min(x) AS min_x, min(y) AS min_y, greatest(1, CAST(ceil((max(x) - min(x)) / {GRID}) AS INTEGER)) AS x_size,
     greatest(1, CAST(ceil((max(y) - min(y)) / {GRID}) AS INTEGER)) AS y_size FROM world GROUP BY 1""", ["world"])
 fx.add_view("gmap", f"""
   SELECT bag_id, gx, gy, avg(z) AS z FROM (
     SELECT w.bag_id, w.z, CAST(trunc((x - min_x) / {GRID}) AS BIGINT) AS gx, CAST(trunc((y - min_y) / {GRID}) AS BIGINT) AS gy, x_size, y_size
-    FROM world w JOIN ext USING (bag_id) WHERE w.z < 0.3) WHERE gx < x_size AND gy < y_size GROUP BY 1, 2, 3""", ["world", "ext"])
+    FROM ground w JOIN ext USING (bag_id)) WHERE gx < x_size AND gy < y_size GROUP BY 1, 2, 3""", ["ground", "ext"])
 fx.add_view("raster", """
   SELECT bag_id, gx, gy, x_size, gy * x_size + gx AS idx FROM (
     SELECT bag_id, x_size, y_size, unnest(generate_series(0, x_size - 1)) AS gx FROM ext),
@@ -78,20 +78,21 @@ fx.add_view("gfill", """
     JOIN gmap k ON k.bag_id = a.bag_id GROUP BY 1, 2, 3) n USING (bag_id, gx, gy)""", ["raster", "gmap"])
 
 
-def low_world(spark, sf):
-    w = cut(pts.transform_points(fx.points(spark, sf), frame_poses(spark, sf, False).filter("px is not null")))
-    return w, w.filter("z < 0.3"), cut(pts.extent(w, GRID))
+def level_world(spark, sf):
+    """World points, those of them on the ground, and the extent of each log's raster."""
+    w = cut(with_ground(spark, sf))
+    return w, w.filter("ground"), cut(pts.extent(w, GRID))
 
 
 @query("ground_height", "A6", sql_with(["gmap"], f"SELECT bag_id, gx, gy, {r6('z')} AS z FROM gmap"))
 def _(spark, sf):
-    _w, low, ext = low_world(spark, sf)
+    _w, low, ext = level_world(spark, sf)
     return occ.ground_height(low, ext, GRID).select("bag_id", "gx", "gy", r("z").alias("z"))
 
 
 @query("fill_ground", "W7", sql_with(["gfill"], f"SELECT bag_id, gx, gy, {r6('z')} AS z FROM gfill"))
 def _(spark, sf):
-    _w, low, ext = low_world(spark, sf)
+    _w, low, ext = level_world(spark, sf)
     return occ.fill_ground(occ.ground_height(low, ext, GRID), low, ext).select("bag_id", "gx", "gy", r("z").alias("z"))
 
 
@@ -105,7 +106,7 @@ fx.add_view("ogrid", f"""
 
 
 def grid_of(spark, sf):
-    _w, low, ext = low_world(spark, sf)
+    _w, low, ext = level_world(spark, sf)
     filled = occ.fill_ground(occ.ground_height(low, ext, GRID), low, ext)
     vox = occ.voxel_log_odds(occ.scan_voxels(rays(spark, sf), RES, REACH), fx.BUCKET_NS)
     return cut(occ.occupancy_grid(filled, vox, ext, GRID, RES, 0.1, 2.0)), ext
@@ -177,7 +178,7 @@ def _(spark, sf):
 @query("map_metadata", "K6", sql_with(["ext"], f"""
 SELECT bag_id, {GRID}::DOUBLE AS resolution, {r6('min_x')} AS origin_x, {r6('min_y')} AS origin_y, 0 AS negate, 0.65::DOUBLE AS occupied_thresh FROM ext"""))
 def _(spark, sf):
-    _w, _low, ext = low_world(spark, sf)
+    _w, _low, ext = level_world(spark, sf)
     return occ.map_metadata(ext, GRID).select("bag_id", "resolution", r("origin_x").alias("origin_x"),
                                               r("origin_y").alias("origin_y"), "negate", "occupied_thresh")
 
@@ -192,11 +193,7 @@ def _(spark, sf):
     return occ.pgm_rows(grid, ext)
 
 
-@query("split_ground", "F13 F11 J9")
+@query("split_ground", "F13 F11 J9", sql_with(["lent"], f"""
+SELECT bag_id, tilt <= radians({SLOPE}) AS ground, count(*) AS n, {r6('avg(z)')} AS z FROM lent GROUP BY 1, 2"""))
 def _(spark, sf):
-    """Normals of the voxel cloud lent to every point, then the slope test."""
-    cloud = outliers.estimate_normals(wvox(spark, sf), 2.0 * VOX, 30, 2.0 * VOX, copies=False)
-    cloud = cut(pts.orient_up(cloud))
-    w = cut(pts.transform_points(fx.points(spark, sf), frame_poses(spark, sf, False).filter("px is not null")))
-    lent = outliers.borrow_normals(w, cloud, 4.0 * VOX)
-    return outliers.split_ground(lent, 15.0).groupBy("bag_id", "ground").agg(F.count(F.lit(1)).alias("n"), r(F.avg("z")).alias("z"))
+    return with_ground(spark, sf).groupBy("bag_id", "ground").agg(F.count(F.lit(1)).alias("n"), r(F.avg("z")).alias("z"))
