@@ -196,12 +196,13 @@ def _(spark, sf):
 
 
 SHARPNESS_SQL = """
-  SELECT p.bag_id, p.image_ts_ns AS ts_ns, var_pop(CAST(n.g + s.g + w.g + e.g - 4 * p.g AS DOUBLE)) AS sharpness
-  FROM pixels p
+  SELECT bag_id, ts_ns,
+    CAST(count(*) * sum(l * l) - sum(l) * sum(l) AS DOUBLE) / CAST(count(*) * count(*) AS DOUBLE) AS sharpness
+  FROM (SELECT p.bag_id, p.image_ts_ns AS ts_ns, CAST(n.g + s.g + w.g + e.g - 4 * p.g AS BIGINT) AS l FROM pixels p
   JOIN pixels n ON n.bag_id = p.bag_id AND n.image_ts_ns = p.image_ts_ns AND n.u = p.u AND n.v = CASE WHEN p.v = 0 THEN 1 ELSE p.v - 1 END
   JOIN pixels s ON s.bag_id = p.bag_id AND s.image_ts_ns = p.image_ts_ns AND s.u = p.u AND s.v = CASE WHEN p.v = 7 THEN 6 ELSE p.v + 1 END
   JOIN pixels w ON w.bag_id = p.bag_id AND w.image_ts_ns = p.image_ts_ns AND w.v = p.v AND w.u = CASE WHEN p.u = 0 THEN 1 ELSE p.u - 1 END
-  JOIN pixels e ON e.bag_id = p.bag_id AND e.image_ts_ns = p.image_ts_ns AND e.v = p.v AND e.u = CASE WHEN p.u = 7 THEN 6 ELSE p.u + 1 END
+  JOIN pixels e ON e.bag_id = p.bag_id AND e.image_ts_ns = p.image_ts_ns AND e.v = p.v AND e.u = CASE WHEN p.u = 7 THEN 6 ELSE p.u + 1 END)
   GROUP BY 1, 2"""
 fx.add_view("sharp", SHARPNESS_SQL, ["pixels"])
 

@@ -258,7 +258,7 @@ def _(spark, sf):
 
 
 @query("keyframe_lines", "K9", sql_with(["keyframes"], """
-SELECT printf('%d-0.png,%.3f,%.2f', ts_ns, CAST(ts_ns // 1000000 AS DOUBLE) / 1000, sharpness) AS line FROM keyframes"""))
+SELECT printf('%d-0.png,%d.%09d,%.2f', ts_ns, ts_ns // 1000000000, ts_ns % 1000000000, sharpness) AS line FROM keyframes"""))
 def _(spark, sf):
     from waymark.sinks.tables import keyframe_lines
 

@@ -20,8 +20,10 @@ def write_trajectory(odom: DataFrame, path: str) -> None:
 
 
 def keyframe_lines(keyframes: DataFrame) -> DataFrame:
-    return keyframes.select(F.format_string(
-        "%d-0.png,%.3f,%.2f", "ts_ns", F.expr("ts_ns div 1000000") / 1000.0, "sharpness").alias("line"))
+    """Image name, seconds to the nanosecond and sharpness, halves to even."""
+    second = 1_000_000_000
+    return keyframes.select(F.format_string("%d-0.png,%d.%09d,%.2f", "ts_ns", F.expr(f"ts_ns div {second}L"), F.expr(f"ts_ns % {second}L"),
+                                            F.bround("sharpness", 2)).alias("line"))
 
 
 def write_keyframes(keyframes: DataFrame, path: str) -> None:
