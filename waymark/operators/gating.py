@@ -22,6 +22,40 @@ def _unit(q: tuple) -> tuple:
     return tuple(c / n for c in q)
 
 
+def motion_step(min_move: float, min_deg: float):
+    """Fold step over (ts_ns, pose): a frame without pose is kept and does not become the reference."""
+    def step(state, row):
+        ts, pose = row[0], row[1:]
+        if pose[0] is None or pose[0] != pose[0]:
+            return state, (ts,)
+        here = (*pose[:3], *_unit(pose[3:]))
+        if state is None:
+            return here, (ts,)
+        moved = math.dist(here[:3], state[:3])
+        turned = math.degrees(_angle(here[3:], state[3:]))
+        if (min_move > 0 and moved >= min_move) or (min_deg > 0 and turned >= min_deg):
+            return here, (ts,)
+        return state, None
+
+    return step
+
+
+def keyframe_step(min_move: float, min_rotation_deg: float):
+    """Fold step over (ts_ns, sharpness, pose); both thresholds always count, also at zero."""
+    min_rot = math.radians(min_rotation_deg)
+
+    def step(state, row):
+        ts, sharp, pose = row[0], row[1], row[2:]
+        here = (*pose[:3], *_unit(pose[3:]))
+        if state is not None:
+            moved = math.dist(here[:3], state[:3])
+            if not (moved >= min_move or _angle(here[3:], state[3:]) >= min_rot):
+                return state, None
+        return here, (ts, sharp)
+
+    return step
+
+
 def motion_gate(frames: DataFrame, min_move: float, min_rotation_deg: float, cap: int = 0,
                 partitions: int | None = None) -> DataFrame:
     """Frames that moved or turned enough since the last frame kept.
@@ -34,20 +68,7 @@ def motion_gate(frames: DataFrame, min_move: float, min_rotation_deg: float, cap
     if min_move <= 0 and min_deg <= 0:
         kept = frames.select("bag_id", "ts_ns")
     else:
-        def step(state, row):
-            ts, pose = row[0], row[1:]
-            if pose[0] is None or pose[0] != pose[0]:
-                return state, (ts,)
-            here = (*pose[:3], *_unit(pose[3:]))
-            if state is None:
-                return here, (ts,)
-            moved = math.dist(here[:3], state[:3])
-            turned = math.degrees(_angle(here[3:], state[3:]))
-            if (min_move > 0 and moved >= min_move) or (min_deg > 0 and turned >= min_deg):
-                return here, (ts,)
-            return state, None
-
-        kept = ordered_fold(frames, ["bag_id"], ["ts_ns"], ["ts_ns", *POSE], step, "ts_ns long", partitions)
+        kept = ordered_fold(frames, ["bag_id"], ["ts_ns"], ["ts_ns", *POSE], motion_step(min_move, min_deg), "ts_ns long", partitions)
     return cap_frames(kept, cap) if cap > 0 else kept
 
 
@@ -63,19 +84,8 @@ def keyframe_gate(images: DataFrame, min_move: float, min_rotation_deg: float,
     Both thresholds always count, also at zero. Rows whose image did not decode must be left out
     before: they neither become keyframes nor the reference.
     """
-    min_rot = math.radians(min_rotation_deg)
-
-    def step(state, row):
-        ts, sharp, pose = row[0], row[1], row[2:]
-        here = (*pose[:3], *_unit(pose[3:]))
-        if state is not None:
-            moved = math.dist(here[:3], state[:3])
-            if not (moved >= min_move or _angle(here[3:], state[3:]) >= min_rot):
-                return state, None
-        return here, (ts, sharp)
-
     posed = images.filter(F.col("px").isNotNull())
-    kept = ordered_fold(posed, ["bag_id"], ["ts_ns"], ["ts_ns", "sharpness", *POSE], step,
+    kept = ordered_fold(posed, ["bag_id"], ["ts_ns"], ["ts_ns", "sharpness", *POSE], keyframe_step(min_move, min_rotation_deg),
                         "ts_ns long, sharpness double", partitions)
     numbered = ordinal(kept, name="kf_idx")
     return numbered.select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,6 +97,21 @@ def odom_rates(odom: DataFrame, bucket_ns: int = BUCKET_NS) -> DataFrame:
     )
 
 
+def loss_step(max_speed: float, max_rate_deg: float):
+    """Fold step over (ts_ns, pose): (last good time, speed, rate) where a sample is further from the one before than the limits allow. A pair
+    without time between its samples has no rate."""
+    def step(state, row):
+        if state is None or row[0] <= state[0]:
+            return row, None
+        dt = (row[0] - state[0]) / 1e9
+        speed = math.dist(row[1:4], state[1:4]) / dt
+        dot = sum(p * q for p, q in zip(row[4:], state[4:])) / (math.hypot(*row[4:]) * math.hypot(*state[4:]))
+        rate = math.degrees(2.0 * math.acos(min(1.0, abs(dot)))) / dt
+        return row, (state[0], speed, rate) if speed > max_speed or rate > max_rate_deg else None
+
+    return step
+
+
 def detect_odom_loss(odom: DataFrame, multiplier: float = 6.0, bucket_ns: int = BUCKET_NS) -> DataFrame:
     """Per log: cut-off time (last good sample before the first outlier pair), null if none.
 

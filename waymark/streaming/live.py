@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from waymark.operators.gating import _angle, _unit
+from waymark.operators.gating import keyframe_step, motion_step
+from waymark.operators.odometry import loss_step
 from waymark.operators.timejoin import POSE
+from waymark.streaming.ordered import ordered_steps
 
 
 def event_time(df: DataFrame, ts: str = "ts_ns", name: str = "event_time") -> DataFrame:
@@ -49,32 +48,46 @@ def match_images(scans: DataFrame, images: DataFrame, max_dt_us: int, delay: str
     ).select("bag_id", "ts_ns", "m.image_ts_ns")
 
 
-def motion_gate(frames: DataFrame, min_move: float, min_rotation_deg: float) -> DataFrame:
-    """Motion gate over a stream of posed frames; the state of a log is its last kept pose.
+POSE_DDL = ", ".join(f"{c} double" for c in POSE)
 
-    Frames of a log must arrive in time order between micro-batches; inside one they are sorted.
-    """
-    def step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get if state.exists else None
-        rows = pd.concat(list(pdfs)).sort_values("ts_ns")
-        kept = []
-        for row in rows[["ts_ns", *POSE]].itertuples(index=False):
-            ts, pose = row[0], tuple(row[1:])
-            if pose[0] is None or pose[0] != pose[0]:
-                kept.append(ts)
-                continue
-            here = (*pose[:3], *_unit(pose[3:]))
-            moved = last is None or (min_move > 0 and math.dist(here[:3], last[:3]) >= min_move)
-            if moved or (min_rotation_deg > 0 and math.degrees(_angle(here[3:], tuple(last[3:]))) >= min_rotation_deg):
-                kept.append(ts)
-                last = here
-        if last is not None:
-            state.update(tuple(last))
-        yield pd.DataFrame({"bag_id": [key[0]] * len(kept), "ts_ns": kept})
-
-    bag_type = frames.schema["bag_id"].dataType.simpleString()
-    return frames.groupBy("bag_id").applyInPandasWithState(
-        step, f"bag_id {bag_type}, ts_ns long", ", ".join(f"{c} double" for c in POSE), "append", GroupStateTimeout.NoTimeout)
+
+def motion_gate(frames: DataFrame, min_move: float, min_rotation_deg: float, delay_ns: int, idle_ms: int = 0) -> DataFrame:
+    """(bag_id, ts_ns, late): motion gate over posed frames that come up to `delay_ns` out of order."""
+    return ordered_steps(frames, motion_step(min_move, min_rotation_deg), POSE_DDL, POSE_DDL, "", delay_ns, idle_ms=idle_ms)
+
+
+def keyframe_gate(images: DataFrame, min_move: float, min_rotation_deg: float, delay_ns: int, idle_ms: int = 0) -> DataFrame:
+    """(bag_id, ts_ns, late, sharpness): keyframes among images with a pose and their sharpness."""
+    rule = keyframe_step(min_move, min_rotation_deg)
+
+    def step(state, row):
+        state, out = rule(state, row)
+        return state, out and out[1:]
+
+    return ordered_steps(images, step, f"sharpness double, {POSE_DDL}", POSE_DDL, "sharpness double", delay_ns, idle_ms=idle_ms)
+
+
+def odom_loss(odom: DataFrame, max_speed: float, max_rate_deg: float, delay_ns: int, idle_ms: int = 0) -> DataFrame:
+    """(bag_id, ts_ns, late, prev_ts_ns, speed, rate): samples that the limits tell from the one before, as they become known."""
+    return ordered_steps(odom, loss_step(max_speed, max_rate_deg), POSE_DDL, f"ts_ns long, {POSE_DDL}", "prev_ts_ns long, speed double, rate double", delay_ns,
+                         order="seq", idle_ms=idle_ms)
+
+
+CALIBRATION = ("fx", "fy", "cx", "cy", "width", "height")
+
+
+def calibrated(scans: DataFrame, info: DataFrame, delay_ns: int, idle_ms: int = 0) -> DataFrame:
+    """(bag_id, ts_ns, late, calibration) of scans: the last calibration of the log up to the scan, null before the first. Calibrations of a scan's own
+    time count. Late calibrations leave with `late` too."""
+    ddl = ", ".join(f"{c} double" for c in CALIBRATION)
+    none = [F.lit(None).cast("double").alias(c) for c in CALIBRATION]
+    both = info.select("bag_id", "ts_ns", "closing", F.lit(0).alias("place"), *[F.col(c).cast("double").alias(c) for c in CALIBRATION]).unionByName(
+        scans.select("bag_id", "ts_ns", "closing", F.lit(1).alias("place"), *none))
+
+    def step(state, row):
+        return (row[1:], None) if row[1] is not None else (state, state or (None,) * len(CALIBRATION))
+
+    return ordered_steps(both, step, ddl, ddl, ddl, delay_ns, order="place", idle_ms=idle_ms)
 
 
 def voxel_sums(points: DataFrame, size: float) -> DataFrame:
