@@ -222,3 +222,10 @@ def test_stages(docs, spark, tmp_path):
         assert now.count() <= before
         if i < len(corpus_pipeline.STAGES) - 1:
             assert now.columns == want, name
+
+
+def test_line_dedup_of_one_text_with_many_equal_lines(spark):
+    many = 100_000
+    docs = spark.createDataFrame([(1, "a log line that repeats\n" * many + "end"), (2, "another line of text")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_lines"], r["n_removed"], r["text"]) for r in rows(line_dedup.dedup_lines(docs))}
+    assert got[1] == (many + 1, many - 1, "a log line that repeats\nend") and got[2] == (1, 0, "another line of text")
