@@ -156,47 +156,71 @@ def test_line_dedup_plan_is_native(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
-def test_suffix_tree_base_score_and_gain(spark):
+def plain_suffix_tree(texts, tokens):
+    """Predictions of all contexts by the definition: log10 probability of the tokens of each of `texts`, and the longest retained context."""
+    counts = Counter(w for t in tokens for w in t)
+    n, v = sum(counts.values()), len(counts)
+    after = {}  # retained context -> (counted next words, their sum)
+
+    def predict(context, word):
+        p = (counts[word] + 1) / (n + v + 1)
+        for length in range(1, len(context) + 1):
+            if context[-length:] in after:
+                seen, size = after[context[-length:]]
+                p = (seen.get(word, 0) + suffix_tree.SMOOTH * p) / (size + suffix_tree.SMOOTH)
+        return p
+
+    length, shorter, extend = 1, 0, None
+    while True:
+        found = defaultdict(Counter)
+        for t in tokens:
+            for i in range(length, len(t)):
+                if extend is None or t[i - shorter:i] in extend:
+                    found[t[i - length:i]][t[i]] += 1
+        found = {s: {w: c for w, c in seen.items() if c >= suffix_tree.LEAST} for s, seen in found.items()}
+        new, extend = {}, set()
+        for s, seen in found.items():
+            size = sum(seen.values())
+            wide = sum(-c * math.log(predict(s[1:], w)) for w, c in seen.items())
+            if sum(c * math.log(c / size / predict(s[1:], w)) for w, c in seen.items()) > suffix_tree.DIVERGENCE:
+                new[s] = (seen, size)
+                wide = sum(c * math.log((size + suffix_tree.SMOOTH) / c) for c in seen.values())
+            if len(seen) > 1 and wide > suffix_tree.DIVERGENCE:
+                extend.add(s)
+        after |= new
+        if not extend:
+            break
+        length, shorter = suffix_tree.following(length), length
+    return [sum(math.log10(predict(t[:i], w)) for i, w in enumerate(t)) for t in texts], max(map(len, after), default=0), predict
+
+
+def test_suffix_tree_equals_plain_version(spark):
     rng = np.random.default_rng(2)
     phrase = prose(rng, 12)
-    docs = [(i, f"{prose(rng, 20, 1)} {phrase} {prose(rng, 20)}") for i in range(150)] + [(900, None)]
-    held = {i for i, _ in docs if i % 5 == 0}
-    tokens = {i: WORD.findall((t or "").translate(LOWER)) + [None] for i, t in docs}
-    counts = Counter(w for i in tokens if i not in held for w in tokens[i])
+    docs = [(i, f"{prose(rng, 20, 1)} {phrase} {prose(rng, 20)}") for i in range(150)] + [(900, None), (901, "")]
+    # A choice that only a context of seven words decides, and two copies of a text of its own words.
+    docs += [(1000 + i, f"{'left' if i % 2 else 'right'} a1 a2 a3 a4 a5 a6 {'down' if i % 2 else 'up'}") for i in range(60)]
+    docs += [(2000 + i, " ".join(f"own{j}" for j in range(30))) for i in range(2)]
+    tokens = {i: (*WORD.findall((t or "").translate(LOWER)), None) for i, t in docs}
+    held = {i for i in tokens if i % 5 == 0 and i < 2000}
+    train = [tokens[i] for i in tokens if i not in held]
+    counts = Counter(w for t in train for w in t)
     n, v = sum(counts.values()), len(counts)
+    want, longest, predict = plain_suffix_tree([tokens[i] for i in tokens], train)
+    assert longest == 7
+    choice = ("a1", "a2", "a3", "a4", "a5", "a6")
+    assert predict(("right", *choice), "up") > 0.9 and predict(choice, "up") < 0.6
+    for context in ((), ("a6",), ("left", *choice), tuple(phrase.split()[:3])):
+        assert sum(predict(context, w) for w in counts) + predict(context, "never") == pytest.approx(1)
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    for frequent in (suffix_tree.FREQUENT, 300):  # all words in the table, or most joined
-        got = {r["doc_id"]: r for r in suffix_tree.score_texts(df, df.filter("doc_id % 5 <> 0"), frequent=frequent).collect()}
-        for i, t in tokens.items():
+    for frequent in (suffix_tree.FREQUENT, 300, 1):  # all keys in place, some, or none
+        got = {r["doc_id"]: r for r in suffix_tree.score_texts(df, df.filter("doc_id % 5 <> 0 or doc_id >= 2000"), frequent=frequent).collect()}
+        for (i, t), score in zip(tokens.items(), want, strict=True):
             base = sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in t)
             assert (got[i]["n_tokens"], got[i]["n_known"], got[i]["train_tokens"]) == (len(t), sum(counts[w] > 0 for w in t), n)
-            assert got[i]["base_score"] == pytest.approx(base)
-        if frequent == suffix_tree.FREQUENT:
-            assert sum(got[i]["score"] - got[i]["base_score"] for i in held) > 100
-
-
-def test_suffix_tree_predictions_sum_to_one():
-    rng = np.random.default_rng(4)
-    hashes = rng.integers(1, 1 << 62, 8, dtype=np.uint64)
-    text = hashes[np.repeat(np.array([[0, 1, 2, 3, 0, 1, 2, 4]]), 30, 0).ravel()]
-    size = np.array([len(text)])
-    tables = [suffix_tree.Table(np.unique(text))]
-    counts = [np.array([(text == k).sum() for k in tables[0].keys])]
-    for _ in range(2):
-        _, keys = suffix_tree.runs(text, size, tables)
-        k, n = np.unique(keys, return_counts=True)
-        tables.append(suffix_tree.Table(k))
-        counts.append(n)
-    tree = suffix_tree.Tree(tables, counts, len(text), len(tables[0].keys))
-    assert any(k.any() for k in tree.kept)
-    for context in ([0], [1], [0, 1], [1, 2], [2, 3]):
-        total = 0.0
-        for w in tables[0].keys:
-            seq = np.append(hashes[context], w)
-            number, gain = tree.gains(seq, np.array([len(seq)]))
-            total += 10 ** (tree.base[number[-1]] + gain[-1])
-        unseen = 1 - (10**tree.base).sum()  # mass the base leaves to words not seen
-        assert total <= 1 + 1e-6 and total + unseen >= 1 - 2 * unseen
+            assert got[i]["base_score"] == pytest.approx(base) and got[i]["score"] == pytest.approx(score)
+    assert sum(got[i]["score"] - got[i]["base_score"] for i in held) > 100
+    assert got[2000]["score"] - got[2000]["base_score"] > 30
 
 
 def test_mixing_hits_targets(spark):
