@@ -184,7 +184,7 @@ def plain_suffix_tree(texts, tokens):
             wide = sum(-c * math.log(predict(s[1:], w)) for w, c in seen.items())
             if sum(c * math.log(c / size / predict(s[1:], w)) for w, c in seen.items()) > suffix_tree.DIVERGENCE:
                 new[s] = (seen, size)
-                wide = sum(c * math.log((size + suffix_tree.SMOOTH) / c) for c in seen.values())
+                wide = min(sum(c * math.log((size + suffix_tree.SMOOTH) / c) for c in seen.values()), (size + suffix_tree.SMOOTH) / math.e)
             if len(seen) > 1 and wide > suffix_tree.DIVERGENCE:
                 extend.add(s)
         after |= new
@@ -223,6 +223,15 @@ def test_suffix_tree_equals_plain_version(spark):
     assert got[2000]["score"] - got[2000]["base_score"] > 30
 
 
+def test_suffix_tree_blocks_round_trip():
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 5000):
+        columns = [np.sort(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)), rng.integers(0, 1 << 63, 40, dtype=np.uint64)[rng.integers(0, 40, n)],
+                   rng.integers(0, 1 << 63, n, dtype=np.uint64), rng.integers(1, 9, n)]
+        got = suffix_tree.unpacked(suffix_tree.packed(columns), 3)
+        assert all((a == b).all() for a, b in zip(columns, got, strict=True))
+
+
 def test_mixing_hits_targets(spark):
     rng = np.random.default_rng(6)
     docs = [(i, f"s{i % 3}" if i % 7 else None, " ".join(["w"] * int(rng.integers(1, 60)))) for i in range(900)]
