@@ -100,7 +100,7 @@ def test_line_dedup_reads_long_words_to_their_end(spark):
 
 def test_line_dedup_keys_find_pairs_at_the_threshold(spark):
     own = [F.transform(F.sequence(F.lit(a), F.lit(b)), lambda i: F.xxhash64("id", i)) for a, b in ((1, 360), (41, 400))]
-    sets = spark.range(4000).select(own[0].alias("x"), own[1].alias("y")).select(*[F.array(*line_dedup._keys(c)).alias(c) for c in "xy"])
+    sets = spark.range(4000).select(own[0].alias("x"), own[1].alias("y")).select(*[line_dedup._keys(F.col(c)).alias(c) for c in "xy"])
     assert sets.filter(F.arrays_overlap("x", "y")).count() >= 0.994 * 4000  # similarity 0.8
 
 
