@@ -151,9 +151,39 @@ def test_line_dedup_keeps_one_line_of_each_component(spark):
     assert len(close) > 300 and len(wrong) <= 2  # keys may miss a pair near the threshold
 
 
-def test_line_dedup_plan_is_native(spark):
-    plan = line_dedup.dedup_lines(spark.createDataFrame([(1, "a\na")], "doc_id long, text string"))._jdf.queryExecution().toString()
-    assert not re.search("Python|Pandas|Arrow", plan)
+def test_line_sets_and_similarity_match_a_plain_version():
+    rng = np.random.default_rng(8)
+    alphabet = list("abc é漢😀 ")
+    lines = ["".join(rng.choice(alphabet, int(n))) for n in rng.integers(1, 40, 300)] + ["a", "ab", "éé", "abcd", "😀" * 9]
+    other = [x if k % 3 else x[: len(x) // 2] + "b" + x[len(x) // 2:] for k, x in enumerate(lines)]
+
+    def plain(x):
+        return {x[j:j + 5] for j in range(max(1, len(x) - 4))}
+
+    for _, data, offsets in slices(pa.array(lines), 700):
+        held, count = line_dedup.shingle_sets(data, offsets)
+        texts = [bytes(data[a:b]).decode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        assert count.tolist() == [len(plain(x)) for x in texts]
+        assert (np.diff(held.astype(np.int64)) > 0).all()
+    got = line_dedup.similar(pa.array(lines), pa.array(other), 80)
+    want = [100 * len(plain(x) & plain(y)) >= 80 * len(plain(x) | plain(y)) for x, y in zip(lines, other, strict=True)]
+    assert got.tolist() == want and 0 < sum(want) < len(want)
+
+
+def test_crowded_bands_meet_in_blocks_of_different_labels(spark):
+    # One component of 900 nodes, one of 60 and 50 strays in a band; a second band of strays alone.
+    rows = [(1, n, 0 if n < 900 else 900 if n < 960 else n, 1) for n in range(1010)] + [(2, 5000 + n, 5000 + n, 1) for n in range(130)]
+    got = banding.dealt(spark.createDataFrame(rows, "key long, node long, label long, size long"), 50, 1000).collect()
+    met, parts = set(), {}
+    for r in got:
+        parts.setdefault((r["key"], r["part"]), []).append((r["node"], r["label"]))
+    for held in parts.values():
+        met |= {(a, b) for a, la in held for b, lb in held if a < b and la != lb}
+    label = {n: lab for _, n, lab, _ in rows}
+    want = {(a, b) for k in (1, 2) for a in (r[1] for r in rows if r[0] == k) for b in (r[1] for r in rows if r[0] == k) if a < b and label[a] != label[b]}
+    assert met == want
+    # Blocks of one component are not paired with each other: 18 of its own, 2 of the next and 1 of strays, some blocks more by hash.
+    assert len(got) < 900 * 5 + 60 * 21 + 50 * 21 + 130 * 3 + 1
 
 
 def plain_suffix_tree(texts, tokens):

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.llm.components import components
@@ -44,10 +44,28 @@ def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return cut(placed.join(mixed, "key"))
 
 
-def dealt(crowded: DataFrame) -> DataFrame:
-    """(key, part, node, label): each band's nodes dealt to its number of `blocks` by hash, a part for every pair of blocks."""
-    own = crowded.withColumn("own", F.pmod(F.xxhash64("node", F.lit(6)), F.col("blocks")).cast("int"))
-    parts = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.least(o, F.col("own")) * F.col("blocks") + F.greatest(o, F.col("own")))
+def dealt(crowded: DataFrame, block: int, most: int) -> DataFrame:
+    """(key, part, node, label): the nodes of each band (key, node, label, size) in blocks of about `block` nodes and `most` of size, a part
+    for every pair of blocks that may hold different labels. A label beyond one block has blocks of its own, which are not paired with each
+    other; all smaller labels of a band share theirs. A component that fills a band thus costs its blocks times those of the rest."""
+
+    def blocks(n: str, size: str) -> Column:
+        return F.greatest(F.ceil(F.col(n) / block), F.least(F.col(n), F.ceil(F.col(size) / most))).cast("int")
+
+    held = crowded.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    held = cut(held.withColumn("of", F.when(blocks("n", "size") > 1, F.col("label"))))
+    groups = held.groupBy("key", "of").agg(F.sum("n").alias("n"), F.sum("size").alias("size")).select(
+        F.col("key").alias("band"), F.col("of").alias("group"), blocks("n", "size").alias("blocks"))
+    before = Window.partitionBy("band").orderBy(F.col("group").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = groups.select("band", "group", "blocks", F.coalesce(F.sum("blocks").over(before), F.lit(0)).alias("start"),
+                           F.sum("blocks").over(Window.partitionBy("band")).alias("total"))
+    placed = cut(held.join(ranges, (F.col("key") == F.col("band")) & F.col("of").eqNullSafe(F.col("group"))).select(
+        "key", "label", "of", "start", "blocks", "total"))
+    own = crowded.select("key", "node", "label").join(placed, ["key", "label"]).withColumn(
+        "own", F.col("start") + F.pmod(F.xxhash64("node", F.lit(6)), F.col("blocks")))
+    others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("total") - 1),
+                      lambda o: F.col("of").isNull() | (o < F.col("start")) | (o >= F.col("start") + F.col("blocks")))
+    parts = F.transform(others, lambda o: F.least(o, F.col("own")) * F.col("total") + F.greatest(o, F.col("own")))
     return own.select("key", F.explode(parts).alias("part"), "node", "label")
 
 

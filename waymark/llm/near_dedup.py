@@ -212,13 +212,11 @@ def crowd_links(node: np.ndarray, label: np.ndarray, sets: list[np.ndarray], per
 
 
 def _crowds(crowded: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, block: int = 400, members: int = 200_000) -> DataFrame:
-    """(a, b) edges within large bands (key, node, label, n): a band is dealt by hash to blocks of about `block` nodes, or fewer where
-    their sets would hold more than `members` shingles, and every pair of blocks is compared in one task by products of incidence
-    matrices."""
-    sized = crowded.join(nodes.select(F.col("fp").alias("node"), "n_shingles"), "node")
-    weight = cut(sized.groupBy("key").agg(F.sum("n_shingles").alias("total")))
-    blocks = F.greatest(F.ceil(F.col("n") / block), F.least(F.col("n"), F.ceil(F.col("total") / members))).cast("int")
-    parts = dealt(crowded.join(weight, "key").withColumn("blocks", blocks)).join(sets, "node")
+    """(a, b) edges within large bands (key, node, label, n): a band is dealt to blocks of about `block` nodes, or fewer where
+    their sets would hold more than `members` shingles, and every pair of blocks that may hold different labels is compared in one task by
+    products of incidence matrices."""
+    sized = crowded.join(nodes.select(F.col("fp").alias("node"), F.col("n_shingles").alias("size")), "node")
+    parts = dealt(sized, block, members).join(sets, "node")
 
     def compare(t: pa.Table) -> pa.Table:
         column = t.column("members").combine_chunks()
