@@ -99,12 +99,14 @@ def test_line_dedup_reads_long_words_to_their_end(spark):
 
 
 def test_line_dedup_keys_find_pairs_at_the_threshold():
-    keys = []
+    keys, drawn = [], []
     for low, high in ((0, 360), (40, 400)):
         rng = np.random.default_rng(3)
         members = [np.sort(rng.integers(0, 1 << line_dedup.BITS, 400, dtype=np.uint64)[low:high] | np.uint64(i << line_dedup.BITS)) for i in range(4000)]
         keys.append(line_dedup.band_keys(np.concatenate(members), np.full(4000, 360)))
+        drawn.append(line_dedup.samples(np.concatenate(members), np.full(4000, 360)))
     assert (keys[0] == keys[1]).any(1).sum() >= 0.994 * 4000  # similarity 0.8
+    assert ((drawn[0] == drawn[1]).mean(1) >= 0.8 - line_dedup.MARGIN).all()
 
 
 def test_suffix_tree(docs):
