@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from waymark.functions import eigen
 from waymark.functions.color import is_gray
 from waymark.operators import graph, mesh, occupancy, outliers, points as pts, registration, spacejoin, views
+from waymark.plans import jobs
+from waymark.session import cut
 
 
 def cloud(spark, xyz, bag=0):
@@ -253,3 +255,35 @@ def test_ground_gaps_take_the_nearest_cell(spark, cells):
     got = {(r.bag_id, r.gx, r.gy): r.z for r in occupancy.fill_ground(known, known.select("bag_id", (F.col("z") - 1).alias("z")), ext, cells).collect()}
     want |= {(90, x, y): 6.0 for x in range(2) for y in range(3)} | {(91, 0, y): 0.0 for y in range(2)}
     assert got == want
+
+
+def test_far_vertices_are_those_beyond_the_limit_of_their_mesh(spark):
+    rng = np.random.default_rng(11)
+    pts_ = [(b, *map(float, p)) for b in (0, 1, 2, 3) for p in rng.uniform(-4, 4, (300, 3))]
+    verts = [(b, i, *map(float, p)) for b in (0, 1, 2, 3, 4) for i, p in enumerate(rng.uniform(-9, 9, (200, 3)))]
+    verts.append((3, 200, *[p[1:] for p in pts_ if p[0] == 3][0]))
+    limit = {0: 0.7, 1: 3.0, 2: float("inf"), 3: 0.0, 4: float("inf")}
+    v = cut(spark.createDataFrame(verts, "bag_id long, vid long, x double, y double, z double"))
+    p = cut(spark.createDataFrame(pts_, "bag_id long, x double, y double, z double"))
+    f = spark.createDataFrame([(0, 0, 0, 1, 2)], "bag_id long, fid long, v0 long, v1 long, v2 long")
+    lim = cut(spark.createDataFrame(list(limit.items()), "bag_id long, limit double"))
+    got = {(r.bag_id, r.vid) for r in mesh.trim_far_vertices(v, f, p, lim)[0].collect()}
+    cloud = {b: np.array([q[1:] for q in pts_ if q[0] == b]).reshape(-1, 3) for b in limit}
+    want = {(b, i) for b, i, *at in verts if len(cloud[b]) and np.sqrt(((cloud[b] - at) ** 2).sum(1)).min() <= limit[b]}
+    assert got == want and 0 < len([k for k in got if k[0] == 0]) < 200
+
+
+def test_a_surface_keeps_no_copy_of_its_cloud(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    rng = np.random.default_rng(3)
+    rows = [(0, i, *map(float, p)) for i, p in enumerate(rng.uniform(0, 6, (20_000, 3)))]
+    cloud = cut(spark.createDataFrame(rows, "bag_id long, point_idx long, x double, y double, z double"))
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(glob.glob(f"{folder}/table-*"))
+    v, f = jobs.surface_mesh(cloud, 2.0, jobs.SurfaceConfig(smooth_iterations=1))
+    assert f.count() > 0
+    made = set(glob.glob(f"{folder}/table-*")) - before
+    assert max(sum(pq.read_metadata(x).num_rows for x in glob.glob(f"{t}/*.parquet")) for t in made) < 5_000

@@ -5,11 +5,14 @@ vertices(bag_id, vid, x, y, z, ...), faces(bag_id, fid, v0, v1, v2). Vertex ids
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions import rotation as rot
 from waymark.functions.color import colormap
+from waymark.functions.grid import cell
 from waymark.operators.odometry import exact_percentile
 from waymark.operators.spacejoin import nearest
 from waymark.session import cut
@@ -320,14 +323,45 @@ def trim_low_support(vertices: DataFrame, faces: DataFrame, percentile: float, s
     return _drop_faces(kept, faces)
 
 
-def trim_far_vertices(vertices: DataFrame, faces: DataFrame, points: DataFrame, limits: DataFrame, spacing: float
-                      ) -> tuple[DataFrame, DataFrame]:
-    """Drop vertices farther than their mesh's `limit` (bag_id, limit) from every point, with their faces."""
-    named = vertices.withColumn("point_idx", F.col("vid"))
-    near = nearest(named, points, 1, spacing)
-    d = F.sqrt(F.get("neighbours", F.lit(0))["d2"])
-    kept = near.withColumn("_d", d).join(limits, "bag_id").filter(F.col("_d") <= F.col("limit")).select(*vertices.columns)
-    return _drop_faces(kept, faces)
+def trim_far_vertices(vertices: DataFrame, faces: DataFrame, points: DataFrame, limits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Drop vertices farther than their mesh's `limit` (bag_id, limit) from every point, with their faces.
+
+    Points become tight boxes of cells a quarter of the limit wide, combined before the shuffle. A vertex stays if a box around it lies
+    within the limit whole; only cells that straddle the limit of a vertex still open give their points. `points` is read twice.
+    """
+    finite = limits.filter((F.col("limit") >= 0) & (F.col("limit") < float("inf")))
+    side = F.greatest(F.col("limit") / 4.0, F.lit(1e-6))
+    keys = ["_cx", "_cy", "_cz"]
+    celled = points.select("bag_id", "x", "y", "z").join(finite, "bag_id").withColumns({k: cell(a, side) for k, a in zip(keys, "xyz")})
+    boxes = cut(celled.groupBy("bag_id", *keys).agg(
+        *[F.min(a).alias(f"blo{a}") for a in "xyz"], *[F.max(a).alias(f"bhi{a}") for a in "xyz"]))
+
+    def met(some: DataFrame, reach: int) -> DataFrame:
+        """Vertices with the boxes up to `reach` cells away: squared distances to their nearest and farthest corners."""
+        out = some
+        for k, a in zip(keys, "xyz"):
+            out = out.withColumn("_o", F.explode(F.sequence(F.lit(-reach), F.lit(reach)))).withColumn(k, cell(a, side) + F.col("_o")).drop("_o")
+        near, far = F.lit(0.0), F.lit(0.0)
+        for a in "xyz":
+            under, over = F.col(f"blo{a}") - F.col(a), F.col(a) - F.col(f"bhi{a}")
+            gap, span = F.greatest(F.lit(0.0), under, over), F.greatest(F.abs(under), F.abs(over))
+            near, far = near + gap * gap, far + span * span
+        return out.join(boxes, ["bag_id", *keys]).select(*some.columns, *keys, near.alias("_near"), far.alias("_far"))
+
+    limit = F.col("limit")
+    spots = vertices.select("bag_id", "vid", "x", "y", "z").join(finite, "bag_id")
+    kept = cut(met(spots, 1).filter(F.sqrt("_far") <= limit).select("bag_id", "vid").distinct())
+    pairs = cut(met(spots.join(kept, ["bag_id", "vid"], "left_anti"), 5).filter(F.sqrt("_near") <= limit))
+    sure = pairs.filter(F.sqrt("_far") <= limit).select("bag_id", "vid").distinct()
+    straddling = pairs.join(sure, ["bag_id", "vid"], "left_anti").select(
+        "bag_id", "vid", *keys, *[F.col(a).alias(f"_v{a}") for a in "xyz"])
+    inside = celled.join(straddling.select("bag_id", *keys).distinct(), ["bag_id", *keys], "left_semi")
+    close = straddling.join(inside, ["bag_id", *keys]).filter(rot.distance3(["_vx", "_vy", "_vz"], ["x", "y", "z"]) <= limit)
+    # without a limit a log's points keep all of its vertices
+    free = limits.filter(limit == float("inf")).join(points.select("bag_id"), "bag_id", "left_semi")
+    spared = vertices.join(free, "bag_id", "left_semi").select("bag_id", "vid")
+    stay = cut(reduce(DataFrame.unionByName, [kept, sure, close.select("bag_id", "vid").distinct(), spared]))
+    return _drop_faces(vertices.join(stay, ["bag_id", "vid"], "left_semi"), faces)
 
 
 def trim_limits(spacing: DataFrame, multiplier: float, cap: float | None = None) -> DataFrame:

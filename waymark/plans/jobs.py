@@ -132,8 +132,10 @@ def coloured_cloud(points: DataFrame, odom: DataFrame, images: DataFrame, info:
 
 
 def surface_mesh(cloud: DataFrame, size: float, cfg: SurfaceConfig = SurfaceConfig()) -> tuple[DataFrame, DataFrame]:
-    """Voxel surface of a cloud: trimmed by support and distance, cleaned, smoothed and optionally simplified."""
-    cloud = cut(cloud)
+    """Voxel surface of a cloud: trimmed by support and distance, cleaned, smoothed and optionally simplified.
+
+    `cloud` is read three times at most and not kept: hand in a table, or rows that are cheap to make again.
+    """
     solid = cut(pts.voxel_downsample(cloud, size))
     v, f = mesh.voxel_surface(solid, size)
     f = cut(f)
@@ -142,7 +144,7 @@ def surface_mesh(cloud: DataFrame, size: float, cfg: SurfaceConfig = SurfaceConf
     v, f = mesh.trim_low_support(cut(v.join(support, ["bag_id", "vid"])), f, cfg.support_percentile)
     limits = mesh.trim_limits(outliers.mean_spacing(solid.withColumn("point_idx", pts.voxel_id()), size * 2.0),
                               cfg.distance_multiplier, cfg.max_distance)
-    v, f = mesh.trim_far_vertices(cut(v.drop("support")), cut(f), cloud, limits, size * 4.0)
+    v, f = mesh.trim_far_vertices(cut(v.drop("support")), cut(f), cloud, cut(limits))
     v, f = mesh.clean_mesh(cut(v), cut(f))
     v, f = cut(v), cut(f)
     v = mesh.smooth_mesh(v, f, "laplacian", cfg.smooth_iterations)

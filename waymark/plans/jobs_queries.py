@@ -97,7 +97,7 @@ def _(spark, sf):
 
 @query("surface_mesh_job", "Q3")
 def _(spark, sf):
-    v, f = jobs.surface_mesh(cut(world(spark, sf)), 2.0, jobs.SurfaceConfig(smooth_iterations=2, target=0.9, curvature_percentile=99.0, rings=0))
+    v, f = jobs.surface_mesh(world(spark, sf), 2.0, jobs.SurfaceConfig(smooth_iterations=2, target=0.9, curvature_percentile=99.0, rings=0))
     return f.groupBy("bag_id").agg(F.count(F.lit(1)).alias("faces")).join(v.groupBy("bag_id").agg(F.count(F.lit(1)).alias("vertices")), "bag_id")
 
 
@@ -143,7 +143,7 @@ def _(spark, sf):
 @query("model_export", "Q5 K4 K5")
 def _(spark, sf):
     path = scratch_path(spark, "model")
-    jobs.model_export(cut(world(spark, sf)), 3.0, path, jobs.SurfaceConfig(smooth_iterations=1))
+    jobs.model_export(world(spark, sf), 3.0, path, jobs.SurfaceConfig(smooth_iterations=1))
     return spark.read.text(path, lineSep="endfacet\n").groupBy("bag_id").agg(F.count(F.lit(1)).alias("facets"))
 
 

@@ -198,7 +198,7 @@ def _(spark, sf):
     v, f = surface(spark, sf)
     p = cut(solid(spark, sf).withColumn("point_idx", pts.voxel_id()))
     limits = mesh.trim_limits(p.groupBy("bag_id").agg(F.lit(2.0).alias("spacing")), 3.0, 1.3)
-    return mesh.trim_far_vertices(v, f, p, limits, 1.0)[0].select("bag_id", "vid")
+    return mesh.trim_far_vertices(v, f, p, limits)[0].select("bag_id", "vid")
 
 
 @query("center_mesh", "K5", sql_with(["vertices"], f"""
