@@ -177,3 +177,36 @@ def test_ordered_stream_carries_state_over_restarts_and_tells_late_rows(spark, t
         want = np.cumsum([v for bag, _, v, _ in rows if bag == b])
         assert np.allclose([got[b, t] for t in range(40)], want)
     assert len(got) == 80 and [(r.bag_id, r.ts_ns) for r in spark.read.parquet(f"{tmp_path}/late").collect()] == [(1, 0), (1, 0)]
+
+
+@pytest.fixture(scope="module")
+def repeated_times(tmp_path_factory):
+    """The smallest tables with a third of the events twice and a ninth three times."""
+    import os
+
+    import duckdb
+
+    home, small = tmp_path_factory.mktemp("repeated"), "/root/testdata/sf0.001"
+    for name in os.listdir(small):
+        if name != "events.parquet":
+            os.symlink(f"{small}/{name}", home / name)
+    again = " ".join(f"UNION ALL SELECT * REPLACE (event_id + {k}000000 AS event_id) FROM e WHERE event_id % {3 ** k} = 0" for k in (1, 2))
+    duckdb.execute(f"COPY (WITH e AS (FROM '{small}/events.parquet') SELECT * FROM e {again}) TO '{home}/events.parquet'")
+    return str(home)
+
+
+@pytest.mark.parametrize("name", ["decode_odometry", "pose_composition"])
+def test_repeated_times_give_the_rows_of_the_sql(spark, repeated_times, name):
+    from collections import Counter
+
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS FROM '{repeated_times}/events.parquet'")
+    df = entry.queries()[name](spark, repeated_times)
+    want = con.execute(entry.oracle_sql()[name]).fetchall()
+    order = [[d[0] for d in con.description].index(c) for c in df.columns]
+    rows = lambda it, at: Counter(tuple(round(r[i], 5) + 0.0 for i in at) for r in it)
+    assert rows(df.collect(), range(len(order))) == rows(want, order)
