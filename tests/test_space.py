@@ -287,3 +287,11 @@ def test_a_surface_keeps_no_copy_of_its_cloud(spark):
     assert f.count() > 0
     made = set(glob.glob(f"{folder}/table-*")) - before
     assert max(sum(pq.read_metadata(x).num_rows for x in glob.glob(f"{t}/*.parquet")) for t in made) < 5_000
+
+
+def test_map_metadata_needs_no_normals(spark, monkeypatch):
+    import __spark_entry__ as entry
+
+    monkeypatch.setattr(outliers, "estimate_normals", None)
+    rows = entry.queries()["map_metadata"](spark, entry.SMOKE_DIR).collect()
+    assert {r.bag_id for r in rows} == {0, 1, 2, 3}

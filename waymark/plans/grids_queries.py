@@ -178,8 +178,8 @@ def _(spark, sf):
 @query("map_metadata", "K6", sql_with(["ext"], f"""
 SELECT bag_id, {GRID}::DOUBLE AS resolution, {r6('min_x')} AS origin_x, {r6('min_y')} AS origin_y, 0 AS negate, 0.65::DOUBLE AS occupied_thresh FROM ext"""))
 def _(spark, sf):
-    _w, _low, ext = level_world(spark, sf)
-    return occ.map_metadata(ext, GRID).select("bag_id", "resolution", r("origin_x").alias("origin_x"),
+    w = pts.transform_points(fx.points(spark, sf), frame_poses(spark, sf, False).filter("px is not null"))
+    return occ.map_metadata(pts.extent(w, GRID), GRID).select("bag_id", "resolution", r("origin_x").alias("origin_x"),
                                               r("origin_y").alias("origin_y"), "negate", "occupied_thresh")
 
 
