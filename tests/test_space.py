@@ -295,3 +295,17 @@ def test_map_metadata_needs_no_normals(spark, monkeypatch):
     monkeypatch.setattr(outliers, "estimate_normals", None)
     rows = entry.queries()["map_metadata"](spark, entry.SMOKE_DIR).collect()
     assert {r.bag_id for r in rows} == {0, 1, 2, 3}
+
+
+def test_scans_before_the_first_calibration_are_coloured(spark):
+    """The log's first calibration holds for them too."""
+    points = cut(cloud(spark, [[2, 0, 0], [2, 0.5, 0.5]]).withColumn("ts_ns", F.lit(95)))
+    odom = spark.createDataFrame([(0, t, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0) for t in (90, 95, 100, 105)],
+                                 "bag_id long, ts_ns long, px double, py double, pz double, qx double, qy double, qz double, qw double")
+    images = spark.createDataFrame([(0, 100, 8, 8, "mono8", bytearray([200] * 64))],
+                                   "bag_id long, ts_ns long, height int, width int, encoding string, data binary")
+    info = spark.createDataFrame([(0, 100, [4.0, 0.0, 3.5, 0.0, 4.0, 3.5, 0.0, 0.0, 1.0], 8, 8)],
+                                 "bag_id long, ts_ns long, k array<double>, width int, height int")
+    cfg = jobs.CloudConfig(voxel=0.1, min_frame_points=1, clean=False, max_latency_ns=100)
+    got = jobs.coloured_cloud(points, odom, images, info, cfg, jobs.ColourConfig(max_dt_ns=10)).collect()
+    assert [round(row.g, 6) for row in got] == [round(200 / 255, 6)] * 2

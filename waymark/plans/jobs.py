@@ -111,13 +111,13 @@ def coloured_cloud(points: DataFrame, odom: DataFrame, images: DataFrame, info:
     """World cloud with camera colours; placeholder-gray points near coloured ones are removed over the whole log.
 
     The camera stands where odometry has it, in logs of either mode and with refined poses too, and at the world's origin for scans
-    without odometry.
+    without odometry. A log's first calibration holds for all its scans, also for those before it.
     """
     scans, poses, sensors = registered_frames(points, odom, cfg, modes)
     eye = {c: F.coalesce(c, F.lit(1.0 if c == "qw" else 0.0)) for c in timejoin.POSE}
     cameras = cut(poses.select("bag_id", "ts_ns").join(sensors.select("bag_id", "ts_ns", *timejoin.POSE), ["bag_id", "ts_ns"], "left").withColumns(eye))
     matched = colour.match_images(cameras, images.select("bag_id", "ts_ns"), ccfg.max_dt_ns, cfg.bucket_ns)
-    cams = messages.intrinsics_for(matched.select("bag_id", "ts_ns", "image_ts_ns"), messages.decode_camera_info(info))
+    cams = messages.intrinsics_for(matched.select("bag_id", "ts_ns", "image_ts_ns"), messages.decode_camera_info(info), "earliest")
     seen = cut(matched.join(cams.drop("image_ts_ns"), ["bag_id", "ts_ns"], "left"))
     world = pts.transform_points(scans, poses)
     projected = colour.project_points(world, seen, ccfg.min_depth, ccfg.max_depth)
