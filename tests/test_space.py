@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -309,3 +310,24 @@ def test_scans_before_the_first_calibration_are_coloured(spark):
     cfg = jobs.CloudConfig(voxel=0.1, min_frame_points=1, clean=False, max_latency_ns=100)
     got = jobs.coloured_cloud(points, odom, images, info, cfg, jobs.ColourConfig(max_dt_ns=10)).collect()
     assert [round(row.g, 6) for row in got] == [round(200 / 255, 6)] * 2
+
+
+def test_block_search_tries_few_of_the_pairs(monkeypatch):
+    rng = np.random.default_rng(3)
+    points = rng.uniform(0, 30, (3000, 3))
+    points[1000:1200] = np.round(points[1000:1200])
+    points[1500:1600] = points[1000:1100]
+    tried, plain = [0], spacejoin._squares
+
+    def counted(a, b):
+        tried[0] += len(a) * len(b)
+        return plain(a, b)
+
+    monkeypatch.setattr(spacejoin, "_squares", counted)
+    table = {"bag_id": np.zeros(3000, int), **{a: points[:, i].copy() for i, a in enumerate("xyz")}}
+    ids = np.arange(3000)
+    found = spacejoin._block_search(["bag_id"], 20, None)(pa.table({**table, "_qid": ids}), pa.table({**table, "_bid": ids}))
+    d2 = plain(points, points)
+    for i, near in enumerate(found["nb"].to_pylist()):
+        assert [n["id"] for n in near] == np.lexsort((ids, d2[i]))[:20].tolist()
+    assert tried[0] < d2.size / 4
