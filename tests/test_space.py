@@ -161,6 +161,33 @@ def test_icp_recovers_a_shift():
     assert np.allclose(motion[:3, 3], shift, atol=2e-3) and fitness > 0.95 and rmse < 0.05
 
 
+def test_icp_partners_equal_brute_force_at_bounded_work():
+    rng = np.random.default_rng(3)
+    per_place = []
+    for side in (6, 24):  # a lattice with many equal distances, sixteen times as large at the same density
+        still = np.unique(rng.integers(0, (4 * side, 4 * side, 8), (40 * side * side, 3)), axis=0) * 0.25
+        rng.shuffle(still)
+        places = np.vstack([still[:300] + 0.125, [[-50.0, 3.0, 1.0], [np.nan, 0.0, 0.0], [1e30, 0.0, 0.0]]])
+        cells = registration.CellIndex(still, 0.5)
+        place, _point, _d2 = cells.around(places)
+        per_place.append(len(place) / len(places))
+        best, best_d2 = registration._nearest_in(cells, places)
+        for i, at in enumerate(places):
+            d2 = ((at - still) ** 2).sum(axis=1)
+            if d2.min() <= 0.25:
+                assert (best[i], best_d2[i]) == (d2.argmin(), d2.min())
+            else:
+                assert not best_d2[i] <= 0.25
+        normals = registration.surface_directions(still, 0.5, 30)
+        for i in range(0, len(still), 97):
+            d2 = ((still - still[i]) ** 2).sum(axis=1)
+            near = [k for k in np.argsort(d2, kind="stable")[:30] if d2[k] <= 0.25]
+            want = np.linalg.eigh(np.cov(still[near].T, bias=True))[1][:, 0] if len(near) >= 3 else [0.0, 0.0, 1.0]
+            assert np.allclose(normals[i], want)
+    assert per_place[1] < 1.5 * per_place[0]
+
+
+
 def test_rigid_transform_keeps_distances(spark):
     p = cloud(spark, [[0, 0, 0], [1, 2, 3]]).withColumn("ts_ns", F.lit(1).cast("long"))
     pose = spark.createDataFrame([(0, 1, 5.0, 6.0, 7.0, 0.1, 0.2, 0.3, 0.9)],

@@ -108,6 +108,11 @@ def icp_refine(points: DataFrame, pairs: DataFrame, dist: float = 0.2, normal_ra
     `points` holds voxelised scans in the sensor frame; a group is the two scans of one pair. Adds the
     refined motion (m00.. mz), fitness (share of matched points) and rmse.
     """
+    pairs = cut(pairs)
+    # By bytes a few tasks would do, but a pair is many rounds of work: so many tasks that all cores share it.
+    spark = pairs.sparkSession
+    count = pairs.count()
+    tasks = max(1, min(count, max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism, count // 1000)))
     p = points.select("bag_id", "ts_ns", "x", "y", "z")
     moving = p.join(pairs.select("bag_id", "to_ts", F.col("from_ts").alias("ts_ns")), ["bag_id", "ts_ns"]).select(
         "bag_id", "to_ts", F.col("ts_ns").alias("from_ts"), F.lit(0).alias("role"), "x", "y", "z")
@@ -135,35 +140,101 @@ def icp_refine(points: DataFrame, pairs: DataFrame, dist: float = 0.2, normal_ra
 
     # fresh names, since both sides derive from the same pairs
     guesses = pairs.select(*[F.col(c).alias(c) for c in [*key, *GUESS]])
-    return guesses.groupBy(*key).cogroup(clouds.groupBy(*key)).applyInPandas(align, schema)
-
-
-def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return ((a[:, None, :] - b[None, :, :]) ** 2).sum(axis=2)
+    return guesses.repartition(tasks, *key).groupBy(*key).cogroup(clouds.repartition(tasks, *key).groupBy(*key)).applyInPandas(align, schema)
+
+
+class CellIndex:
+    """Points in cells a little wider than `reach`, so that all points within it of a place lie in the 27 cells around."""
+
+    def __init__(self, points: np.ndarray, reach: float):
+        self.points, self.low = points, points.min(axis=0)
+        span = points.max(axis=0) - self.low
+        self.size = max(reach * (1 + 1e-9), span.max() / 1e6, 1e-12)
+        self.last = np.floor(span / self.size).astype(np.int64)
+        names = self._names(np.floor((points - self.low) / self.size).astype(np.int64))
+        self.order = np.argsort(names, kind="stable")
+        self.names = names[self.order]
+
+    def _names(self, at: np.ndarray) -> np.ndarray:
+        return ((at[..., 0] + 2) * (self.last[1] + 5) + at[..., 1] + 2) * (self.last[2] + 5) + at[..., 2] + 2
+
+    def around(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, point, squared distance) of all points in the cells around each place, in order of place."""
+        at = np.clip(np.nan_to_num(np.floor((places - self.low) / self.size), nan=-2.0), -2, self.last + 2).astype(np.int64)
+        steps = np.array([(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+        column = np.concatenate([np.clip(at[:, None, :2] + steps, -2, self.last[:2] + 2), np.repeat(at[:, None, 2:], 9, axis=1)], axis=2)
+        name = self._names(column)
+        first, end = np.searchsorted(self.names, name - 1).ravel(), np.searchsorted(self.names, name + 1, "right").ravel()
+        # A place beyond the box may be clipped to the same column thrice; only true columns count.
+        end = np.where((column[..., :2] == at[:, None, :2] + steps).all(axis=2).ravel(), end, first)
+        n = end - first
+        place = np.repeat(np.arange(len(places)), n.reshape(-1, 9).sum(axis=1))
+        point = self.order[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        gap = places[place] - self.points[point]
+        return place, point, (gap ** 2).sum(axis=1)
+
+
+#: Places looked up at once.
+BLOCK = 4096
+
+
+def surface_directions(points: np.ndarray, radius: float, max_nn: int) -> np.ndarray:
+    """Direction of least spread of each point's `max_nn` nearest within `radius`, upright if they are fewer than three."""
+    normals = np.tile([0.0, 0.0, 1.0], (len(points), 1))
+    cells = CellIndex(points, radius)
+    for s in range(0, len(points), BLOCK):
+        place, point, d2 = cells.around(points[s:s + BLOCK])
+        near = d2 <= radius * radius
+        place, point, d2 = place[near], point[near], d2[near]
+        order = np.lexsort((point, d2, place))
+        place, point = place[order], point[order]
+        names, first, count = np.unique(place, return_index=True, return_counts=True)
+        count = np.minimum(count, max_nn)
+        wide = np.flatnonzero(count >= 3)
+        if not len(wide):
+            continue
+        spread = np.empty((len(wide), 3, 3))
+        for i, w in enumerate(wide):
+            held = points[point[first[w]:first[w] + count[w]]].T
+            held = held - held.mean(axis=1)[:, None]
+            spread[i] = held.dot(held.T) * (1.0 / count[w])
+        normals[s + names[wide]] = np.linalg.eigh(spread)[1][:, :, 0]
+    return normals
+
+
+def _nearest_in(cells: CellIndex, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nearest point in the cells around each place, the first of equals, and its squared distance (infinite if there is none)."""
+    best, best_d2 = np.zeros(len(places), int), np.full(len(places), np.inf)
+    for s in range(0, len(places), BLOCK):
+        place, point, d2 = cells.around(places[s:s + BLOCK])
+        if not len(place):
+            continue
+        first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+        least = np.minimum.reduceat(d2, first)
+        tied = np.where(d2 == np.repeat(least, np.diff(np.append(first, len(place)))), point, len(cells.points))
+        best[s + place[first]], best_d2[s + place[first]] = np.minimum.reduceat(tied, first), least
+    return best, best_d2
 
 
 def point_to_plane(moving: np.ndarray, still: np.ndarray, motion: np.ndarray, dist: float, normal_radius: float,
                    max_nn: int, iterations: int) -> tuple[np.ndarray, float, float]:
-    """Align `moving` to `still` from an initial 4x4 motion; returns (motion, fitness, rmse)."""
+    """Align `moving` to `still` from an initial 4x4 motion; returns (motion, fitness, rmse).
+
+    Partners beyond `dist` do not count, so cells of half of it are asked first and cells of all of it for what found none there. The work
+    grows with the points and their density, not with all pairs.
+    """
     if not len(moving) or not len(still):
         return motion, 0.0, 0.0
-    normals = np.tile([0.0, 0.0, 1.0], (len(still), 1))
-    for i in range(len(still)):
-        d2 = ((still - still[i]) ** 2).sum(axis=1)
-        near = np.argsort(d2, kind="stable")[:max_nn]
-        near = near[d2[near] <= normal_radius * normal_radius]
-        if len(near) >= 3:
-            normals[i] = np.linalg.eigh(np.cov(still[near].T, bias=True))[1][:, 0]
+    normals = surface_directions(still, normal_radius, max_nn)
+    narrow, broad = CellIndex(still, dist / 2.0), CellIndex(still, dist)
     last = (-1.0, -1.0)
     fitness = rmse = 0.0
     for turn in range(iterations + 1):
         at = moving @ motion[:3, :3].T + motion[:3, 3]
-        best, best_d2 = np.zeros(len(at), int), np.full(len(at), np.inf)
-        block = max(1, 2_000_000 // len(still))
-        for s in range(0, len(at), block):
-            d2 = _squared(at[s:s + block], still)
-            best[s:s + block] = d2.argmin(axis=1)
-            best_d2[s:s + block] = d2.min(axis=1)
+        best, best_d2 = _nearest_in(narrow, at)
+        open_ = np.flatnonzero(~(best_d2 <= dist * dist / 4.0))
+        if len(open_):
+            best[open_], best_d2[open_] = _nearest_in(broad, at[open_])
         hit = best_d2 <= dist * dist
         fitness = float(hit.mean())
         rmse = float(np.sqrt(best_d2[hit].mean())) if hit.any() else 0.0
