@@ -358,3 +358,13 @@ def test_block_search_tries_few_of_the_pairs(monkeypatch):
     for i, near in enumerate(found["nb"].to_pylist()):
         assert [n["id"] for n in near] == np.lexsort((ids, d2[i]))[:20].tolist()
     assert tried[0] < d2.size / 4
+
+
+def test_colours_need_no_second_pass_over_points_without_pixel(spark):
+    from waymark.operators import colour
+    images = spark.createDataFrame([(0, 7, 2, 2, "mono8", bytearray([0, 51, 102, 255]))],
+                                   "bag_id long, ts_ns long, height int, width int, encoding string, data binary")
+    rows = [(0, 1, 7, 1, 0), (0, 2, 7, None, None), (0, 3, None, None, None), (0, 4, 7, 0, 1), (0, 5, 8, 0, 1)]
+    out = colour.sample_images(spark.createDataFrame(rows, "bag_id long, point_idx long, image_ts_ns long, u int, v int"), images)
+    assert {r.point_idx: r.g for r in out.collect()} == {1: 0.2, 2: 0.5, 3: 0.5, 4: 0.4, 5: 0.5}
+    assert "Union" not in out._jdf.queryExecution().optimizedPlan().toString()

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from waymark.functions import camera, rotation as rot
 from waymark.functions.color import FALLBACK_GRAY, lightness
 from waymark.operators.timejoin import nearest_time
+from waymark.session import cut
 from waymark.sources.messages import decode_image, image_problems
 
 INTRINSICS = ("fx", "fy", "cx", "cy", "width", "height")
@@ -54,10 +55,10 @@ def sample_images(projected: DataFrame, images: DataFrame) -> DataFrame:
     """Colours in [0, 1] of projected points; points without a pixel get the placeholder gray.
 
     Images stay images: the distinct pixels asked of an image, no more than it has, meet its bytes once, and only their colours
-    are joined back to the points. Points without a pixel bypass the join, which would gather them all under one null key.
+    are joined back to the points. They are written first: as long as they are few, the points need no shuffle. Points without a pixel
+    ask for one of many that no image has, since the join would gather them all under one null key.
     """
     seen = projected.filter(F.col("u").isNotNull())
-    rest = projected.filter(F.col("u").isNull())
     key = ["bag_id", "image_ts_ns", "v", "u"]
     asked = seen.select(*key).distinct().groupBy("bag_id", "image_ts_ns").agg(F.collect_list(F.struct("v", "u")).alias("spots"))
     good = image_problems(images).filter(F.col("bad_reason").isNull())
@@ -80,11 +81,10 @@ def sample_images(projected: DataFrame, images: DataFrame) -> DataFrame:
                     [row.column(0).take(pa.array(one)), row.column(1).take(pa.array(one)), pa.array(v.astype(np.int32)), pa.array(u.astype(np.int32)),
                      *(pa.array(np.ascontiguousarray(tint[:, c])) for c in range(3))], [*key, "r", "g", "b"])
 
-    tints = held.mapInArrow(look, f"bag_id {bag_type}, image_ts_ns long, v int, u int, r double, g double, b double")
-    hit = seen.join(tints, key, "left").select(
-        *projected.columns, *[F.coalesce(c, F.lit(FALLBACK_GRAY)).alias(c) for c in "rgb"])
-    miss = rest.select(*projected.columns, *[F.lit(FALLBACK_GRAY).alias(c) for c in "rgb"])
-    return hit.unionByName(miss)
+    tints = cut(held.mapInArrow(look, f"bag_id {bag_type}, image_ts_ns long, v int, u int, r double, g double, b double")).withColumnRenamed("u", "_u")
+    nowhere = (-1 - F.pmod(F.xxhash64(*projected.columns), F.lit(1024))).cast("int")
+    met = projected.withColumn("_u", F.coalesce("u", nowhere)).join(tints, ["bag_id", "image_ts_ns", "v", "_u"], "left")
+    return met.select(*projected.columns, *[F.coalesce(c, F.lit(FALLBACK_GRAY)).alias(c) for c in "rgb"])
 
 
 def match_lightness(pixels: DataFrame, reference: DataFrame) -> DataFrame:
