@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from waymark import session
 from waymark.llm import (banding, bitmaps, components, decontaminate, embedding_graph, language_id, line_dedup, mixing, near_dedup, pii,
                          suffix_tree, token_counts, toxicity)
 from waymark.llm.textbytes import normal, slices, word_hashes, words
@@ -151,6 +152,47 @@ def test_line_dedup_keeps_one_line_of_each_component(spark):
     assert len(close) > 300 and len(wrong) <= 2  # keys may miss a pair near the threshold
 
 
+def test_lines_that_only_share_keys_leave_their_bands(spark):
+    # 30 nodes share every key; only the sketches of the last three are alike, and their sizes but for one.
+    rng = np.random.default_rng(4)
+    keys = rng.integers(0, 1 << 63, line_dedup.BANDS).tobytes()
+    drawn = rng.integers(-1 << 63, 1 << 63, 28)
+    rows = [(n, keys, int(drawn[min(n, 27)]) ^ (1 if n == 28 else 0), 500 if n == 29 else 300) for n in range(30)]
+    rows += [(100 + n, rng.integers(0, 1 << 63, line_dedup.BANDS).tobytes(), 0, 300) for n in range(20)] + rows[27:]
+    lines = spark.createDataFrame([(n, bytearray(k), s, z) for n, k, s, z in rows], "node long, keys binary, sketch long, size int")
+    got = line_dedup._members(lines, 80).collect()
+    assert {(r["node"], r["low"]) for r in got} == {(27, 27), (28, 27)} and len(got) == 2 * line_dedup.BANDS
+    assert len({r["key"] for r in got}) == line_dedup.BANDS
+
+
+def test_sketches_let_similar_lines_pass_and_tell_others_apart():
+    rng = np.random.default_rng(6)
+    for size in (140, 360):
+        drawn = rng.integers(0, 1 << line_dedup.BITS, (20000, size + size // 9), dtype=np.uint64)
+        held = [np.sort(drawn[:, a:a + size]) for a in (0, size // 9)]  # similarity 0.8
+        x, y = (line_dedup.sketches((h | np.arange(20000, dtype=np.uint64)[:, None] << np.uint64(line_dedup.BITS)).ravel(), np.full(20000, size)) for h in held)
+        key, node = np.repeat(np.arange(20000, dtype=np.uint64), 2), np.arange(40000)
+        sizes = np.full(40000, size)
+        assert line_dedup.with_mates(key, node, np.stack([x, y], 1).ravel(), sizes, 80).all()
+        assert line_dedup.with_mates(key, node, np.stack([x, np.roll(y, 1)], 1).ravel(), sizes, 80).mean() < 0.03
+
+
+def test_line_key_blocks_round_trip():
+    rng = np.random.default_rng(7)
+    key = np.sort(rng.integers(0, 1 << 48, 3000, dtype=np.uint64))
+    columns = [key, rng.integers(-1 << 63, 1 << 63, 3000), rng.integers(0, 1 << 63, 3000, dtype=np.uint64), rng.integers(1, 1 << 30, 3000).astype(np.int32)]
+    for n in (3000, 1, 0):
+        got = line_dedup.unpacked(line_dedup.packed(*(c[:n] for c in columns)))
+        assert all((a == b[:n]).all() and len(a) == n for a, b in zip(got, columns, strict=True))
+
+
+def test_line_dedup_leaves_one_table_behind(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    docs = spark.createDataFrame([(i, f"the same long line that all of the documents hold\nline {i} of its own, {i * 7919}") for i in range(40)], "doc_id long, text string")
+    got = line_dedup.dedup_lines(docs)
+    assert min(r["n_removed"] for r in got.collect()) == 0 and len(list(tmp_path.glob("table-*"))) == 1
+
+
 def test_line_sets_and_similarity_match_a_plain_version():
     rng = np.random.default_rng(8)
     alphabet = list("abc é漢😀 ")
