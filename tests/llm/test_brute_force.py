@@ -295,6 +295,41 @@ def test_suffix_tree_equals_plain_version(spark):
     assert got[2000]["score"] - got[2000]["base_score"] > 30
 
 
+def test_suffix_tree_asks_for_keys_in_blocks(spark):
+    rng = np.random.default_rng(11)
+    keys, owner = rng.integers(0, 1 << 64, 5000, dtype=np.uint64), rng.integers(0, 70, 5000)
+    left = suffix_tree.Asked(3 << 40, 4)
+    left.add(keys[:2000], owner[:2000], 10)
+    left.add(keys[2000:], owner[2000:], 100)
+    group, block = left.blocks()
+    got = [suffix_tree.asked(b) for b in block]
+    assert all(((k >> np.uint64(60)) == g).all() for g, (k, _) in zip(group, got, strict=True)) and left.held == 0
+    want = zip(keys.tolist(), [(3 << 40) + int(o) + (10 if i < 2000 else 100) for i, o in enumerate(owner)], strict=True)
+    assert sorted(zip(*(np.concatenate(c).tolist() for c in zip(*got, strict=True)), strict=True)) == sorted(want)
+
+
+def test_suffix_tree_keeps_what_scoring_reads(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    docs = spark.createDataFrame([(i, f"the cat sat on the mat and the dog sat on the {w}") for i, w in enumerate(["log", "mat", "log", "rug"] * 5)], "doc_id long, text string")
+    lengths = suffix_tree.grow(docs, cut := session.cut(suffix_tree.count_runs(docs, 0, 0, None, 8, 1)), 260, cut.count(), 8)[0]
+    # The vocabulary, values and extended contexts of each length, and the runs and counts after the last.
+    assert lengths and len(list(tmp_path.glob("table-*"))) <= 2 * len(lengths) + 5
+
+
+def test_word_hashes_do_not_hang_on_where_a_word_stands():
+    rng = np.random.default_rng(12)
+    held = ["Ab", "x" * 70000, "é", "zz9"]
+    for filler in (10, 600_000):  # words of one slice, and a text beyond its length
+        text = "y" * filler + " " + " ".join(held[i] for i in rng.permutation(4))
+        for case in (text, text.upper().replace("É", "é")):
+            data = np.frombuffer(case.encode(), np.uint8)
+            start, end, _ = words(data, np.array([0, len(data)]))
+            got = {bytes(data[a:b]).lower(): h for a, b, h in zip(start, end, word_hashes(data, start), strict=True)}
+            for w in held:
+                alone = np.frombuffer(w.encode(), np.uint8)
+                assert got[w.lower().encode()] == word_hashes(alone, np.array([0]))[0]
+
+
 def test_suffix_tree_blocks_round_trip():
     rng = np.random.default_rng(8)
     for n in (0, 1, 5000):
