@@ -83,7 +83,7 @@ def train(texts: pa.Array, labels: list[int], epochs: int = 6, rate: float = 2.0
         return np.zeros(BUCKETS, np.float32), (-30.0 if share == 0 else 30.0)
     # Bags of all texts in a few flat arrays, which give their memory back.
     keys, weights, sizes = [], [], []
-    for _, data, offsets in slices(texts):
+    for _, data, offsets in slices(texts, SLICE_BYTES // 8):  # the n-grams of a slice are many times its bytes, and the driver holds them
         key, count = grams(data, offsets)
         owner = np.repeat(np.arange(len(count)), count)
         told, times = np.unique(owner.astype(np.int64) * BUCKETS + key, return_counts=True)
